@@ -22,6 +22,7 @@ LEDGER_SCHEMA = (
     "completed_at timestamp"
 )
 FACT_COLUMNS = tuple(c for c in STAGED_COLUMNS if c != "ingest_batch_id")
+NULLABLE_TEXT = ("transaction_id", "session_id")
 STREAM_PIPELINE = "user_events_stream"
 HISTORICAL_PIPELINE = "historical_batch_load"
 NO_QUERY = "-"
@@ -130,15 +131,18 @@ class JdbcFactStore:
         finally:
             connection.close()
 
-    def create_tables(self, spark: SparkSession) -> None:
-        """The staging, fact and ledger tables, with the rules the audit checks."""
-        body = (
-            '"event_id" varchar(64) not null, "source_timestamp_ms" bigint not null, '
-            '"event_time" timestamp not null, "visitor_id" bigint not null, '
-            '"item_id" bigint not null, "event_type" varchar(32) not null, '
-            '"transaction_id" varchar(256), "category_id" bigint, "session_id" varchar(64), '
-            '"source" varchar(64) not null, "schema_version" smallint not null'
-        )
+    def create_tables(self, spark: SparkSession, staged_text: str = "varchar(256)") -> None:
+        """The staging, fact and ledger tables, with the rules the audit checks.
+        ``staged_text`` is the type as which the database takes a null text from Spark."""
+        def body(text: str) -> str:
+            return (
+                '"event_id" varchar(64) not null, "source_timestamp_ms" bigint not null, '
+                '"event_time" timestamp not null, "visitor_id" bigint not null, '
+                '"item_id" bigint not null, "event_type" varchar(32) not null, '
+                f'"transaction_id" {text}, "category_id" bigint, "session_id" {text}, '
+                '"source" varchar(64) not null, "schema_version" smallint not null'
+            )
+
         rules = (
             'primary key ("event_id"), check ("source_timestamp_ms" >= 0), '
             'check ("visitor_id" >= 0), check ("item_id" >= 0), '
@@ -146,8 +150,9 @@ class JdbcFactStore:
         )
         self._execute(
             spark,
-            (f'create table "{self.staging}" ("ingest_batch_id" bigint not null, {body})',),
-            (f'create table "{self.fact}" ({body}, {rules})',),
+            (f'create table "{self.staging}" ("ingest_batch_id" bigint not null, '
+             f"{body(staged_text)})",),
+            (f'create table "{self.fact}" ({body("varchar(256)")}, {rules})',),
             (
                 f'create table "{self.runs}" ("pipeline_name" varchar(128) not null, '
                 '"query_id" varchar(64) not null, "batch_id" bigint not null, '
@@ -190,10 +195,14 @@ class JdbcFactStore:
         """Moves the staged batch into the facts, notes it in the ledger, clears the stage.
         Returns the number of facts that were new."""
         columns = ", ".join(f'"{c}"' for c in FACT_COLUMNS)
+        values = ", ".join(
+            f'cast("{c}" as varchar(256))' if c in NULLABLE_TEXT else f'"{c}"'
+            for c in FACT_COLUMNS
+        )
         inserted, _, _ = self._execute(
             spark,
             (
-                f'insert into "{self.fact}" ({columns}) select {columns} '
+                f'insert into "{self.fact}" ({columns}) select {values} '
                 f'from "{self.staging}" s where s."ingest_batch_id" = ? and not exists '
                 f'(select 1 from "{self.fact}" f where f."event_id" = s."event_id")',
                 batch_id,

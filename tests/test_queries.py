@@ -1,0 +1,32 @@
+"""Every registered query against its SQL, over the smallest tables."""
+
+import compare
+import pytest
+
+import __spark_entry__ as registry
+
+SF = "/root/testdata/sf0.001"
+QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return compare.connect(SF)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, duck, name):
+    assert compare.differences(QUERIES[name](spark, SF), duck, ORACLE[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_query_without_sql_returns_rows(spark, name):
+    assert not QUERIES[name](spark, SF).isEmpty()
+
+
+def test_every_sql_has_a_query():
+    assert set(ORACLE) <= set(QUERIES)
+
+
+def test_entry(spark):
+    assert registry.entry(spark).count() > 0
