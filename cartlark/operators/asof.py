@@ -1,10 +1,13 @@
 """As-of lookup: the value last observed at or before a time, per key.
 
-Neither side is expanded and no group grows with a hot key.  Every distinct
-``(key, time)`` is resolved once (copies collapse before the shuffle), inside groups of
-one key and one time bucket, which hold at most one row per time unit of the bucket.
-What a bucket inherits comes from a second, much smaller pass with one row per key and
-bucket.  Putting the answer back on the rows is an equi-join on ``(key, time)``, where
+Few observations (a checked number of rows, and of rows per key) are broadcast as validity
+intervals, and the large side is not shuffled at all.
+
+Beyond that bound neither side is expanded and no group grows with a hot key.  Every
+distinct ``(key, time)`` is resolved once (copies collapse before the shuffle), inside
+groups of one key and one time bucket, which hold at most one row per time unit of the
+bucket.  What a bucket inherits comes from a second, much smaller pass with one row per key
+and bucket.  Putting the answer back on the rows is an equi-join on ``(key, time)``, where
 adaptive execution splits a hot pair because only the row side is large.
 """
 
@@ -14,6 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
+# A broadcast table of three numbers per row: about 100 MB at this many rows.  The second
+# limit bounds the intervals that one row is compared with.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS_PER_KEY = 64
 
 
 def asof_lookup(
@@ -53,12 +60,23 @@ def asof_lookup(
     )
 
 
+def _fits_broadcast(observations: DataFrame, key: str, rows: int, rows_per_key: int) -> bool:
+    if rows == 0:
+        return False
+    sizes = observations.groupBy(key).agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n"))
+    total, largest = sizes.first()
+    return total is None or (total <= rows and largest <= rows_per_key)
+
+
 def asof_join(
     rows: DataFrame, observations: DataFrame, *, key: str, time: str, value: str,
     probes: DataFrame | None = None, bucket_width: int = HOUR_MS,
+    broadcast_rows: int = BROADCAST_ROWS, broadcast_rows_per_key: int = BROADCAST_ROWS_PER_KEY,
 ) -> DataFrame:
     """``rows`` plus the as-of value.  ``probes`` may name a cheaper frame that holds at
     least the same ``(key, time)`` pairs, such as the rows before a costly step."""
+    if _fits_broadcast(observations, key, broadcast_rows, broadcast_rows_per_key):
+        return _broadcast_asof_join(rows, observations, key, time, value)
     source = rows if probes is None else probes
     found = asof_lookup(
         source, observations, key=key, time=time, value=value, bucket_width=bucket_width
@@ -66,6 +84,22 @@ def asof_join(
     return rows.join(found, [key, time], "left")
 
 
+def _broadcast_asof_join(
+    rows: DataFrame, observations: DataFrame, key: str, time: str, value: str
+) -> DataFrame:
+    intervals = (
+        observations.groupBy(F.col(key).alias("_key"), F.col(time).alias("_from"))
+        .agg(F.max(value).alias(value))
+        .withColumn("_to", F.lead("_from").over(Window.partitionBy("_key").orderBy("_from")))
+    )
+    inside = (
+        (F.col(key) == F.col("_key"))
+        & (F.col(time) >= F.col("_from"))
+        & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
+    )
+    return rows.join(F.broadcast(intervals), inside, "left").drop("_key", "_from", "_to")
+
+
 def validity_intervals(
     observations: DataFrame, *, key: str, time: str, start: str = "valid_from_ms",
     end: str = "valid_to_ms", bucket_width: int = 24 * HOUR_MS,

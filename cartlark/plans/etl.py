@@ -41,12 +41,13 @@ def category_observations(properties: DataFrame) -> DataFrame:
 
 
 def with_category(
-    events: DataFrame, properties: DataFrame, probes: DataFrame | None = None
+    events: DataFrame, properties: DataFrame, probes: DataFrame | None = None, **limits: int
 ) -> DataFrame:
-    """Events plus the category that was valid for their item at their time."""
+    """Events plus the category that was valid for their item at their time.  ``limits``
+    are those of :func:`cartlark.operators.asof.asof_join`."""
     return asof_join(
         events, _category_values(properties), key="itemid", time="timestamp",
-        value="category_id", probes=probes,
+        value="category_id", probes=probes, **limits,
     )
 
 

@@ -26,8 +26,12 @@ def hot_points(seed, n, times):
             for _ in range(n)]
 
 
-@pytest.mark.parametrize("width", [1, 7, 50, 10_000])
-def test_asof_join_is_the_latest_observation(spark, width):
+@pytest.mark.parametrize(
+    "how",
+    [{"broadcast_rows": 0, "bucket_width": w} for w in (1, 7, 50, 10_000)]
+    + [{"broadcast_rows_per_key": 5}, {}],
+)
+def test_asof_join_is_the_latest_observation(spark, how):
     events = hot_points(1, 400, 300)
     observed = {}
     rng = random.Random(2)
@@ -41,7 +45,7 @@ def test_asof_join_is_the_latest_observation(spark, width):
     obs = spark.createDataFrame(repeated, "k bigint, t bigint, v bigint")
     found = {
         r["id"]: r["v"]
-        for r in asof_join(rows, obs, key="k", time="t", value="v", bucket_width=width).collect()
+        for r in asof_join(rows, obs, key="k", time="t", value="v", **how).collect()
     }
     expected = {}
     for i, (k, t) in enumerate(events):
@@ -53,7 +57,21 @@ def test_asof_join_is_the_latest_observation(spark, width):
 def test_asof_join_without_observations(spark):
     rows = spark.createDataFrame([(1, 5)], "k bigint, t bigint")
     obs = spark.createDataFrame([], "k bigint, t bigint, v bigint")
-    assert asof_join(rows, obs, key="k", time="t", value="v").first()["v"] is None
+    for limit in (0, 10):
+        found = asof_join(rows, obs, key="k", time="t", value="v", broadcast_rows=limit)
+        assert found.first()["v"] is None
+
+
+def test_many_observations_of_one_key_are_not_broadcast(spark):
+    rows = spark.createDataFrame([(1, 5)], "k bigint, t bigint")
+    obs = spark.range(65).selectExpr("1L as k", "id as t", "id as v")
+
+    def plan(df):
+        joined = asof_join(rows, df, key="k", time="t", value="v")
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" not in plan(obs)
+    assert "strategy=broadcast" in plan(obs.limit(64))
 
 
 @pytest.mark.parametrize("width", [1, 10, 1000])

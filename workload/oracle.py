@@ -420,6 +420,9 @@ select unnest(['event_id unique', 'event_id pattern', 'event_type supported', 'e
     "asof_category": f"""{EVENTS} select event_id, e.itemid, ts_ms as "timestamp", category_id
  from ev e left join iv on e.itemid = iv.itemid and ts_ms >= valid_from_ms
   and (valid_to_ms is null or ts_ms < valid_to_ms)""",
+    "asof_category_bucketed": f"""{EVENTS} select event_id, itemid, ts_ms as "timestamp",
+ category_id from (select e.*, a.category_id from ev e asof left join iv a
+  on e.itemid = a.itemid and e.ts_ms >= a.valid_from_ms)""",
     "sessions": f"""{EVENTS}, {_sessions(30)} select event_id, session_number,
  concat_ws('-', visitorid, session_number) as session_id from ses""",
     "sessions_long_gap": f"""{EVENTS}, {_sessions(720)} select event_id, session_number,

@@ -132,6 +132,16 @@ def asof_category(spark, sf):
     )
 
 
+@query
+def asof_category_bucketed(spark, sf):
+    """The same answer by the way taken when the observations are too many to broadcast."""
+    events = normalize.dedup_events(_accepted(spark, sf))
+    properties = tables.raw_item_properties(spark, sf)
+    return etl.with_category(events, properties, broadcast_rows=0).select(
+        "event_id", "itemid", "timestamp", "category_id"
+    )
+
+
 @query
 def sessions(spark, sf):
     events = normalize.dedup_events(_accepted(spark, sf))
@@ -369,14 +379,30 @@ def item_latest_category(spark, sf):
     return interactions.item_latest_category(_train(spark, sf))
 
 
+def _build_users(spark, sf):
+    return interactions.vocabulary(_train(spark, sf), "visitor_id", "user_index")
+
+
+def _build_items(spark, sf):
+    return interactions.vocabulary(_train(spark, sf), "item_id", "item_index")
+
+
+def _users(spark, sf):
+    return tables.stored(spark, sf, "users", _build_users)
+
+
+def _items(spark, sf):
+    return tables.stored(spark, sf, "items", _build_items)
+
+
 @query
 def vocab_users(spark, sf):
-    return interactions.vocabulary(_train(spark, sf), "visitor_id", "user_index")
+    return _build_users(spark, sf)
 
 
 @query
 def vocab_items(spark, sf):
-    return interactions.vocabulary(_train(spark, sf), "item_id", "item_index")
+    return _build_items(spark, sf)
 
 
 @query
@@ -385,11 +411,8 @@ def vocab_categories(spark, sf):
 
 
 def _indexed(spark, sf, part):
-    train = _train(spark, sf)
     return interactions.indexed_interactions(
-        _part(spark, sf, part),
-        interactions.vocabulary(train, "visitor_id", "user_index"),
-        interactions.vocabulary(train, "item_id", "item_index"),
+        _part(spark, sf, part), _users(spark, sf), _items(spark, sf)
     )
 
 
@@ -431,7 +454,7 @@ def _indexed_seen(indexed):
 @query
 def negative_samples(spark, sf):
     train = _indexed(spark, sf, "train")
-    items = _catalog(spark, sf).count()
+    items = _items(spark, sf).count()
     return negatives.negative_samples(train, _indexed_seen(train), items, seed=SEED).select(
         "position", "user_index", "item_index", "negative_index"
     )
@@ -440,7 +463,7 @@ def negative_samples(spark, sf):
 @query
 def validation_negative_samples(spark, sf):
     train, held_out = _indexed(spark, sf, "train"), _indexed(spark, sf, "validation")
-    items = _catalog(spark, sf).count()
+    items = _items(spark, sf).count()
     return negatives.negative_samples(
         held_out, _indexed_seen(train), items, seed=SEED,
         seed_offset=negatives.VALIDATION_SEED_OFFSET,
@@ -582,10 +605,7 @@ def vector_audit(spark, sf):
 
 @query
 def bpr_loss(spark, sf):
-    train = _train(spark, sf)
-    items = interactions.vocabulary(train, "item_id", "item_index")
-    users = interactions.vocabulary(train, "visitor_id", "user_index")
-    indexed = interactions.indexed_interactions(train, users, items)
+    indexed, items = _indexed(spark, sf, "train"), _items(spark, sf)
     sampled = negatives.negative_samples(indexed, _indexed_seen(indexed), items.count(), seed=SEED)
     names = items.withColumnsRenamed({"item_id": "negative_id", "item_index": "negative_index"})
     triples = sampled.join(names, "negative_index").withColumnRenamed("visitor_id", "user_id")

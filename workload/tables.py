@@ -18,37 +18,39 @@ from cartlark.operators.normalize import with_event_id
 from cartlark.plans import etl
 from cartlark.session import shared_dir, use_utc
 
-EPOCH_MS = F.unix_millis(F.col("ts").cast("timestamp"))
-KEY = F.get_json_object("props", "$.k").cast("bigint")
+# SQL texts, so that importing this module needs no session.
+EPOCH_MS = "unix_millis(cast(ts as timestamp))"
+USER = "user_id"
+KEY = "cast(get_json_object(props, '$.k') as bigint)"
 # Finer shoppers and products for the recommender: a user by daypart, a product by price
 # band.  Long tails give unseen users and items without leaving any row out.
-SHOPPER = F.col("user_id") * 6 + F.floor(F.hour(F.col("ts").cast("timestamp")) / 4)
-PRODUCT = KEY + 100 * F.floor(F.col("value") / 10)
+SHOPPER = "user_id * 6 + floor(hour(cast(ts as timestamp)) / 4)"
+PRODUCT = f"{KEY} + 100 * floor(value / 10)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _raw_events(events: DataFrame, visitor, item) -> DataFrame:
+def _raw_events(events: DataFrame, visitor: str, item: str) -> DataFrame:
     kind = F.col("event_type")
     return events.select(
         F.col("event_id").alias("seq"),
-        EPOCH_MS.alias("timestamp"),
-        visitor.alias("visitorid"),
+        F.expr(EPOCH_MS).alias("timestamp"),
+        F.expr(visitor).alias("visitorid"),
         F.when(kind == "click", "addtocart")
         .when(kind == "purchase", "transaction")
         .otherwise(kind)
         .alias("event"),
-        item.alias("itemid"),
+        F.expr(item).alias("itemid"),
         F.when(kind == "purchase", F.col("event_id").cast("string")).alias("transactionid"),
     )
 
 
-def _raw_properties(events: DataFrame, item) -> DataFrame:
+def _raw_properties(events: DataFrame, item: str) -> DataFrame:
     return events.filter(F.col("event_type").isin("signup", "error")).select(
-        EPOCH_MS.alias("timestamp"),
-        item.alias("itemid"),
+        F.expr(EPOCH_MS).alias("timestamp"),
+        F.expr(item).alias("itemid"),
         F.when(F.col("event_type") == "signup", "categoryid").otherwise("available")
         .alias("property"),
         # A value below one unit stands for a text value, which is no category.
@@ -59,7 +61,7 @@ def _raw_properties(events: DataFrame, item) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_events(table(spark, sf_dir, "events"), F.col("user_id"), KEY)
+    return _raw_events(table(spark, sf_dir, "events"), USER, KEY)
 
 
 def raw_item_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
