@@ -86,33 +86,44 @@ def _walk(starts: DataFrame, seen: DataFrame, item_count: int, chunk: int) -> Da
 
 def negative_samples(
     rows: DataFrame, seen: DataFrame, item_count: int, *, seed: int = 42, seed_offset: int = 0,
-    chunk: int = CHUNK,
+    rows_are_seen: bool = False, chunk: int = CHUNK,
 ) -> DataFrame:
     """Adds ``negative_index`` to ``rows(position, user_index, item_index, ...)``.
 
     ``seen`` holds distinct training ``(user_index, item_index)``.  The row's own item is
     never its negative either.  Rows of users who have no other item left are dropped.
+    ``rows_are_seen`` says that ``seen`` was taken from these very rows, which makes the
+    checks for own items outside it unnecessary.
     """
-    counts = seen.groupBy("user_index").agg(F.count("*").alias("_seen"))
-    own = seen.withColumn("_own_seen", F.lit(1))
+    start = F.pmod(
+        F.col("position") * F.lit(STRIDE) + F.lit(seed + seed_offset), F.lit(item_count)
+    )
+    rows_with_start = rows.withColumn("_start", start)
+    # Only users who have seen all items, or all but one, can run out of negatives.
+    nearly_done = (
+        seen.groupBy("user_index").agg(F.count("*").alias("_seen"))
+        .filter(F.col("_seen") >= item_count - 1)
+    )
+    if rows_are_seen:
+        done = nearly_done.filter(F.col("_seen") >= item_count)
+        candidates = rows_with_start.join(done, "user_index", "left_anti")
+        starts = candidates.select("user_index", F.col("_start").alias("start"))
+        landings = _walk(starts, seen, item_count, chunk)
+        return candidates.join(
+            landings.withColumnsRenamed({"start": "_start", "landing": "negative_index"}),
+            ["user_index", "_start"],
+        ).select(*rows.columns, "negative_index")
+
+    own = seen.withColumn("_own_seen", F.lit(True))
+    own_unseen = F.col("_own_seen").isNull()
+    blocked = F.col("_seen") + F.when(own_unseen, 1).otherwise(0)
     candidates = (
-        rows.join(counts, "user_index", "left")
+        rows_with_start.join(nearly_done, "user_index", "left")
         .join(own, ["user_index", "item_index"], "left")
-        .withColumn(
-            "_blocked",
-            F.coalesce("_seen", F.lit(0)) + F.when(F.col("_own_seen").isNull(), 1).otherwise(0),
-        )
-        .filter(F.col("_blocked") < item_count)
-        .withColumn(
-            "_start",
-            F.pmod(
-                F.col("position") * F.lit(STRIDE) + F.lit(seed + seed_offset), F.lit(item_count)
-            ),
-        )
+        .filter(F.col("_seen").isNull() | (blocked < item_count))
         .withColumn("_next", F.pmod(F.col("item_index") + 1, F.lit(item_count)))
-        .drop("_seen", "_blocked")
+        .drop("_seen")
     )
-    own_unseen = F.col("_own_seen").isNull()
     starts = candidates.select("user_index", F.col("_start").alias("start")).unionByName(
         candidates.filter(own_unseen).select("user_index", F.col("_next").alias("start"))
     )

@@ -127,7 +127,9 @@ def learn_embeddings(
 
 def _triples(rows, seen, items, item_count, seed, offset) -> DataFrame:
     """Sampled triples under the original ids."""
-    sampled = negative_samples(rows, seen, item_count, seed=seed, seed_offset=offset)
+    sampled = negative_samples(
+        rows, seen, item_count, seed=seed, seed_offset=offset, rows_are_seen=offset == 0
+    )
     names = items.select(F.col("item_id").alias("negative_id"), F.col("item_index").alias("_at"))
     return materialize(
         sampled.join(names, F.col("negative_index") == F.col("_at"))

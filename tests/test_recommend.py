@@ -249,7 +249,16 @@ def test_negatives_equal_walking(spark, chunk, items):
         frame(spark, [(u, i) for u, s in seen.items() for i in s], "user_index bigint, item_index bigint"),
         items, seed=42, chunk=chunk,
     )
+    inside = [(p, u, i, w) for p, u, i, w in rows if i in seen.get(u, ())]
+    also = negative_samples(
+        frame(spark, inside, "position bigint, user_index bigint, item_index bigint, weight double"),
+        frame(spark, [(u, i) for u, s in seen.items() for i in s], "user_index bigint, item_index bigint"),
+        items, seed=42, chunk=chunk, rows_are_seen=True,
+    )
     expected = {p: brute_negative(p, u, i, seen, items, 42) for p, u, i, _ in rows}
+    assert {r["position"]: r["negative_index"] for r in also.collect()} == {
+        p: expected[p] for p, *_ in inside if expected[p] is not None
+    }
     assert {r["position"]: r["negative_index"] for r in found.collect()} == {
         p: n for p, n in expected.items() if n is not None
     }

@@ -455,9 +455,9 @@ def _indexed_seen(indexed):
 def negative_samples(spark, sf):
     train = _indexed(spark, sf, "train")
     items = _items(spark, sf).count()
-    return negatives.negative_samples(train, _indexed_seen(train), items, seed=SEED).select(
-        "position", "user_index", "item_index", "negative_index"
-    )
+    return negatives.negative_samples(
+        train, _indexed_seen(train), items, seed=SEED, rows_are_seen=True
+    ).select("position", "user_index", "item_index", "negative_index")
 
 
 @query
@@ -606,7 +606,9 @@ def vector_audit(spark, sf):
 @query
 def bpr_loss(spark, sf):
     indexed, items = _indexed(spark, sf, "train"), _items(spark, sf)
-    sampled = negatives.negative_samples(indexed, _indexed_seen(indexed), items.count(), seed=SEED)
+    sampled = negatives.negative_samples(
+        indexed, _indexed_seen(indexed), items.count(), seed=SEED, rows_are_seen=True
+    )
     names = items.withColumnsRenamed({"item_id": "negative_id", "item_index": "negative_index"})
     triples = sampled.join(names, "negative_index").withColumnRenamed("visitor_id", "user_id")
     return negatives.pairwise_loss(triples, _user_vectors(spark, sf), _item_vectors(spark, sf))
