@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from cartlark.operators.positions import with_position
 
 
+# Ranks per chunk: bounds a window group for users who have seen a large part of the catalogue.
+CHUNK = 65_536
+
+
 def popularity(interactions: DataFrame) -> DataFrame:
     """Summed weight per item (each row counts one when there are no weights), ranked from
     zero by score and then by item."""
@@ -16,8 +20,42 @@ def popularity(interactions: DataFrame) -> DataFrame:
     return with_position(scores, [F.desc("score"), F.asc("item_id")], "popularity_rank")
 
 
+def _skips(seen_ranks: DataFrame, k: int, chunk: int) -> DataFrame:
+    """``(user_id, unseen_before, n)``: how many seen items have exactly that many unseen
+    ones before them, as far as that is fewer than ``k``.
+
+    A seen item's place among the user's seen items is its place inside a chunk of ranks
+    plus the counts of earlier chunks, and chunks that start beyond ``k`` unseen items are
+    dropped whole.
+    """
+    chunked = seen_ranks.withColumn("_chunk", F.floor(F.col("popularity_rank") / F.lit(chunk)))
+    earlier = (
+        Window.partitionBy("user_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    needed = (
+        chunked.groupBy("user_id", "_chunk").agg(F.count("*").alias("_n"))
+        .select(
+            "user_id", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+        )
+        .filter(F.col("_chunk") * F.lit(chunk) - F.col("_before") < k)
+    )
+    place = F.row_number().over(
+        Window.partitionBy("user_id", "_chunk").orderBy("popularity_rank")
+    )
+    return (
+        chunked.join(needed, ["user_id", "_chunk"])
+        .select(
+            "user_id",
+            (F.col("popularity_rank") - F.col("_before") - place + 1).alias("unseen_before"),
+        )
+        .filter(F.col("unseen_before") < k)
+        .groupBy("user_id", "unseen_before")
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def popularity_top_k(
-    users: DataFrame, ranking: DataFrame, seen: DataFrame, k: int
+    users: DataFrame, ranking: DataFrame, seen: DataFrame, k: int, *, chunk: int = CHUNK
 ) -> DataFrame:
     """``(user_id, rank, item_id, score)``: for every user the first ``k`` ranked items that
     the user has not seen.
@@ -28,18 +66,14 @@ def popularity_top_k(
 
     ``users``: distinct ``user_id``; ``seen``: distinct ``(user_id, item_id)``.
     """
-    by_rank = Window.partitionBy("user_id").orderBy("popularity_rank")
-    skips = (
+    seen_ranks = (
         seen.join(users, "user_id", "left_semi")
         .join(ranking.select("item_id", "popularity_rank"), "item_id")
-        .select(
-            "user_id",
-            (F.col("popularity_rank") - F.row_number().over(by_rank) + 1).alias("unseen_before"),
-        )
-        .filter(F.col("unseen_before") < k)
-        .groupBy("user_id", "unseen_before")
-        .agg(F.count("*").alias("n"))
-        .groupBy("user_id")
+        .select("user_id", "popularity_rank")
+    )
+    skips = (
+        _skips(seen_ranks, k, chunk)
+        .groupBy("user_id")  # at most k rows each
         .agg(F.map_from_entries(F.collect_list(F.struct("unseen_before", "n"))).alias("skips"))
     )
     skipped_before = F.aggregate(

@@ -2,9 +2,12 @@
 
 Users are dealt into shards and items into blocks by hash of their unique ids, with both
 numbers taken from counts, so that one group holds a bounded matrix of each.  A group
-scores its matrix product in NumPy and returns at most ``k`` rows per user; a window then
-merges a user's partial lists.  No table of all user-item scores ever exists, and a seen
-pair travels only to the one group that scores it.
+scores its matrix product in NumPy, some users at a time, and returns at most ``k`` rows
+per user; a window then merges a user's partial lists.  No table of all user-item scores
+ever exists, and a seen pair travels only to the one group that scores it.
+
+Every user vector is sent to each item block and every item vector to each user shard, so
+larger groups mean less copying; at 64 dimensions a side of a group is about 8 MB.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from pyspark.sql import functions as F
 
 from cartlark.functions.vectors import cosine, norm
 
-USERS_PER_SHARD = 1024
-ITEMS_PER_BLOCK = 4096
+USERS_PER_SHARD = 16_384
+ITEMS_PER_BLOCK = 16_384
+USERS_AT_ONCE = 256
 SCORE_DIGITS = 6
 _SCHEMA = "user_id bigint, item_id bigint, score double"
 
@@ -48,33 +52,55 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
 
 
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` best scores per row, best first, ties to the smaller column."""
+    if k < scores.shape[1]:
+        # All columns down to the k-th best score: few, however many share that score.
+        limit = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        above = scores > limit
+        level = scores == limit
+        wanted = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(1, keepdims=True)))
+        columns = np.nonzero(wanted)[1].reshape(len(scores), k)
+    else:
+        columns = np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
+    order = np.argsort(-np.take_along_axis(scores, columns, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(columns, order, axis=1)
+
+
 def _best_of_group(k: int):
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         asking = left["embedding"].notna()
         users, seen = left[asking], left[~asking]
-        empty = pd.DataFrame({"user_id": [], "item_id": [], "score": []})
+        found = [pd.DataFrame({"user_id": [], "item_id": [], "score": []})]
         if users.empty or right.empty:
-            return empty
+            return found[0]
         items = right.sort_values("item_id", ignore_index=True)
         user_ids, item_ids = users["user_id"].to_numpy(), items["item_id"].to_numpy()
-        scores = np.round(
-            _matrix(users["embedding"]) @ _matrix(items["embedding"]).T, SCORE_DIGITS
-        )
+        user_matrix, item_matrix = _matrix(users["embedding"]), _matrix(items["embedding"])
         row = pd.Index(user_ids).get_indexer(seen["user_id"].to_numpy())
-        col = pd.Index(item_ids).get_indexer(seen["item_id"].to_numpy())
-        known = (row >= 0) & (col >= 0)
-        scores[row[known], col[known]] = -np.inf
-        # Columns are in item order, so a stable sort settles ties by the smaller item.
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        best_scores = np.take_along_axis(scores, order, axis=1)
-        kept = np.isfinite(best_scores)
-        return pd.DataFrame(
-            {
-                "user_id": np.repeat(user_ids, order.shape[1])[kept.ravel()],
-                "item_id": item_ids[order][kept],
-                "score": best_scores[kept] + 0.0,
-            }
-        )
+        column = pd.Index(item_ids).get_indexer(seen["item_id"].to_numpy())
+        known = (row >= 0) & (column >= 0)
+        row, column = row[known], column[known]
+        by_row = np.argsort(row, kind="stable")
+        row, column = row[by_row], column[by_row]
+        for start in range(0, len(user_ids), USERS_AT_ONCE):
+            ids = user_ids[start : start + USERS_AT_ONCE]
+            scores = np.round(user_matrix[start : start + len(ids)] @ item_matrix.T, SCORE_DIGITS)
+            low, high = np.searchsorted(row, [start, start + len(ids)])
+            scores[row[low:high] - start, column[low:high]] = -np.inf
+            columns = _best(scores, k)
+            values = np.take_along_axis(scores, columns, axis=1)
+            kept = np.isfinite(values)
+            found.append(
+                pd.DataFrame(
+                    {
+                        "user_id": np.repeat(ids, kept.sum(axis=1)),
+                        "item_id": item_ids[columns][kept],
+                        "score": values[kept] + 0.0,
+                    }
+                )
+            )
+        return pd.concat(found[1:], ignore_index=True)
 
     return best
 
@@ -96,18 +122,18 @@ def top_k_items(
     def every(slots: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
 
+    vector_type = users.schema["embedding"].dataType
     asking = users.select(
         shard.alias("shard"), every(blocks).alias("block"), "user_id",
         F.lit(0).cast("bigint").alias("item_id"),  # not null: ids must stay whole numbers
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        "embedding",
     )
     hidden = seen.join(users, "user_id", "left_semi").select(
         shard.alias("shard"), block.alias("block"), "user_id", "item_id",
-        F.lit(None).cast("array<double>").alias("embedding"),
+        F.lit(None).cast(vector_type).alias("embedding"),
     )
     offered = items.select(
-        every(shards).alias("shard"), block.alias("block"), "item_id",
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        every(shards).alias("shard"), block.alias("block"), "item_id", "embedding",
     )
     partial = (
         asking.unionByName(hidden).groupBy("shard", "block")

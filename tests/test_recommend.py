@@ -64,8 +64,8 @@ def test_popularity_skips_seen_items(spark):
     ]
 
 
-@pytest.mark.parametrize("k", [1, 4, 30])
-def test_popularity_for_many_users_equals_walking_the_list(spark, k):
+@pytest.mark.parametrize(("k", "chunk"), [(1, 3), (4, 5), (4, 1000), (30, 4)])
+def test_popularity_for_many_users_equals_walking_the_list(spark, k, chunk):
     rng = random.Random(k)
     items = list(range(25))
     ranking = popularity(frame(spark, [(i, float(100 - i)) for i in items], "item_id bigint, weight double"))
@@ -73,7 +73,8 @@ def test_popularity_for_many_users_equals_walking_the_list(spark, k):
     seen[0], seen[1] = set(items), set()
     pairs = frame(spark, [(u, i) for u, s in seen.items() for i in s] + [(999, 3)], PAIRS)
     found = {u: [] for u in seen}
-    for r in popularity_top_k(users_of(spark, *seen), ranking, pairs, k).orderBy("user_id", "rank").collect():
+    result = popularity_top_k(users_of(spark, *seen), ranking, pairs, k, chunk=chunk)
+    for r in result.orderBy("user_id", "rank").collect():
         assert r["rank"] == len(found[r["user_id"]])
         found[r["user_id"]].append(r["item_id"])
     assert found == {u: [i for i in items if i not in s][:k] for u, s in seen.items()}
