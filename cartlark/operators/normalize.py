@@ -86,15 +86,19 @@ def with_event_id(events: DataFrame) -> DataFrame:
     )
 
 
-def dedup_events(events: DataFrame) -> DataFrame:
-    """One row per event id.
+def distinct_events(events: DataFrame) -> DataFrame:
+    """One row per event, by its five identifying fields.
 
-    The id is a one-to-one function of the five normalised fields, so a distinct over
-    the fields keeps the same rows, shuffles them instead of 64-character digests, and
-    collapses copies before the shuffle; the digest is then taken once per kept row.
+    The event id is a one-to-one function of these fields, so this keeps the rows that a
+    deduplication by id would keep, shuffles short fields instead of 64-character digests,
+    and collapses copies before the shuffle.
     """
-    fields = ("timestamp", "visitorid", "event", "itemid", "transactionid")
-    return with_event_id(events.select(*fields).distinct())
+    return events.select("timestamp", "visitorid", "event", "itemid", "transactionid").distinct()
+
+
+def dedup_events(events: DataFrame) -> DataFrame:
+    """One row per event id."""
+    return with_event_id(distinct_events(events))
 
 
 def to_contract(events: DataFrame, source: str = REPLAY_SOURCE) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartlark.functions.contract import BATCH_SOURCE, HISTORICAL_BATCH_ID, SCHEMA_VERSION
 from cartlark.operators.asof import asof_join
-from cartlark.operators.normalize import dedup_events, normalize_events
+from cartlark.operators.normalize import distinct_events, normalize_events, with_event_id
 from cartlark.operators.sessions import with_sessions
 from cartlark.sources.files import read_events_csv, read_item_properties_csv, require_columns
 
@@ -58,16 +58,16 @@ def build_clean_events(
 
     Category and session tables need only item, visitor and time, which duplicates do not
     change, so both are derived from the rows before deduplication and the full rows move
-    through one shuffle per step.
+    through one shuffle per step.  The id, the widest column, is taken after the last one.
     """
     accepted = normalize_events(raw_events)
-    events = dedup_events(accepted)
+    events = distinct_events(accepted)
     enriched = with_category(events, properties, probes=accepted)
     sessions = with_sessions(
         enriched, gap_minutes=session_gap_minutes, keys_from=accepted
     )
     event_time = F.timestamp_millis("timestamp")
-    return sessions.select(
+    return with_event_id(sessions).select(
         "event_id",
         F.col("timestamp").alias("source_timestamp_ms"),
         event_time.alias("event_time"),

@@ -16,6 +16,8 @@ from cartlark.plans.analytics import (
     kpis,
     user_activity,
 )
+from cartlark.plans.interactions import load_interactions
+from cartlark.sources.files import read_clean_events
 from cartlark.plans.etl import build_clean_events, compact_clean_events, run_batch_etl
 
 
@@ -225,3 +227,23 @@ def test_empty_table(spark):
     assert calendar(table).isEmpty()
     assert [r["users"] for r in funnel_stages(table).collect()] == [0, 0, 0]
     assert kpis(table).first()["total_events"] == 0
+
+
+def test_clean_events_are_read_back_from_csv_and_parquet(spark, tmp_path):
+    rows = events(spark, ("2024-01-01", 1, 2, "view", 7), ("2024-01-02", 1, 2, "view", None))
+    rows.write.parquet(str(tmp_path / "clean"))
+    (tmp_path / "clean.csv").write_text(
+        "visitor_id,item_id,event_type,event_time,category_id\n"
+        "1,2,VIEW,2024-01-01 00:00:00+00:00,7.0\n1,2,view,2024-01-02 00:00:00+00:00,\n"
+    )
+    found = [
+        sorted(
+            (str(r["event_time"]), r["visitor_id"], r["category_id"], r["event_type"])
+            for r in load_interactions(read_clean_events(spark, str(tmp_path / name))).collect()
+        )
+        for name in ("clean", "clean.csv")
+    ]
+    assert found[0] == found[1] and [r[2] for r in found[0]] == [7, -1]
+    (tmp_path / "bad.csv").write_text("visitor_id,item_id\n1,2\n")
+    with pytest.raises(ValueError, match="event_time, event_type"):
+        read_clean_events(spark, str(tmp_path / "bad.csv"))

@@ -114,9 +114,8 @@ def test_late_events_are_dropped_and_counted(spark, tmp_path, config):
         send(spark, source, message(ms))
     valid, _ = run_once(spark, source, config)
     kept = {r["source_timestamp_ms"] for r in config.store().facts(spark).collect()}
-    # The files of one folder have no fixed order, so only a row after noon can be late.
-    assert NOON in kept and in_time in kept
-    assert late_rows_dropped(valid) == 3 - len(kept)
+    assert kept == {NOON, in_time}
+    assert late_rows_dropped(valid) == 1
 
 
 def test_new_checkpoint_restarts_batch_numbers_without_losing_data(spark, tmp_path, config):

@@ -1,4 +1,4 @@
-"""Test tables mapped onto the retail shapes (see FIXTURES.md).
+"""Test tables mapped onto the retail shapes.
 
 Every mapping is a projection of a whole table.  Clean events and recommender tables are
 written once per session under the shared folder and read back, the way a pipeline's
