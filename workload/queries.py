@@ -520,30 +520,53 @@ def recommendation_documents(spark, sf):
     )
 
 
-def _evaluation(spark, sf):
-    """Sampled test rows, truth, and both models' lists for the evaluated users."""
-    sampled = evaluation.sample_users(_test(spark, sf), MAX_USERS, SEED)
-    test = evaluation.restrict_to_users(_test(spark, sf), sampled)
-    catalog, seen = _catalog(spark, sf), _seen(spark, sf)
-    truth = evaluation.truth_pairs(test, catalog, seen)
-    users = truth.select("user_id").distinct()
-    popular = ranking.popularity_top_k(users, _ranking(spark, sf), seen, K)
-    embedded = recommend.recommend(
-        users, _user_vectors(spark, sf), _item_vectors(spark, sf), _ranking(spark, sf), seen, K
+def _sampled(spark, sf):
+    return evaluation.sample_users(_test(spark, sf), MAX_USERS, SEED)
+
+
+def _sampled_test(spark, sf):
+    return evaluation.restrict_to_users(_test(spark, sf), _sampled(spark, sf))
+
+
+def _truth(spark, sf):
+    return tables.stored(
+        spark, sf, "truth",
+        lambda s, d: evaluation.truth_pairs(_sampled_test(s, d), _catalog(s, d), _seen(s, d)),
+    )
+
+
+def _evaluated(spark, sf):
+    return _truth(spark, sf).select("user_id").distinct()
+
+
+def _warm_cold(spark, sf):
+    return evaluation.warm_cold_users(_evaluated(spark, sf), _user_vectors(spark, sf))
+
+
+def _popular_lists(spark, sf):
+    return ranking.popularity_top_k(
+        _evaluated(spark, sf), _ranking(spark, sf), _seen(spark, sf), K
+    )
+
+
+def _embedding_lists(spark, sf):
+    return recommend.recommend(
+        _evaluated(spark, sf), _user_vectors(spark, sf), _item_vectors(spark, sf),
+        _ranking(spark, sf), _seen(spark, sf), K,
     )
-    warm_cold = evaluation.warm_cold_users(users, _user_vectors(spark, sf))
-    return sampled, test, catalog, truth, popular, embedded, warm_cold
 
 
 @query
 def ranking_metrics(spark, sf):
-    _, _, catalog, truth, popular, _, _ = _evaluation(spark, sf)
-    return evaluation.ranking_metrics({"popularity": popular}, truth, catalog, K)
+    lists = {"popularity": _popular_lists(spark, sf)}
+    return evaluation.ranking_metrics(lists, _truth(spark, sf), _catalog(spark, sf), K)
 
 
 def _cohort_metrics(spark, sf):
-    _, _, catalog, truth, popular, embedded, warm_cold = _evaluation(spark, sf)
-    return evaluation.cohort_metrics(popular, embedded, truth, catalog, warm_cold, K)
+    return evaluation.cohort_metrics(
+        _popular_lists(spark, sf), _embedding_lists(spark, sf), _truth(spark, sf),
+        _catalog(spark, sf), _warm_cold(spark, sf), K,
+    )
 
 
 def _stored_cohort_metrics(spark, sf):
@@ -556,9 +579,14 @@ def cohort_metrics(spark, sf):
 
 
 def _protocol(spark, sf):
-    sampled, test, catalog, _, _, _, warm_cold = _evaluation(spark, sf)
-    cold_items = evaluation.cold_item_interactions(test, catalog)
-    return evaluation.evaluation_protocol(sampled, warm_cold, cold_items, K, SEED)
+    cold_items = evaluation.cold_item_interactions(_sampled_test(spark, sf), _catalog(spark, sf))
+    return evaluation.evaluation_protocol(
+        _sampled(spark, sf), _warm_cold(spark, sf), cold_items, K, SEED
+    )
+
+
+def _stored_protocol(spark, sf):
+    return tables.stored(spark, sf, "protocol", _protocol)
 
 
 @query
@@ -568,7 +596,7 @@ def evaluation_protocol(spark, sf):
 
 def _metric_rows(spark, sf):
     payload = evaluation.evaluation_payload(
-        _stored_cohort_metrics(spark, sf), _protocol(spark, sf), K
+        _stored_cohort_metrics(spark, sf), _stored_protocol(spark, sf), K
     )
     return evaluation.metric_rows(payload, K)
 
@@ -590,7 +618,7 @@ def selected_metric(spark, sf):
 
 @query
 def cold_start_share(spark, sf):
-    return evaluation.protocol_measures(_protocol(spark, sf))
+    return evaluation.protocol_measures(_stored_protocol(spark, sf))
 
 
 @query
