@@ -24,6 +24,7 @@ from cartlark.functions.vectors import cosine, norm
 
 USERS_PER_SHARD = 16_384
 ITEMS_PER_BLOCK = 16_384
+LEAST_USERS_PER_SHARD = 1024
 USERS_AT_ONCE = 256
 SCORE_DIGITS = 6
 _SCHEMA = "user_id bigint, item_id bigint, score double"
@@ -52,19 +53,24 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
 
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the ``k`` best scores per row, best first, ties to the smaller column."""
-    if k < scores.shape[1]:
-        # All columns down to the k-th best score: few, however many share that score.
-        limit = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-        above = scores > limit
-        level = scores == limit
-        wanted = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(1, keepdims=True)))
-        columns = np.nonzero(wanted)[1].reshape(len(scores), k)
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and rounded values of the ``k`` best finite scores per row, best first,
+    ties to the smaller column."""
+    width = scores.shape[1]
+    if k < width:
+        limit = np.partition(scores, width - k, axis=1)[:, width - k, None]
+        # Values that round to the same number can differ by one unit of the last digit.
+        rows, columns = np.nonzero(scores >= limit - 10.0**-SCORE_DIGITS)
     else:
-        columns = np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
-    order = np.argsort(-np.take_along_axis(scores, columns, axis=1), axis=1, kind="stable")
-    return np.take_along_axis(columns, order, axis=1)
+        rows, columns = np.indices(scores.shape).reshape(2, -1)
+    values = np.round(scores[rows, columns], SCORE_DIGITS) + 0.0
+    finite = np.isfinite(values)
+    rows, columns, values = rows[finite], columns[finite], values[finite]
+    order = np.lexsort((columns, -values, rows))
+    rows, columns, values = rows[order], columns[order], values[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    kept = place < k
+    return rows[kept], columns[kept], values[kept]
 
 
 def _best_of_group(k: int):
@@ -85,19 +91,13 @@ def _best_of_group(k: int):
         row, column = row[by_row], column[by_row]
         for start in range(0, len(user_ids), USERS_AT_ONCE):
             ids = user_ids[start : start + USERS_AT_ONCE]
-            scores = np.round(user_matrix[start : start + len(ids)] @ item_matrix.T, SCORE_DIGITS)
+            scores = user_matrix[start : start + len(ids)] @ item_matrix.T
             low, high = np.searchsorted(row, [start, start + len(ids)])
             scores[row[low:high] - start, column[low:high]] = -np.inf
-            columns = _best(scores, k)
-            values = np.take_along_axis(scores, columns, axis=1)
-            kept = np.isfinite(values)
+            rows, columns, values = _best(scores, k)
             found.append(
                 pd.DataFrame(
-                    {
-                        "user_id": np.repeat(ids, kept.sum(axis=1)),
-                        "item_id": item_ids[columns][kept],
-                        "score": values[kept] + 0.0,
-                    }
+                    {"user_id": ids[rows], "item_id": item_ids[columns], "score": values}
                 )
             )
         return pd.concat(found[1:], ignore_index=True)
@@ -115,8 +115,12 @@ def top_k_items(
     ``users(user_id, embedding)`` and ``items(item_id, embedding)`` have unique ids; ``seen``
     holds distinct ``(user_id, item_id)`` pairs.
     """
-    shards = max(1, ceil(users.count() / users_per_shard))
-    blocks = max(1, ceil(items.count() / items_per_block))
+    user_count, item_count = users.count(), items.count()
+    blocks = max(1, ceil(item_count / items_per_block))
+    # Smaller shards than allowed where there would be too few groups to keep all cores busy.
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    busy = min(ceil(3 * cores / blocks), ceil(user_count / LEAST_USERS_PER_SHARD))
+    shards = max(1, ceil(user_count / users_per_shard), busy)
     shard, block = _slot("user_id", shards), _slot("item_id", blocks)
 
     def every(slots: int) -> Column:
