@@ -144,10 +144,17 @@ def ranking_metrics(
             "cohort", "model", F.round(F.try_divide(F.col("n"), catalog_size), 6).alias("coverage")
         )
     )
-    return scored.join(covered, ["cohort", "model"], "left").select(
-        "cohort", "model", "recall", "hit_rate", "ndcg",
-        F.coalesce("coverage", F.lit(0.0)).alias("catalog_coverage"),
-        "evaluated_users",
+    # One row per cohort and model on either side: put together by grouping.
+    return (
+        scored.unionByName(covered, allowMissingColumns=True)
+        .groupBy("cohort", "model")
+        .agg(
+            F.max("recall").alias("recall"),
+            F.max("hit_rate").alias("hit_rate"),
+            F.max("ndcg").alias("ndcg"),
+            F.coalesce(F.max("coverage"), F.lit(0.0)).alias("catalog_coverage"),
+            F.max("evaluated_users").alias("evaluated_users"),
+        )
     )
 
 

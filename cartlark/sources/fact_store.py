@@ -7,13 +7,14 @@ restart with a new checkpoint, and such a batch is not the old one.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlark.functions.contract import HISTORICAL_BATCH_ID
 from cartlark.operators.merge import new_events
 from cartlark.plans.etl import STAGED_COLUMNS, staged_events
 
@@ -220,11 +221,10 @@ class JdbcFactStore:
 def load_historical(clean: DataFrame, store: ParquetFactStore | JdbcFactStore) -> int:
     """Loads clean events as batch -1.  Ids already held are skipped, nothing happens for an
     empty table, and loading twice changes nothing."""
-    from cartlark.functions.contract import HISTORICAL_BATCH_ID
-
     if clean.isEmpty():
         return 0
     spark = clean.sparkSession
+    store = replace(store, pipeline=HISTORICAL_PIPELINE)
     rows = store.write(clean, HISTORICAL_BATCH_ID)
     if not store.is_complete(spark, HISTORICAL_BATCH_ID, NO_QUERY):
         store.complete(spark, HISTORICAL_BATCH_ID, NO_QUERY, rows)

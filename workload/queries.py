@@ -15,7 +15,7 @@ from cartlark.operators.sessions import with_sessions
 from cartlark.plans import analytics, etl, evaluation, interactions, recommend
 from cartlark.plans.replay import replay_delays
 from cartlark.sources import kafka
-from cartlark.streaming import pipeline
+from cartlark.streaming import event_stream
 from workload import tables
 
 K = 10
@@ -241,19 +241,19 @@ def snapshot_totals(spark, sf):
 
 @query
 def parse_events(spark, sf):
-    parsed = pipeline.parse_events(tables.kafka_envelope(spark, sf))
+    parsed = event_stream.parse_events(tables.kafka_envelope(spark, sf))
     return parsed.drop("kafka_timestamp")
 
 
 @query
 def valid_events(spark, sf):
-    valid, _ = pipeline.split_events(tables.kafka_envelope(spark, sf))
+    valid, _ = event_stream.split_events(tables.kafka_envelope(spark, sf))
     return valid.withColumn("event_time", F.unix_millis("event_time"))
 
 
 @query
 def quarantine_events(spark, sf):
-    _, rejected = pipeline.split_events(tables.kafka_envelope(spark, sf))
+    _, rejected = event_stream.split_events(tables.kafka_envelope(spark, sf))
     return rejected
 
 
