@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from cartlark.llm import packing, sharding, token_counts
+from cartlark.llm import exact_topk, packing, sharding, token_counts, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op3_token_counts": token_counts.op3_token_counts,
     "op5_sharding": sharding.op5_sharding,
+    "op6_exact_topk": exact_topk.op6_exact_topk,
+    "op7_url_filter": url_filter.op7_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_exact_topk": exact_topk.OP6_SQL,
+    "op7_url_filter": url_filter.OP7_SQL,
+}
