@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from cartlark.llm import exact_topk, packing, sharding, token_counts, url_filter
+from cartlark.llm import (
+    exact_topk,
+    language_id,
+    packing,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_token_counts": token_counts.op3_token_counts,
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_topk": exact_topk.op6_exact_topk,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
