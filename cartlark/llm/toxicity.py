@@ -35,8 +35,8 @@ SAMPLE_BYTES = 64 << 20
 SHARD_ROWS = 6_000
 EPOCHS = 4
 THRESHOLD = 0.7
-#: Per-coordinate rate, the L1 penalty per row of a shard, and the weight of label 1.
-ALPHA, BETA, L1_PER_ROW, POSITIVE = 8.0, 1.0, 0.001, 3.0
+#: Per-coordinate rate, the L1 penalty per row of a shard and at least, the weight of label 1.
+ALPHA, BETA, L1_PER_ROW, L1_LEAST, POSITIVE = 8.0, 1.0, 0.001, 8.0, 3.0
 _WORD = re.compile(r"\w+")
 #: Odd multipliers, one for each kind of feature.
 _KINDS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column) -> Model:
     def fit_shard(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["key", "label"], kind="stable")
         examples = [np.unique(features(text)) for text in rows["text"]]
-        state = Ftrl(1 << BITS, L1_PER_ROW * len(examples))
+        state = Ftrl(1 << BITS, max(L1_LEAST, L1_PER_ROW * len(examples)))
         order = np.random.default_rng(0)
         for _ in range(EPOCHS):
             for place in order.permutation(len(examples)):
