@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cartlark.llm import (
+    decontaminate,
     exact_topk,
     language_id,
     packing,
@@ -19,10 +20,12 @@ QUERIES = {
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_topk": exact_topk.op6_exact_topk,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op9_decontamination": decontaminate.op9_decontamination,
     "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op6_exact_topk": exact_topk.OP6_SQL,
     "op7_url_filter": url_filter.OP7_SQL,
+    "op9_decontamination": decontaminate.OP9_SQL,
 }
