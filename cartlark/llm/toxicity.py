@@ -95,31 +95,33 @@ class Model:
     bias: float
 
 
-def bounded_sample(labelled: DataFrame) -> DataFrame:
-    """At most about ``SAMPLE_ROWS`` rows and ``SAMPLE_BYTES`` bytes, and their ``shard``."""
-    n, size = labelled.agg(
+def bounded_sample(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``text``, ``label``, ``key`` and ``shard`` of at most about ``SAMPLE_ROWS`` labelled
+    rows and ``SAMPLE_BYTES`` bytes.  Texts are read for the drawn ids alone: they are few
+    enough to be sent to the rows, so no text is shuffled before it is drawn."""
+    n = marks.count()
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(0)), F.lit(1 << 20))
+    share = min(1.0, SAMPLE_ROWS / max(1, n))
+    drawn = marks.filter(draw < F.lit(int(share * (1 << 20))))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(drawn), "doc_id").select(
+        "text", F.col("_toxic").cast("double").alias("label"), F.xxhash64("doc_id").alias("key")
+    )
+    n, size = rows.agg(
         F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))
     ).first()
-    share = min(1.0, SAMPLE_ROWS / max(1, n), SAMPLE_BYTES / max(1, size))
+    share = min(1.0, SAMPLE_BYTES / max(1, size))
     shards = max(1, math.ceil(share * n / SHARD_ROWS))
-    draw = F.pmod(F.xxhash64("text", "key"), F.lit(1 << 20))
-    return labelled.filter(draw < F.lit(int(share * (1 << 20)))).withColumn(
-        "shard", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards))
-    )
+    return rows.filter(
+        F.pmod(F.xxhash64("key", F.lit(2)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+    ).withColumn("shard", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column) -> Model:
-    """Learns ``labels.toxic`` of the ``docs`` rows that are ``learnable``."""
-    marks = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
-        F.max("toxic").alias("_toxic")
-    )
-    labelled = (
-        docs.filter(learnable)
-        .select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(marks, "doc_id")
-        .select("text", F.col("_toxic").cast("double").alias("label"),
-                F.xxhash64("doc_id").alias("key"))
-    )
+    """Learns ``labels.toxic`` of the ``docs`` rows whose id is ``learnable``."""
+    marks = labels.filter(learnable & F.expr("doc_id is not null and toxic is not null")).groupBy(
+        "doc_id"
+    ).agg(F.max("toxic").alias("_toxic"))
 
     def fit_shard(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["key", "label"], kind="stable")
@@ -134,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column) -> Model:
         w = state.weights(at)
         return pd.DataFrame({"at": at[w != 0], "w": w[w != 0]})
 
-    sample = common.stored(bounded_sample(labelled), "toxicity_sample")
+    sample = common.stored(bounded_sample(docs, marks), "toxicity_sample")
     shards = sample.select("shard").distinct().count()
     mixed = (
         sample.select("shard", "key", "text", "label")
