@@ -6,6 +6,7 @@ from cartlark.llm import (
     decontaminate,
     exact_topk,
     language_id,
+    near_dup,
     packing,
     sharding,
     token_counts,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_topk": exact_topk.op6_exact_topk,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_near_dup": near_dup.op8_near_dup,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_language_id": language_id.op10_language_id,
 }
@@ -27,5 +29,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op6_exact_topk": exact_topk.OP6_SQL,
     "op7_url_filter": url_filter.OP7_SQL,
+    "op8_near_dup": near_dup.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
 }
