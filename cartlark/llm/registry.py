@@ -8,6 +8,7 @@ from cartlark.llm import (
     language_id,
     near_dup,
     packing,
+    quotes,
     sharding,
     token_counts,
     toxicity,
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_chat_quotes": quotes.op4_chat_quotes,
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_topk": exact_topk.op6_exact_topk,
     "op7_url_filter": url_filter.op7_url_filter,
@@ -27,6 +29,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_chat_quotes": quotes.OP4_SQL,
     "op6_exact_topk": exact_topk.OP6_SQL,
     "op7_url_filter": url_filter.OP7_SQL,
     "op8_near_dup": near_dup.OP8_SQL,
