@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,59 +28,97 @@ HISTORICAL_PIPELINE = "historical_batch_load"
 NO_QUERY = "-"
 
 
+_LEDGER_ENTRY = LEDGER_SCHEMA.removesuffix(", completed_at timestamp")
+
+
 @dataclass(frozen=True)
 class ParquetFactStore:
-    """Facts as one directory per batch, overwritten as a whole on a retry."""
+    """Facts by date and batch; a retry overwrites what its own batch wrote.
+
+    An id holds its event's time, so equal ids are of one date: a batch is compared with the
+    facts of its own dates alone, and completion with one ledger entry.
+    """
 
     path: str
     pipeline: str = STREAM_PIPELINE
 
-    def _read(self, spark: SparkSession, part: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(f"{self.path}/{part}")
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+    def _label(self, batch_id: int, query_id: str) -> str:
+        return f"{self.pipeline}.{query_id}.{batch_id}"
+
+    def _read(self, spark: SparkSession, *parts: str) -> DataFrame | None:
+        held = [f"{self.path}/{part}" for part in parts if self._holds(spark, part)]
+        return spark.read.option("basePath", f"{self.path}/{parts[0].split('/')[0]}").parquet(
+            *held
+        ) if held else None
+
+    def _holds(self, spark: SparkSession, part: str) -> bool:
+        """Whether a finished job has written files below ``part``."""
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return files.exists(folder) and any(
+            not status.getPath().getName().startswith(("_", "."))
+            for status in files.listStatus(folder)
+        )
 
     def ledger(self, spark: SparkSession) -> DataFrame:
         found = self._read(spark, "ledger")
-        return spark.createDataFrame([], LEDGER_SCHEMA) if found is None else found
+        if found is None:
+            return spark.createDataFrame([], LEDGER_SCHEMA)
+        return found.select("pipeline_name", "query_id", "batch_id", "row_count", "completed_at")
 
     def facts(self, spark: SparkSession) -> DataFrame | None:
         found = self._read(spark, "facts")
         return None if found is None else found.select(*FACT_COLUMNS)
 
     def is_complete(self, spark: SparkSession, batch_id: int, query_id: str) -> bool:
-        return not self.ledger(spark).filter(
-            (F.col("pipeline_name") == self.pipeline)
-            & (F.col("query_id") == query_id)
-            & (F.col("batch_id") == batch_id)
-        ).isEmpty()
+        return self._holds(spark, f"ledger/entry={self._label(batch_id, query_id)}")
 
     def write(self, batch: DataFrame, batch_id: int, query_id: str = NO_QUERY) -> int:
+        """Writes the batch's new facts; a completed batch is left as it is and adds none."""
         spark = batch.sparkSession
-        staged = staged_events(batch, batch_id)
-        label = f"{self.pipeline}.{query_id}.{batch_id}"
-        facts = self._read(spark, "facts")
+        if self.is_complete(spark, batch_id, query_id):
+            return 0
+        label = self._label(batch_id, query_id)
+        day = F.to_date(F.timestamp_millis("source_timestamp_ms")).cast("string")
+        staged = staged_events(batch, batch_id).withColumn("day", day)
+        days = [row["day"] for row in staged.select("day").distinct().collect()]
+        facts = self._read(spark, *[f"facts/day={day}" for day in sorted(days)]) if days else None
         if facts is not None:
-            # A retry replaces its own directory, so its earlier rows do not count as held.
+            # A retry replaces its own files, so its earlier rows do not count as held.
             staged = new_events(staged, facts.filter(F.col("batch") != label))
         else:
             staged = staged.dropDuplicates(["event_id"])
-        directory = f"{self.path}/facts/batch={label}"
-        staged.select(*FACT_COLUMNS).write.mode("overwrite").parquet(directory)
-        return spark.read.parquet(directory).count()
+        (
+            staged.select(*FACT_COLUMNS, "day", F.lit(label).alias("batch"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch").parquet(f"{self.path}/facts")
+        )
+        own = [f"facts/day={day}/batch={label}" for day in sorted(days)]
+        written = self._read(spark, *own) if own else None
+        return 0 if written is None else written.count()
 
     def complete(self, spark: SparkSession, batch_id: int, query_id: str, rows: int) -> None:
         entry = spark.createDataFrame(
-            [(self.pipeline, query_id, batch_id, rows)],
-            "pipeline_name string, query_id string, batch_id bigint, row_count bigint",
+            [(self.pipeline, query_id, batch_id, rows)], _LEDGER_ENTRY
         ).withColumn("completed_at", F.current_timestamp())
         entry.coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/ledger/entry={self.pipeline}.{query_id}.{batch_id}"
+            f"{self.path}/ledger/entry={self._label(batch_id, query_id)}"
         )
 
+    def compact(self, spark: SparkSession, target: str) -> ParquetFactStore:
+        """The same facts in few files per date under ``target``, and the same ledger: one
+        entry per batch, as completion is looked up by entry."""
+        facts = self._read(spark, "facts")
+        if facts is not None:
+            (
+                facts.withColumn("batch", F.lit("compacted")).hint("rebalance", F.col("day"))
+                .write.partitionBy("day", "batch").parquet(f"{target}/facts")
+            )
+        entries = self._read(spark, "ledger")
+        if entries is not None:
+            entries.write.partitionBy("entry").parquet(f"{target}/ledger")
+        return replace(self, path=target)
+
 
 @dataclass(frozen=True)
 class JdbcFactStore:
@@ -151,7 +188,8 @@ class JdbcFactStore:
         )
         self._execute(
             spark,
-            (f'create table "{self.staging}" ("ingest_batch_id" bigint not null, '
+            (f'create table "{self.staging}" ("pipeline_name" varchar(128) not null, '
+             '"query_id" varchar(64) not null, "ingest_batch_id" bigint not null, '
              f"{body(staged_text)})",),
             (f'create table "{self.fact}" ({body("varchar(256)")}, {rules})',),
             (
@@ -179,18 +217,31 @@ class JdbcFactStore:
             & (F.col("batch_id") == batch_id)
         ).isEmpty()
 
+    def _mine(self, batch_id: int, query_id: str) -> tuple[str, tuple]:
+        """Which staged rows a batch owns: several streams share the staging table."""
+        names = ("pipeline_name", "query_id", "ingest_batch_id")
+        rule = " and ".join(f's."{name}" = ?' for name in names)
+        return rule, (self.pipeline, query_id, batch_id)
+
     def write(self, batch: DataFrame, batch_id: int, query_id: str = NO_QUERY) -> int:
-        """Fills the staging table afresh for this batch; the facts change on completion."""
+        """Fills the staging table afresh for this batch; the facts change on completion.  A
+        completed batch is left as it is and adds nothing."""
         spark = batch.sparkSession
-        self._execute(
-            spark, (f'delete from "{self.staging}" where "ingest_batch_id" = ?', batch_id)
+        if self.is_complete(spark, batch_id, query_id):
+            return 0
+        rule, mine = self._mine(batch_id, query_id)
+        self._execute(spark, (f'delete from "{self.staging}" s where {rule}', *mine))
+        staged = staged_events(batch, batch_id).dropDuplicates(["event_id"]).withColumns(
+            {"pipeline_name": F.lit(self.pipeline), "query_id": F.lit(query_id)}
         )
-        staged = staged_events(batch, batch_id).dropDuplicates(["event_id"])
         staged.write.option("batchsize", self.batch_size).option(
             "numPartitions", self.write_partitions
         ).jdbc(self.url, f'"{self.staging}"', mode="append", properties=self.properties)
-        mine = self._table(spark, self.staging).filter(F.col("ingest_batch_id") == batch_id)
-        return mine.count()
+        return self._table(spark, self.staging).filter(
+            (F.col("pipeline_name") == self.pipeline)
+            & (F.col("query_id") == query_id)
+            & (F.col("ingest_batch_id") == batch_id)
+        ).count()
 
     def complete(self, spark: SparkSession, batch_id: int, query_id: str, rows: int) -> int:
         """Moves the staged batch into the facts, notes it in the ledger, clears the stage.
@@ -200,32 +251,47 @@ class JdbcFactStore:
             f'cast("{c}" as varchar(256))' if c in NULLABLE_TEXT else f'"{c}"'
             for c in FACT_COLUMNS
         )
+        rule, mine = self._mine(batch_id, query_id)
         inserted, _, _ = self._execute(
             spark,
             (
                 f'insert into "{self.fact}" ({columns}) select {values} '
-                f'from "{self.staging}" s where s."ingest_batch_id" = ? and not exists '
+                f'from "{self.staging}" s where {rule} and not exists '
                 f'(select 1 from "{self.fact}" f where f."event_id" = s."event_id")',
-                batch_id,
+                *mine,
             ),
             (
                 f'insert into "{self.runs}" ("pipeline_name", "query_id", "batch_id", '
                 '"row_count") values (?, ?, ?, ?)',
                 self.pipeline, query_id, batch_id, rows,
             ),
-            (f'delete from "{self.staging}" where "ingest_batch_id" = ?', batch_id),
+            (f'delete from "{self.staging}" s where {rule}', *mine),
         )
         return inserted
 
 
-def load_historical(clean: DataFrame, store: ParquetFactStore | JdbcFactStore) -> int:
-    """Loads clean events as batch -1.  Ids already held are skipped, nothing happens for an
-    empty table, and loading twice changes nothing."""
+def input_digest(clean: DataFrame) -> str:
+    """Names a load by its events, in whatever order or files they come."""
+    ids = F.xxhash64("event_id")
+    n, total, mixed = clean.agg(
+        F.count("*"), F.sum(ids.cast("decimal(38,0)")), F.bit_xor(ids)
+    ).first()
+    return f"{n:x}-{int(total or 0) % (1 << 64):x}-{(mixed or 0) % (1 << 64):x}"
+
+
+def load_historical(
+    clean: DataFrame, store: ParquetFactStore | JdbcFactStore, load_id: str | None = None
+) -> int:
+    """Adds clean events to the facts as batch -1 of the load ``load_id`` (its input's digest
+    by default).  Ids already held are skipped; an empty table or a load that is complete
+    changes nothing.  Returns the load's rows."""
     if clean.isEmpty():
         return 0
     spark = clean.sparkSession
     store = replace(store, pipeline=HISTORICAL_PIPELINE)
-    rows = store.write(clean, HISTORICAL_BATCH_ID)
-    if not store.is_complete(spark, HISTORICAL_BATCH_ID, NO_QUERY):
-        store.complete(spark, HISTORICAL_BATCH_ID, NO_QUERY, rows)
+    load_id = load_id or input_digest(clean)
+    if store.is_complete(spark, HISTORICAL_BATCH_ID, load_id):
+        return 0
+    rows = store.write(clean, HISTORICAL_BATCH_ID, load_id)
+    store.complete(spark, HISTORICAL_BATCH_ID, load_id, rows)
     return rows

@@ -194,6 +194,51 @@ def test_historical_load_is_repeatable(spark, store):
     assert [r["pipeline_name"] for r in store.ledger(spark).collect()] == ["historical_batch_load"]
 
 
+def clean_batch(spark, *times):
+    return valid_batch(spark, *times).drop("source", "schema_version").withColumns(
+        {"category_id": F.lit(7).cast("bigint"), "session_id": F.lit("1-1")}
+    )
+
+
+def test_historical_loads_add_up(spark, store):
+    first = clean_batch(spark, *[NOON + n for n in range(10)])
+    second = clean_batch(spark, *[NOON + 86_400_000 * n for n in range(1, 6)])
+    both = clean_batch(spark, NOON, NOON + 86_400_000, NOON + 500)
+    for load, facts in ((first, 10), (second, 15), (first, 15), (both, 16), (second, 16)):
+        load_historical(load, store)
+        assert store.facts(spark).count() == facts
+    assert store.ledger(spark).count() == 3
+    assert len({r["query_id"] for r in store.ledger(spark).collect()}) == 3
+
+
+def test_loads_may_be_named(spark, store):
+    assert load_historical(clean_batch(spark, NOON), store, "may") == 1
+    assert load_historical(clean_batch(spark, NOON + 1), store, "may") == 0
+    assert store.facts(spark).count() == 1
+
+
+def test_two_streams_do_not_move_each_others_rows(spark, store):
+    store.write(valid_batch(spark, NOON, NOON + 1), 0, "a")
+    rows = store.write(valid_batch(spark, NOON + 2), 0, "b")
+    store.complete(spark, 0, "b", rows)
+    assert not store.is_complete(spark, 0, "a")
+    rows = store.write(valid_batch(spark, NOON, NOON + 1), 0, "a")
+    assert rows == 2
+    store.complete(spark, 0, "a", rows)
+    assert store.facts(spark).count() == 3
+
+
+def test_a_batch_reads_the_facts_of_its_dates_only(spark, tmp_path):
+    store = ParquetFactStore(str(tmp_path / "s"))
+    load_historical(clean_batch(spark, *[NOON + 86_400_000 * n for n in range(4)]), store)
+    touched = store._read(spark, "facts/day=2015-05-08", "facts/day=none")
+    held = {f.split("day=")[1][:10] for f in store._read(spark, "facts").inputFiles()}
+    assert len(held) == 4 and (touched is None or len(touched.inputFiles()) == 1)
+    moved = store.compact(spark, str(tmp_path / "t"))
+    assert moved.facts(spark).count() == 4 and moved.ledger(spark).count() == 1
+    assert load_historical(clean_batch(spark, *[NOON + 86_400_000 * n for n in range(4)]), moved) == 0
+
+
 def test_a_failing_commit_rolls_back(spark, tmp_path):
     store = derby(tmp_path, spark)
     broken = valid_batch(spark, NOON).withColumn("visitor_id", F.lit(-1).cast("bigint"))
