@@ -39,7 +39,7 @@ HASHES = BAND_ROWS * BANDS
 #: Chance at which a pair of the wanted similarity may be dropped.
 MISS = 1e-6
 #: Classes of a bucket that one task compares with as many others.
-TILE = 512
+TILE = 640
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0xC2B2AE3D27D4EB4F)
 _HALF = np.uint64(32)
