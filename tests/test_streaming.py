@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from cartlark.plans.etl import staged_events
 from cartlark.sources.fact_store import JdbcFactStore, ParquetFactStore, load_historical
 from cartlark.streaming.event_stream import (
+    LateRows,
     StreamConfig,
     batch_writer,
-    late_rows_dropped,
+    parse_events,
+    running,
+    sinks,
     split_events,
-    start_queries,
     valid_events,
-    parse_events,
 )
 
 ENVELOPE = (
@@ -47,18 +48,16 @@ def records(spark, folder):
 
 
 def run_once(spark, folder, config):
-    queries = start_queries(records(spark, folder), config, {"availableNow": True})
-    for query in queries:
-        query.awaitTermination()
-    return queries
+    outputs = sinks(records(spark, folder), config)
+    with running(outputs, config, availableNow=True) as queries:
+        for query in queries.values():
+            query.awaitTermination()
+        return {name: str(query.id) for name, query in queries.items()}
 
 
 @pytest.fixture
 def config(tmp_path):
-    return StreamConfig(
-        output_path=str(tmp_path / "out"), quarantine_path=str(tmp_path / "bad"),
-        checkpoint_path=str(tmp_path / "ckpt"),
-    )
+    return StreamConfig(str(tmp_path / "home"))
 
 
 DEFECTS = {
@@ -96,7 +95,7 @@ def test_stream_splits_deduplicates_and_restarts(spark, tmp_path, config):
     run_once(spark, source, config)
     store = config.store()
     assert store.facts(spark).count() == 2
-    assert spark.read.parquet(config.quarantine_path).count() == sum(map(len, DEFECTS.values()))
+    assert spark.read.parquet(config.folder("rejected")).count() == sum(map(len, DEFECTS.values()))
     send(spark, source, message(NOON), message(NOON + 2000))
     run_once(spark, source, config)  # goes on from the checkpoint
     assert store.facts(spark).count() == 3
@@ -113,17 +112,29 @@ def test_late_events_are_dropped_and_counted(spark, tmp_path, config):
     # Rows are late against the watermark of the batch before, hence the second row at noon.
     for ms in (NOON, NOON + 1, late, in_time):
         send(spark, source, message(ms))
-    valid, _ = run_once(spark, source, config)
-    kept = {r["source_timestamp_ms"] for r in config.store().facts(spark).collect()}
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        names = run_once(spark, source, config)
+        kept = {r["source_timestamp_ms"] for r in config.store().facts(spark).collect()}
+        # More reports than a query remembers.
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+        for step in range(4):
+            send(spark, source, message(NOON + 2 + step), message(late - step))
+        assert run_once(spark, source, config) == names
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(listener)
     assert kept == {NOON, NOON + 1, in_time}
-    assert late_rows_dropped(valid) == 1
+    assert listener.dropped[names["accepted"]] == 5
 
 
 def test_new_checkpoint_restarts_batch_numbers_without_losing_data(spark, tmp_path, config):
     source = tmp_path / "in"
     send(spark, source, message(NOON))
     run_once(spark, source, config)
-    other = StreamConfig(**{**config.__dict__, "checkpoint_path": str(tmp_path / "ckpt2")})
+    other = StreamConfig(config.home, checkpoints=str(tmp_path / "elsewhere"))
     send(spark, source, message(NOON + 5000))
     run_once(spark, source, other)
     facts = config.store().facts(spark)
@@ -257,8 +268,14 @@ def test_staging_needs_all_columns(spark):
 
 
 def test_config_from_environment():
-    config = StreamConfig.from_env({"KAFKA_TOPIC": "other", "CHECKPOINT_PATH": "/c"})
-    assert (config.topic, config.checkpoint_path, config.watermark) == ("other", "/c", "10 minutes")
+    env = {"CARTLARK_STREAM_HOME": "/h", "CARTLARK_STREAM_TOPIC": "other", "PATH": "/bin"}
+    config = StreamConfig.from_env(env)
+    assert (config.home, config.topic, config.watermark) == ("/h", "other", "10 minutes")
     assert isinstance(config.store(), ParquetFactStore)
-    jdbc = StreamConfig.from_env({"JDBC_URL": "jdbc:postgresql://db/x", "POSTGRES_USER": "u"}).store()
-    assert jdbc.properties == {"user": "u", "driver": "org.postgresql.Driver"}
+    jdbc = {"URL": "jdbc:postgresql://db/x", "USER": "u", "DRIVER": "org.postgresql.Driver"}
+    env |= {f"CARTLARK_STREAM_JDBC_{name}": value for name, value in jdbc.items()}
+    store = StreamConfig.from_env(env).store()
+    assert store.url == jdbc["URL"]
+    assert store.properties == {"user": "u", "driver": "org.postgresql.Driver"}
+    with pytest.raises(ValueError, match="HOME"):
+        StreamConfig.from_env({})
