@@ -14,6 +14,8 @@ EVENT_WEIGHTS = {"view": 1.0, "addtocart": 3.0, "transaction": 5.0}
 REPLAY_SOURCE = "retailrocket_replay"
 BATCH_SOURCE = "retailrocket_batch"
 SCHEMA_VERSION = 1
+# The last millisecond of the year 9999: later instants have no four-digit year.
+LAST_TIMESTAMP_MS = 253_402_300_799_999
 EVENT_ID_PATTERN = "^[0-9a-f]{64}$"
 HISTORICAL_BATCH_ID = -1
 UNKNOWN_CATEGORY = -1

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlark.functions.numbers import floor_div
+
 HOUR_MS = 3_600_000
 # A broadcast table of three numbers per row: about 100 MB at this many rows.  The second
 # limit bounds the intervals that one row is compared with.
@@ -35,7 +37,7 @@ def asof_lookup(
         .unionByName(observations.select(key, time, value, F.lit(0).alias("_probe")))
         .groupBy(key, time)
         .agg(F.max(value).alias("_seen"), F.max("_probe").alias("_probe"))
-        .withColumn("_bucket", F.floor(F.col(time) / F.lit(bucket_width)))
+        .withColumn("_bucket", floor_div(F.col(time), bucket_width))
     )
     within = (
         Window.partitionBy(key, "_bucket").orderBy(time)
@@ -111,7 +113,7 @@ def validity_intervals(
     bucket, so that a key with very many observations is still split.
     """
     bucketed = observations.withColumnRenamed(time, start).withColumn(
-        "_bucket", F.floor(F.col(start) / F.lit(bucket_width))
+        "_bucket", floor_div(F.col(start), bucket_width)
     )
     following = (
         bucketed.groupBy(key, "_bucket").agg(F.min(start).alias("_first"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlark.functions.numbers import floor_div
 from cartlark.functions.vectors import dot, softplus, unit
 from cartlark.operators.asof import asof_lookup
 
@@ -29,7 +30,7 @@ def _seen_blocks(seen: DataFrame, chunk: int) -> DataFrame:
     """
     in_chunk = Window.partitionBy("user_index", "_chunk").orderBy("item_index")
     runs = (
-        seen.withColumn("_chunk", F.floor(F.col("item_index") / F.lit(chunk)))
+        seen.withColumn("_chunk", floor_div(F.col("item_index"), chunk))
         .withColumn("_fold", F.col("item_index") - F.row_number().over(in_chunk))
         .groupBy("user_index", "_chunk", "_fold")
         .agg(F.min("item_index").alias("first"), F.max("item_index").alias("last"))
@@ -84,6 +85,13 @@ def _walk(starts: DataFrame, seen: DataFrame, item_count: int, chunk: int) -> Da
     )
 
 
+def _require_some(finished: DataFrame, candidates: DataFrame) -> None:
+    """Fails where users have seen everything and no row is left.  Mostly there is no such
+    user, and the rows are not looked at."""
+    if not finished.isEmpty() and candidates.isEmpty():
+        raise ValueError("no user has an item left that could be a negative")
+
+
 def negative_samples(
     rows: DataFrame, seen: DataFrame, item_count: int, *, seed: int = 42, seed_offset: int = 0,
     rows_are_seen: bool = False, chunk: int = CHUNK,
@@ -91,7 +99,8 @@ def negative_samples(
     """Adds ``negative_index`` to ``rows(position, user_index, item_index, ...)``.
 
     ``seen`` holds distinct training ``(user_index, item_index)``.  The row's own item is
-    never its negative either.  Rows of users who have no other item left are dropped.
+    never its negative either.  Rows of users who have no other item left are dropped.  It
+    is an error if no item is left for any of the users.
     ``rows_are_seen`` says that ``seen`` was taken from these very rows, which makes the
     checks for own items outside it unnecessary.
     """
@@ -107,6 +116,7 @@ def negative_samples(
     if rows_are_seen:
         done = nearly_done.filter(F.col("_seen") >= item_count)
         candidates = rows_with_start.join(done, "user_index", "left_anti")
+        _require_some(done, candidates)
         starts = candidates.select("user_index", F.col("_start").alias("start"))
         landings = _walk(starts, seen, item_count, chunk)
         return candidates.join(
@@ -124,6 +134,7 @@ def negative_samples(
         .withColumn("_next", F.pmod(F.col("item_index") + 1, F.lit(item_count)))
         .drop("_seen")
     )
+    _require_some(nearly_done, candidates)
     starts = candidates.select("user_index", F.col("_start").alias("start")).unionByName(
         candidates.filter(own_unseen).select("user_index", F.col("_next").alias("start"))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlark.functions.contract import (
+    LAST_TIMESTAMP_MS,
     REPLAY_SOURCE,
     SCHEMA_VERSION,
     event_fingerprint,
@@ -42,16 +43,19 @@ def _whole_number(df: DataFrame, name: str) -> Column:
 def _classified(raw: DataFrame) -> DataFrame:
     """Typed columns beside the raw ones, and the first rule a row breaks (or null)."""
     event = F.lower(F.coalesce(_text(raw, "event"), F.lit("")))
-    reason = F.lit(None).cast("string")
-    reason = F.when(~is_supported(event), "unsupported event type").otherwise(reason)
-    for name in reversed(ID_FIELDS):
+    rules = []
+    for name in ID_FIELDS:
         number = _whole_number(raw, name)
-        reason = (
-            F.when(_missing(raw, name), f"missing required field: {name}")
-            .when(number.isNull(), f"{name} must be an integer")
-            .when(number < 0, f"{name} must be non-negative")
-            .otherwise(reason)
-        )
+        rules += [
+            (f"{name}:blank", _missing(raw, name)),
+            (f"{name}:not_whole", number.isNull()),
+            (f"{name}:below_zero", number < 0),
+        ]
+    rules += [
+        ("timestamp:out_of_range", _whole_number(raw, "timestamp") > LAST_TIMESTAMP_MS),
+        ("event:unsupported", ~is_supported(event)),
+    ]
+    reason = F.coalesce(*(F.when(broken, F.lit(code)) for code, broken in rules))
     transaction = _text(raw, "transactionid")
     return raw.select(
         F.struct(*raw.columns).alias("raw"),
@@ -89,11 +93,15 @@ def with_event_id(events: DataFrame) -> DataFrame:
 def distinct_events(events: DataFrame) -> DataFrame:
     """One row per event, by its five identifying fields.
 
-    The event id is a one-to-one function of these fields, so this keeps the rows that a
-    deduplication by id would keep, shuffles short fields instead of 64-character digests,
-    and collapses copies before the shuffle.
+    The event id is a one-to-one function of these fields, in which no transaction and an
+    empty one are the same, so this keeps the rows that a deduplication by id would keep,
+    shuffles short fields instead of 64-character digests, and collapses copies before the
+    shuffle.
     """
-    return events.select("timestamp", "visitorid", "event", "itemid", "transactionid").distinct()
+    return events.select(
+        "timestamp", "visitorid", "event", "itemid",
+        F.nullif("transactionid", F.lit("")).alias("transactionid"),
+    ).distinct()
 
 
 def dedup_events(events: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def nth_key(
 
     Every step counts the remaining rows in at most ``fanout`` ranges of one key (or per
     next character of a text key), reads those few counts, and keeps the range that holds
-    the row.  Only when at most ``leaf`` rows remain are they sorted.
+    the row.  Only when at most ``leaf`` rows remain are they sorted.  Keys must not be null.
     """
     rows = df.select(*keys)
     rank = n
@@ -101,7 +101,13 @@ def nth_key(
     # Either few rows remain, or all that remain are equal in every key.
     if not finished:
         return rows.first()
-    return rows.orderBy(*keys).limit(rank).agg(F.max(F.struct(*keys)).alias("k")).first()["k"]
+    return nth_of_few(rows, keys, rank)
+
+
+def nth_of_few(rows: DataFrame, keys: Sequence[str], n: int) -> Row:
+    """The ``n``-th (1-based) key tuple of a table small enough to be sorted at once."""
+    first = rows.orderBy(*keys).limit(n)
+    return first.agg(F.max(F.struct(*keys)).alias("k")).first()["k"]
 
 
 def _pick(counts: list[Row], rank: int) -> tuple[Row, int]:
@@ -120,9 +126,7 @@ def _narrow_number(rows: DataFrame, key: str, rank: int, fanout: int, leaf: int)
         if low == high:
             return rows, rank, False
         width = (high - low) // fanout + 1
-        slot = F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("bigint")
-        if high - low >= 1 << 52:  # beyond exact doubles: divide whole numbers
-            slot = F.expr(f"(cast(`{key}` as decimal(38,0)) - {low}) div {width}")
+        slot = F.expr(f"(cast(`{key}` as decimal(38,0)) - {low}) div {width}")
         counts = rows.groupBy(slot.alias("slot")).count().withColumnRenamed("count", "n")
         chosen, rank = _pick(counts.collect(), rank)
         start = low + int(chosen["slot"]) * width

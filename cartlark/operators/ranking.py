@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlark.functions.numbers import floor_div
 from cartlark.operators.positions import with_position
+from cartlark.session import materialize
 
 
 # Ranks per chunk: bounds a window group for users who have seen a large part of the catalogue.
 CHUNK = 65_536
+# The ranking rows that may be broadcast, at an assumed size each, and the copies of every
+# ranking row beyond that.
+BROADCAST_BYTES, RANK_BYTES = 64 << 20, 64
+SALTS = 256
 
 
 def popularity(interactions: DataFrame) -> DataFrame:
@@ -28,7 +34,7 @@ def _skips(seen_ranks: DataFrame, k: int, chunk: int) -> DataFrame:
     plus the counts of earlier chunks, and chunks that start beyond ``k`` unseen items are
     dropped whole.
     """
-    chunked = seen_ranks.withColumn("_chunk", F.floor(F.col("popularity_rank") / F.lit(chunk)))
+    chunked = seen_ranks.withColumn("_chunk", floor_div(F.col("popularity_rank"), chunk))
     earlier = (
         Window.partitionBy("user_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -88,4 +94,21 @@ def popularity_top_k(
         .withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
         .select("user_id", "rank", (F.col("rank") + skipped_before).alias("popularity_rank"))
     )
-    return wanted.join(ranking, "popularity_rank").select("user_id", "rank", "item_id", "score")
+    return _at_ranks(materialize(wanted), ranking)
+
+
+def _at_ranks(wanted: DataFrame, ranking: DataFrame) -> DataFrame:
+    """Puts items on wanted ranks.  Most users want the first ranks, so the rank alone is no
+    key to shuffle by: the part of the ranking up to the last wanted rank is broadcast while
+    its size allows, and otherwise dealt out with its rows repeated over salts."""
+    last = wanted.agg(F.max("popularity_rank")).first()[0]
+    top = ranking.filter(F.col("popularity_rank") <= F.lit(-1 if last is None else last))
+    if last is None or (last + 1) * RANK_BYTES <= BROADCAST_BYTES:
+        joined = wanted.join(F.broadcast(top), "popularity_rank")
+    else:
+        salt = F.pmod(F.xxhash64("user_id"), F.lit(SALTS)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        joined = wanted.withColumn("_salt", salt).join(
+            top.withColumn("_salt", every), ["popularity_rank", "_salt"]
+        )
+    return joined.select("user_id", "rank", "item_id", "score")

@@ -75,8 +75,7 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def _best_of_group(k: int):
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        asking = left["embedding"].notna()
-        users, seen = left[asking], left[~asking]
+        users, seen = left[left["asks"]], left[~left["asks"]]
         found = [pd.DataFrame({"user_id": [], "item_id": [], "score": []})]
         if users.empty or right.empty:
             return found[0]
@@ -105,6 +104,12 @@ def _best_of_group(k: int):
     return best
 
 
+def with_usable_vector(rows: DataFrame) -> DataFrame:
+    """Rows whose ``embedding`` is neither null nor empty and has no null or NaN in it."""
+    broken = F.exists("embedding", lambda x: x.isNull() | F.isnan(x))
+    return rows.filter(F.coalesce((F.size("embedding") > 0) & ~broken, F.lit(False)))
+
+
 def top_k_items(
     users: DataFrame, items: DataFrame, seen: DataFrame, k: int,
     *, users_per_shard: int = USERS_PER_SHARD, items_per_block: int = ITEMS_PER_BLOCK,
@@ -113,8 +118,9 @@ def top_k_items(
     (to six places), ties to the smaller item id; fewer rows when fewer items are left.
 
     ``users(user_id, embedding)`` and ``items(item_id, embedding)`` have unique ids; ``seen``
-    holds distinct ``(user_id, item_id)`` pairs.
+    holds distinct ``(user_id, item_id)`` pairs.  Rows without a usable vector take no part.
     """
+    users, items = with_usable_vector(users), with_usable_vector(items)
     user_count, item_count = users.count(), items.count()
     blocks = max(1, ceil(item_count / items_per_block))
     # Smaller shards than allowed where there would be too few groups to keep all cores busy.
@@ -130,11 +136,11 @@ def top_k_items(
     asking = users.select(
         shard.alias("shard"), every(blocks).alias("block"), "user_id",
         F.lit(0).cast("bigint").alias("item_id"),  # not null: ids must stay whole numbers
-        "embedding",
+        "embedding", F.lit(True).alias("asks"),
     )
     hidden = seen.join(users, "user_id", "left_semi").select(
         shard.alias("shard"), block.alias("block"), "user_id", "item_id",
-        F.lit(None).cast(vector_type).alias("embedding"),
+        F.lit(None).cast(vector_type).alias("embedding"), F.lit(False).alias("asks"),
     )
     offered = items.select(
         every(shards).alias("shard"), block.alias("block"), "item_id", "embedding",

@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlark.functions.numbers import floor_div
+
 
 def _bucket(time: str, gap_ms: int) -> Column:
-    return F.floor(F.col(time) / F.lit(max(gap_ms, 1)))
+    return floor_div(F.col(time), max(gap_ms, 1))
 
 
 def session_numbers(events: DataFrame, *, visitor: str, time: str, gap_ms: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cartlark.functions.contract import (
     BATCH_SOURCE,
     EVENT_ID_PATTERN,
+    LAST_TIMESTAMP_MS,
     is_event,
     is_supported,
     ratio,
@@ -327,6 +328,9 @@ def constraint_audit(events: DataFrame) -> DataFrame:
         "event_id unique": F.count("event_id") - F.count_distinct("event_id"),
         "event_id pattern": F.count_if(~F.col("event_id").rlike(EVENT_ID_PATTERN)),
         "event_type supported": F.count_if(~is_supported("event_type")),
+        "source_timestamp_ms in range": F.count_if(
+            F.col("source_timestamp_ms") > LAST_TIMESTAMP_MS
+        ),
         **blank,
         **ranges,
     }

@@ -113,7 +113,8 @@ def ranking_metrics(
 
     ``recommendations``: per model ``(user_id, rank, item_id)`` with ranks from zero;
     ``truth(user_id, item_id)`` distinct; ``catalog(item_id)`` distinct.  ``cohorts(user_id,
-    cohort)`` may put a user into several cohorts; by default there is one for all.
+    cohort)`` may put a user into several cohorts; by default there is one for all.  Where
+    nothing is to be found, the overall cohort has zeros.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -144,16 +145,21 @@ def ranking_metrics(
             "cohort", "model", F.round(F.try_divide(F.col("n"), catalog_size), 6).alias("coverage")
         )
     )
-    # One row per cohort and model on either side: put together by grouping.
+    models = truth.sparkSession.createDataFrame(
+        [("overall", model) for model in recommendations], "cohort string, model string"
+    )
+    # One row per cohort and model on any side: put together by grouping.
+    zero = F.lit(0.0)
     return (
         scored.unionByName(covered, allowMissingColumns=True)
+        .unionByName(models, allowMissingColumns=True)
         .groupBy("cohort", "model")
         .agg(
-            F.max("recall").alias("recall"),
-            F.max("hit_rate").alias("hit_rate"),
-            F.max("ndcg").alias("ndcg"),
-            F.coalesce(F.max("coverage"), F.lit(0.0)).alias("catalog_coverage"),
-            F.max("evaluated_users").alias("evaluated_users"),
+            F.coalesce(F.max("recall"), zero).alias("recall"),
+            F.coalesce(F.max("hit_rate"), zero).alias("hit_rate"),
+            F.coalesce(F.max("ndcg"), zero).alias("ndcg"),
+            F.coalesce(F.max("coverage"), zero).alias("catalog_coverage"),
+            F.coalesce(F.max("evaluated_users"), F.lit(0)).alias("evaluated_users"),
         )
     )
 

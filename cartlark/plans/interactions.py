@@ -14,6 +14,7 @@ INTERACTION_ORDER = ("event_time", "visitor_id", "item_id")
 
 def load_interactions(clean: DataFrame) -> DataFrame:
     """Supported events with a weight, a readable time and a known-or-minus-one category.
+    A row whose time is null or unreadable has no place in time and is left out.
     Rows are not sorted here: order is a matter for the writer or the operator that needs it.
     """
     require_columns(clean, INTERACTION_COLUMNS, "clean events")
@@ -27,11 +28,12 @@ def load_interactions(clean: DataFrame) -> DataFrame:
         .filter(F.col("event_type").isin(*EVENT_TYPES))
         .withColumns(
             {
-                "event_time": F.col("event_time").cast("timestamp"),
+                "event_time": F.col("event_time").try_cast("timestamp"),
                 "weight": interaction_weight(),
                 "category_id": category,
             }
         )
+        .filter(F.col("event_time").isNotNull())
     )
 
 

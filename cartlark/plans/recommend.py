@@ -16,7 +16,7 @@ from cartlark.operators.negatives import (
     pairwise_loss,
 )
 from cartlark.operators.ranking import popularity_top_k
-from cartlark.operators.retrieval import top_k_items
+from cartlark.operators.retrieval import top_k_items, with_usable_vector
 from cartlark.plans.interactions import indexed_interactions, vocabulary
 from cartlark.session import materialize
 
@@ -31,10 +31,11 @@ def recommend(
     seen: DataFrame, k: int = 10, filter_seen: bool = True,
 ) -> DataFrame:
     """``(user_id, strategy, rank, item_id, score)`` for every user in ``users(user_id)``:
-    vector retrieval where the user has a vector, popularity otherwise."""
+    vector retrieval where the user has a usable vector, popularity otherwise."""
     if not 1 <= k <= MAX_K:
         raise ValueError(f"k must be between 1 and {MAX_K}")
     hidden = seen if filter_seen else seen.filter(F.lit(False))
+    user_vectors = with_usable_vector(user_vectors)
     warm = user_vectors.join(users, "user_id", "left_semi")
     cold = users.join(user_vectors, "user_id", "left_anti")
     retrieved = top_k_items(warm, item_vectors, hidden, k)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartlark.operators.positions import dense_index, nth_key, with_position, with_previous
+from cartlark.operators import split
 from cartlark.operators.split import split_metadata, split_part, temporal_split
 
 
@@ -93,5 +94,55 @@ def test_split_arguments(spark, fractions):
 
 
 def test_split_of_nothing(spark):
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="0 rows"):
         temporal_split(hourly(spark, 0))
+
+
+@pytest.mark.parametrize("n", [700, 70_000])
+def test_null_times_come_last_at_every_size(spark, n):
+    events = spark.range(n).select(
+        F.when(F.col("id") % 20 != 7, F.timestamp_seconds(F.col("id") % 50)).alias("event_time"),
+        (F.col("id") % 13).alias("visitor_id"), (F.col("id") % 7).alias("item_id"),
+        F.col("id").cast("string").alias("event_id"),
+    )
+    parts = temporal_split(events)
+    counts = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
+    assert counts == {"train": n * 8 // 10, "validation": n // 10, "test": n // 10}
+    assert parts.filter("event_time is null and split = 'train'").isEmpty()
+    assert parts.filter("event_time is null").count() == n // 20
+    assert parts.filter("event_time is null and split = 'validation'").isEmpty()
+
+
+def test_a_cut_inside_a_hot_instant(spark):
+    n = 150_000  # two thirds of the rows at one instant
+    events = spark.range(n).select(
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(90_000)))
+        .alias("event_time"),
+        (F.col("id") % 1000).alias("visitor_id"), F.lit(1).cast("bigint").alias("item_id"),
+        F.col("id").cast("string").alias("event_id"),
+    )
+    parts = temporal_split(events, 0.5, 0.25)
+    counts = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
+    assert counts == {"train": n // 2, "validation": n // 4, "test": n // 4}
+    order = F.struct("event_time", "visitor_id", "item_id", "event_id")
+    ends = parts.groupBy("split").agg(F.min(order).alias("low"), F.max(order).alias("high"))
+    ends = {r["split"]: r for r in ends.collect()}
+    assert ends["train"]["high"] < ends["validation"]["low"]
+    assert ends["validation"]["high"] < ends["test"]["low"]
+
+
+def test_time_limits_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.range(10).select(F.timestamp_seconds("id").alias("event_time")).write.parquet(path)
+    narrowed = spark.read.parquet(path).filter(split._within(0, split.MINUTE))
+    plan = narrowed._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_time" in plan and "LessThan(event_time" in plan
+
+
+@pytest.mark.parametrize(("rows", "fractions", "ends"), [
+    (100, (0.29, 0.0), (29, 30)), (1, (0.8, 0.1), (1, 1)), (2, (0.1, 0.1), (1, 2)),
+    (10, (0.7, 0.2), (7, 9)),
+])
+def test_sizes_round_down_exactly(rows, fractions, ends):
+    sizes = split.split_sizes(rows, *fractions)
+    assert (sizes.train_end, sizes.validation_end) == ends

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartlark.operators.negatives import STRIDE, negative_samples, pairwise_loss
+from cartlark.operators import ranking
 from cartlark.operators.ranking import popularity, popularity_top_k
 from cartlark.operators.retrieval import similar_items, top_k_items, vector_audit
 from cartlark.plans import artifacts, evaluation
@@ -137,6 +138,52 @@ def test_recommend_warm_and_cold(spark):
             recommend(users_of(spark, 1), *arguments, k=k)
 
 
+@pytest.mark.parametrize("broken", [None, [], [1.0, None], [float("nan"), 1.0]])
+def test_users_and_items_without_a_usable_vector(spark, broken):
+    found = recommend(
+        users_of(spark, 1, 2),
+        frame(spark, [(1, [1.0, 0.0]), (2, broken)], VECTORS.format("user")),
+        frame(spark, [(10, [1.0, 0.0]), (20, broken)], VECTORS.format("item")),
+        popularity(frame(spark, [(20, 5.0), (10, 2.0)], "item_id bigint, weight double")),
+        frame(spark, [(2, 20)], PAIRS), k=1,
+    )
+    assert {(r["user_id"], r["strategy"], r["item_id"]) for r in found.collect()} == {
+        (1, EMBEDDING_STRATEGY, 10), (2, COLD_STRATEGY, 10),
+    }
+
+
+def test_popularity_without_a_shuffle_by_rank(spark, monkeypatch):
+    items = frame(spark, [(i, float(1000 - i)) for i in range(200)], "item_id bigint, weight double")
+    order = popularity(items)
+    seen = spark.range(3000).select(
+        F.col("id").alias("user_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 150).cast("bigint").alias("item_id"),
+    )
+    users = seen.select("user_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sent = popularity_top_k(users, order, seen, 5)
+        monkeypatch.setattr(ranking, "BROADCAST_BYTES", 0)
+        salted = popularity_top_k(users, order, seen, 5)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(popularity_rank#" in plan and "_salt#" in plan
+        assert not [x for x in plan.splitlines() if "SortMergeJoin [popularity_rank" in x and "_salt" not in x]
+        assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, salted.collect()))
+        assert sent.count() == 15_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_it_is_an_error_when_no_negative_is_left(spark):
+    rows = frame(
+        spark, [(0, 0, 0), (1, 0, 1)], "position bigint, user_index bigint, item_index bigint"
+    )
+    seen = rows.select("user_index", "item_index")
+    for own in (True, False):
+        with pytest.raises(ValueError, match="no user has an item left"):
+            negative_samples(rows, seen, 2, rows_are_seen=own)
+
+
 def ranked(spark, lists):
     return frame(
         spark, [(u, n, i) for u, items in lists.items() for n, i in enumerate(items)],
@@ -167,11 +214,12 @@ def test_ndcg_of_a_perfect_and_a_partial_list(spark):
     assert row["ndcg"] == pytest.approx((1 + partial) / 2, abs=1e-6)
 
 
-def test_no_truth_gives_no_rows_and_k_is_checked(spark):
+def test_no_truth_gives_zeros_and_k_is_checked(spark):
     lists = {"m": ranked(spark, {1: [1]})}
     none = frame(spark, [], PAIRS)
     catalog = frame(spark, [(1,)], "item_id bigint")
-    assert evaluation.ranking_metrics(lists, none, catalog, 2).isEmpty()
+    rows = evaluation.ranking_metrics(lists, none, catalog, 2).collect()
+    assert [tuple(r) for r in rows] == [("overall", "m", 0.0, 0.0, 0.0, 0.0, 0)]
     with pytest.raises(ValueError):
         evaluation.ranking_metrics(lists, none, catalog, 0)
 

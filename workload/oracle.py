@@ -6,7 +6,9 @@ the SQL here says the definition directly: interval join, ``row_number``, neares
 
 from __future__ import annotations
 
-from workload.queries import DATE_FROM, DATE_TO, K, MAX_USERS, SAMPLE, SEED
+from cartlark.functions.contract import LAST_TIMESTAMP_MS
+from workload.queries import DATE_FROM, DATE_TO, K, SAMPLE, SEED
+from workload.tables import SPOILED
 
 KIND = """case event_type when 'click' then 'addtocart' when 'purchase' then 'transaction'
  else event_type end"""
@@ -73,6 +75,58 @@ _CLEAN = """clean as (
  asof left join iv a on e.itemid = a.itemid and e.ts_ms >= a.valid_from_ms
  join ses s using (event_id))"""
 
+def _spoiled(column: str, text: str) -> str:
+    every, values = SPOILED[column]
+    cases = " ".join(
+        f"when {i} then " + ("null" if value is None else f"'{value}'")
+        for i, value in enumerate(values)
+    )
+    return f"case seq % {every} {cases} else ' ' || {text} || ' ' end"
+
+
+def _number(text: str) -> str:
+    return f"""case when regexp_full_match(trim({text}), '[+-]?[0-9]+')
+ then try_cast(trim({text}) as bigint) end"""
+
+
+def _broken(name: str, text: str, number: str) -> str:
+    return f"""when coalesce(trim({text}), '') = '' then '{name}:blank'
+ when {number} is null then '{name}:not_whole' when {number} < 0 then '{name}:below_zero'"""
+
+
+DIRTY = f"""with {_raw(USER, KEY)},
+dirty as (
+ select seq, {_spoiled('timestamp', 'ts_ms')} as t, {_spoiled('visitorid', 'visitorid')} as v,
+  {_spoiled('itemid', 'itemid')} as i,
+  case when seq % 3 = 0 then upper(event) else event || '  ' end as e,
+  case when seq % 5 = 0 then '  ' else txn end as x from raw),
+parsed as (
+ select *, {_number('t')} as tn, {_number('v')} as vn, {_number('i')} as n,
+  lower(trim(coalesce(e, ''))) as kind from dirty),
+judged as (
+ select *, case {_broken('timestamp', 't', 'tn')} {_broken('visitorid', 'v', 'vn')}
+  {_broken('itemid', 'i', 'n')} when tn > {LAST_TIMESTAMP_MS} then 'timestamp:out_of_range'
+  when kind not in {TYPES} then 'event:unsupported' end as reason from parsed)"""
+
+
+def _audit(prefix: str, facts: str) -> str:
+    return f"""{prefix}, counted as (select
+ count(event_id) - count(distinct event_id) as a0,
+ count(*) filter (not regexp_full_match(event_id, '[0-9a-f]{{64}}')) as a1,
+ count(*) filter (event_type not in {TYPES}) as a2,
+ count(*) filter (event_id is null) as a3, count(*) filter (ts_ms is null) as a4,
+ count(*) filter (event_time is null) as a5, count(*) filter (visitor_id is null) as a6,
+ count(*) filter (item_id is null) as a7, count(*) filter (event_type is null) as a8,
+ count(*) filter (ts_ms < 0) as a9, count(*) filter (visitor_id < 0) as a10,
+ count(*) filter (item_id < 0) as a11, count(*) filter (ts_ms > {LAST_TIMESTAMP_MS}) as a12
+ from {facts})
+select unnest(['event_id unique', 'event_id pattern', 'event_type supported', 'event_id not null',
+ 'source_timestamp_ms not null', 'event_time not null', 'visitor_id not null', 'item_id not null',
+ 'event_type not null', 'source_timestamp_ms non-negative', 'visitor_id non-negative',
+ 'item_id non-negative', 'source_timestamp_ms in range']) as rule,
+ unnest([a0, a1, a2, a3, a4, a5, a6, a7, a8, a9, a10, a11, a12]) as violations from counted"""
+
+
 EVENTS = f"with {_raw(USER, KEY)}, {_STEPS}"
 CLEAN = f"{EVENTS}, {_sessions(30)}, {_CLEAN}"
 SHOP = f"with {_raw(SHOPPER, PRODUCT)}, {_STEPS}, {_sessions(30)}, {_CLEAN}"
@@ -283,7 +337,7 @@ recs as (
 
 EVAL = f"""{REC},
 sampled as (
- select user_id from users order by sha256('{SEED}|' || user_id), user_id limit {MAX_USERS}),
+ select user_id from users order by sha256('{SEED}|' || user_id), user_id),
 sample_rows as (select * from test where visitor_id in (select user_id from sampled)),
 truth as materialized (
  select distinct visitor_id as user_id, item_id from sample_rows
@@ -388,7 +442,7 @@ ORACLE: dict[str, str] = {
     "normalize_events": f"""{EVENTS} select ts_ms as "timestamp", visitorid, event, itemid,
  txn as transactionid from acc""",
     "rejected_events": f"""{EVENTS} select seq, ts_ms as "timestamp", visitorid, event, itemid,
- txn as transactionid, 'unsupported event type' as reason from raw where event not in {TYPES}""",
+ txn as transactionid, 'event:unsupported' as reason from raw where event not in {TYPES}""",
     "filter_event_types": f"""{EVENTS} select seq, ts_ms as "timestamp", visitorid, event, itemid,
  txn as transactionid from acc""",
     "event_id": f"""{IDENTIFIED} select event_id, ts_ms as "timestamp" from con""",
@@ -400,20 +454,30 @@ ORACLE: dict[str, str] = {
     "replay_delays": f"""{IDENTIFIED} select event_id, cast(coalesce(least(
  greatest(ts_ms - lag(ts_ms) over (order by ts_ms, event_id), 0) / 1000 / 3600.0, 0.05), 0)
  as double) as delay_seconds from con""",
-    "constraint_audit": f"""{CLEAN}, counted as (select
- count(*) - count(distinct event_id) as a0,
- count(*) filter (not regexp_full_match(event_id, '[0-9a-f]{{64}}')) as a1,
- count(*) filter (event_type not in {TYPES}) as a2,
- count(*) filter (event_id is null) as a3, count(*) filter (ts_ms is null) as a4,
- count(*) filter (event_time is null) as a5, count(*) filter (visitor_id is null) as a6,
- count(*) filter (item_id is null) as a7, count(*) filter (event_type is null) as a8,
- count(*) filter (ts_ms < 0) as a9, count(*) filter (visitor_id < 0) as a10,
- count(*) filter (item_id < 0) as a11 from clean)
-select unnest(['event_id unique', 'event_id pattern', 'event_type supported', 'event_id not null',
- 'source_timestamp_ms not null', 'event_time not null', 'visitor_id not null', 'item_id not null',
- 'event_type not null', 'source_timestamp_ms non-negative', 'visitor_id non-negative',
- 'item_id non-negative']) as rule,
- unnest([a0, a1, a2, a3, a4, a5, a6, a7, a8, a9, a10, a11]) as violations from counted""",
+    "constraint_audit": _audit(CLEAN, "clean"),
+    "audit_spoiled_facts": _audit(DIRTY, f"""(select
+ case seq % 31 when 0 then 'XYZ' when 1 then null else sha256(cast(seq as varchar)) end as event_id,
+ tn as ts_ms, case when tn <= {LAST_TIMESTAMP_MS} then tn end as event_time, vn as visitor_id,
+ n as item_id, kind as event_type from judged)"""),
+    "normalize_text_events": f"""{DIRTY} select tn as "timestamp", vn as visitorid, kind as event,
+ n as itemid, nullif(trim(x), '') as transactionid from judged where reason is null""",
+    "rejected_text_events": f"""{DIRTY} select seq, t as "timestamp", v as visitorid, e as event,
+ i as itemid, x as transactionid, reason from judged where reason is not null""",
+    "historical_loads": f"""{CLEAN}, halves as (
+ select count(*) filter (ts_ms % 2 = 0) as even, count(*) filter (ts_ms % 2 = 1) as odd from clean)
+select unnest(['even', 'odd', 'all']) as load, unnest([even, odd, 0]) as added,
+ unnest([even, even + odd, even + odd]) as facts from halves""",
+    "als_user_factors": f"""{_split(SHOP)} select distinct visitor_id as user_id,
+ cast(16 as bigint) as dim, cast(1 as double) as norm from parts where split = 'train'""",
+    "als_item_factors": f"""{_split(SHOP)} select distinct item_id, cast(16 as bigint) as dim,
+ cast(1 as double) as norm from parts where split = 'train'""",
+    "als_sweep": """select cast(unnest([1, 3]) as bigint) as epoch,
+ true as train_loss_below_log_2, true as validation_loss_below_log_2""",
+    "best_epoch": """with history as (
+ select l_linenumber as epoch, max(case when l_linenumber % 3 <> 0 then abs(l_linenumber - 4) / 8.0
+ end) as validation_loss from lineitem group by 1)
+select cast(arg_min(epoch, (validation_loss, epoch)) as bigint) as best_epoch from history
+where validation_loss is not null""",
     "category_observations": f"""{EVENTS} select itemid, ts_ms as "timestamp", category_id
  from obs""",
     "category_intervals": f"{EVENTS} select * from iv",
@@ -505,7 +569,9 @@ union all select 'funnel_users', cast(sum(users) as bigint) from st""",
  count(*) filter (split = 'validation') as validation_rows,
  count(*) filter (split = 'test') as test_rows,
  max(ts_ms) filter (split = 'train') as train_end,
- max(ts_ms) filter (split = 'validation') as validation_end from parts""",
+ max(ts_ms) filter (split = 'validation') as validation_end,
+ cast(1 as double) as view_weight, cast(3 as double) as addtocart_weight,
+ cast(5 as double) as transaction_weight from parts""",
     "popularity": f"{REC} select * from pop",
     "bulk_popularity": f"""{_split(BULK)} select item_id, score,
  row_number() over (order by score desc, item_id) - 1 as popularity_rank

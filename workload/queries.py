@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlark.operators import merge, negatives, normalize, ranking, retrieval, split
+from cartlark.functions.vectors import norm as vector_norm
 from cartlark.operators.asof import validity_intervals
 from cartlark.operators.sessions import with_sessions
 from cartlark.plans import analytics, etl, evaluation, interactions, recommend
 from cartlark.plans.replay import replay_delays
+from cartlark.session import shared_dir
 from cartlark.sources import kafka
+from cartlark.sources.fact_store import ParquetFactStore, load_historical
 from cartlark.streaming import event_stream
 from workload import tables
 
 K = 10
 SEED = 42
-MAX_USERS = 5000
 SAMPLE = 200
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +52,34 @@ def query(build: Query) -> Query:
 # --- raw events ------------------------------------------------------------------------
 
 
+@query
+def normalize_text_events(spark, sf):
+    return normalize.normalize_events(tables.text_events(spark, sf))
+
+
+@query
+def rejected_text_events(spark, sf):
+    return normalize.rejected_events(tables.text_events(spark, sf))
+
+
+@query
+def audit_spoiled_facts(spark, sf):
+    return analytics.constraint_audit(tables.spoiled_facts(spark, sf))
+
+
+@query
+def historical_loads(spark, sf):
+    """Clean events loaded by halves, then as a whole, which adds nothing."""
+    clean = tables.clean_events(spark, sf)
+    store = ParquetFactStore(f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/history")
+    odd = F.pmod("source_timestamp_ms", F.lit(2)) == 1
+    rows = []
+    for name, part in (("even", clean.filter(~odd)), ("odd", clean.filter(odd)), ("all", clean)):
+        added = load_historical(part, store)
+        rows.append((name, added, store.facts(spark).count()))
+    return spark.createDataFrame(rows, "load string, added bigint, facts bigint")
+
+
 @query
 def normalize_events(spark, sf):
     return normalize.normalize_events(tables.raw_events(spark, sf))
@@ -287,7 +319,7 @@ def _seen(spark, sf):
 
 
 def _catalog(spark, sf):
-    return _train(spark, sf).select("item_id").distinct()
+    return _items(spark, sf).select("item_id")
 
 
 def _ranking(spark, sf):
@@ -520,18 +552,10 @@ def recommendation_documents(spark, sf):
     )
 
 
-def _sampled(spark, sf):
-    return evaluation.sample_users(_test(spark, sf), MAX_USERS, SEED)
-
-
-def _sampled_test(spark, sf):
-    return evaluation.restrict_to_users(_test(spark, sf), _sampled(spark, sf))
-
-
 def _truth(spark, sf):
     return tables.stored(
         spark, sf, "truth",
-        lambda s, d: evaluation.truth_pairs(_sampled_test(s, d), _catalog(s, d), _seen(s, d)),
+        lambda s, d: evaluation.truth_pairs(_test(s, d), _catalog(s, d), _seen(s, d)),
     )
 
 
@@ -579,9 +603,9 @@ def cohort_metrics(spark, sf):
 
 
 def _protocol(spark, sf):
-    cold_items = evaluation.cold_item_interactions(_sampled_test(spark, sf), _catalog(spark, sf))
+    cold_items = evaluation.cold_item_interactions(_test(spark, sf), _catalog(spark, sf))
     return evaluation.evaluation_protocol(
-        _sampled(spark, sf), _warm_cold(spark, sf), cold_items, K, SEED
+        _test_users(spark, sf), _warm_cold(spark, sf), cold_items, K, SEED
     )
 
 
@@ -647,7 +671,8 @@ def _learned(spark, sf):
 
 
 def _described(vectors: DataFrame, key: str) -> DataFrame:
-    return vectors.select(key, F.size("embedding").alias("dim"))
+    norm = F.round(vector_norm(F.col("embedding")), 4)
+    return vectors.select(key, F.size("embedding").alias("dim"), norm.alias("norm"))
 
 
 @query
@@ -662,7 +687,24 @@ def als_item_factors(spark, sf):
 
 @query
 def best_epoch(spark, sf):
+    """The least loss over a history taken from the order lines."""
+    history = tables.table(spark, sf, "lineitem").groupBy(
+        F.col("l_linenumber").cast("int").alias("epoch")
+    ).agg(
+        F.round(F.avg("l_tax"), 6).alias("train_loss"),
+        F.max(F.when(F.col("l_linenumber") % 3 != 0, F.abs(F.col("l_linenumber") - 4) / 8.0))
+        .alias("validation_loss"),
+    )
+    return recommend.best_epoch(history)
+
+
+@query
+def als_sweep(spark, sf):
+    """Settings of the sweep, and whether each beats a coin toss on either part."""
     trained = recommend.learn_embeddings(
         _train(spark, sf), _part(spark, sf, "validation"), rank=8, epochs=(1, 3), seed=SEED
     )
-    return recommend.best_epoch(trained.history)
+    return trained.history.select(
+        "epoch",
+        *((F.col(c) < math.log(2)).alias(f"{c}_below_log_2") for c in ("train_loss", "validation_loss")),
+    )

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlark.functions.contract import CONTRACT_COLUMNS, sorted_json
+from cartlark.functions.contract import CONTRACT_COLUMNS, LAST_TIMESTAMP_MS, sorted_json
 from cartlark.operators.normalize import with_event_id
 from cartlark.plans import etl
 from cartlark.session import shared_dir, use_utc
@@ -64,6 +64,51 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_events(table(spark, sf_dir, "events"), USER, KEY)
 
 
+#: What replaces the text of rows by the remainder of their number: blanks, words, signs,
+#: fractions, and instants beyond the calendar.
+SPOILED = {
+    "timestamp": (20, ("", "soon", "-5", "9300000000000000")),
+    "visitorid": (23, ("  ", "x7", "-1")),
+    "itemid": (29, (None, "1.5", "-3")),
+}
+
+
+def text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as padded text in mixed case, with planted defects."""
+    raw, seq = raw_events(spark, sf_dir), F.col("seq")
+
+    def spoiled(name: str):
+        every, values = SPOILED[name]
+        text = F.concat(F.lit(" "), F.col(name).cast("string"), F.lit(" "))
+        for i, value in enumerate(values):
+            text = F.when(seq % every == i, F.lit(value).cast("string")).otherwise(text)
+        return text.alias(name)
+
+    event = F.when(seq % 3 == 0, F.upper("event")).otherwise(F.concat(F.col("event"), F.lit("  ")))
+    return raw.select(
+        "seq", *map(spoiled, SPOILED), event.alias("event"),
+        F.when(seq % 5 == 0, "  ").otherwise(F.col("transactionid")).alias("transactionid"),
+    )
+
+
+def spoiled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as facts that nothing has checked."""
+    def number(name: str):
+        text = F.trim(F.col(name))
+        return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
+
+    seq, time = F.col("seq"), number("timestamp")
+    return text_events(spark, sf_dir).select(
+        F.when(seq % 31 == 0, "XYZ").when(seq % 31 != 1, F.sha2(seq.cast("string"), 256))
+        .alias("event_id"),
+        time.alias("source_timestamp_ms"),
+        F.when(time <= LAST_TIMESTAMP_MS, F.timestamp_millis(time)).alias("event_time"),
+        number("visitorid").alias("visitor_id"),
+        number("itemid").alias("item_id"),
+        F.lower(F.trim("event")).alias("event_type"),
+    )
+
+
 def raw_item_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_properties(table(spark, sf_dir, "events"), KEY)
 
