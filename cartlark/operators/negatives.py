@@ -157,7 +157,11 @@ def negative_samples(
 
 def pairwise_loss(triples: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame) -> DataFrame:
     """Weighted mean of ``softplus(-(positive - negative))`` over ``triples(user_id, item_id,
-    negative_id, weight)`` whose three vectors exist; scores are cosines."""
+    negative_id, weight)`` whose three vectors exist; scores are cosines.  Equal triples are
+    folded before vectors are joined to them."""
+    triples = triples.groupBy("user_id", "item_id", "negative_id").agg(
+        F.sum("weight").alias("weight"), F.count("*").alias("_n")
+    )
     users = user_vectors.select("user_id", unit(F.col("embedding")).alias("_user"))
     items = item_vectors.select("item_id", unit(F.col("embedding")).alias("_item"))
     positives = items.withColumnRenamed("_item", "_positive")
@@ -165,9 +169,9 @@ def pairwise_loss(triples: DataFrame, user_vectors: DataFrame, item_vectors: Dat
     margin = dot(F.col("_user"), F.col("_positive")) - dot(F.col("_user"), F.col("_negative"))
     return (
         triples.join(users, "user_id").join(positives, "item_id").join(negatives, "negative_id")
-        .select("weight", softplus(-margin).alias("_loss"))
+        .select("weight", "_n", softplus(-margin).alias("_loss"))
         .agg(
-            F.count("*").alias("triples"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("triples"),
             F.round(
                 F.try_divide(F.sum(F.col("weight") * F.col("_loss")), F.sum("weight")), 6
             ).alias("loss"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -238,16 +239,30 @@ def calendar(events: DataFrame) -> DataFrame:
     )
 
 
-def _on_calendar(events: DataFrame, daily: DataFrame) -> DataFrame:
-    """Daily rows on the full calendar; a day without events stays blank."""
-    return calendar(events).select("calendar_date").join(daily, "calendar_date", "left")
+def _on_calendar(daily: DataFrame) -> DataFrame:
+    """Daily rows on the full calendar; a day without events stays blank.
+
+    The days are few, so they are gathered into one map that both ends of the calendar and
+    the values are taken from: the events are scanned once and nothing is joined."""
+    day = F.col("calendar_date")
+    values = [c for c in daily.columns if c != "calendar_date"]
+    gathered = daily.filter(day.isNotNull()).agg(
+        F.map_from_entries(F.collect_list(F.struct(day, F.struct(*values)))).alias("_by_day"),
+        F.min(day).alias("_first"), F.max(day).alias("_last"),
+    )
+    days = F.explode(F.expr("sequence(_first, _last, interval 1 day)"))
+    return (
+        gathered.filter("_first is not null").select("_by_day", days.alias("calendar_date"))
+        .withColumn("_values", F.try_element_at("_by_day", day))
+        .select("calendar_date", *(F.col(f"_values.{c}").alias(c) for c in values))
+    )
 
 
 def daily_trend(events: DataFrame) -> DataFrame:
     daily = events.groupBy(event_date().alias("calendar_date")).agg(
         F.count("*").alias("total_events"), *_blank_type_counts()
     )
-    return _on_calendar(events, daily)
+    return _on_calendar(daily)
 
 
 def _blank_type_counts() -> tuple[Column, ...]:
@@ -286,31 +301,28 @@ def event_ratios(events: DataFrame) -> DataFrame:
 
 def event_ratio_trend(events: DataFrame) -> DataFrame:
     daily = events.groupBy(event_date().alias("calendar_date")).agg(*_blank_type_counts())
-    return _on_calendar(events, _with_event_ratios(daily))
+    return _on_calendar(_with_event_ratios(daily))
 
 
 def snapshot_totals(
     items: DataFrame, categories: DataFrame, activity: DataFrame, stages: DataFrame
 ) -> DataFrame:
     """The sum measures over the ranking, activity and funnel tables, one row each."""
-    def total(df, measure, column):
-        return df.agg(
-            F.lit(measure).alias("measure"), F.sum(column).cast("bigint").alias("total")
-        )
+    def totals(df: DataFrame, measures: dict[str, str]) -> DataFrame:
+        rows = F.array(*(
+            F.struct(F.lit(name).alias("measure"), F.sum(column).cast("bigint").alias("total"))
+            for name, column in measures.items()
+        ))
+        return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
     parts = [
-        total(items, "item_views", "views"),
-        total(items, "item_purchases", "purchases"),
-        total(items, "item_cart_adds", "cart_adds"),
-        total(categories, "category_purchases", "purchases"),
-        total(categories, "category_views", "views"),
-        total(activity, "users_in_bucket", "user_count"),
-        total(stages, "funnel_users", "users"),
+        totals(items, {"item_views": "views", "item_purchases": "purchases",
+                       "item_cart_adds": "cart_adds"}),
+        totals(categories, {"category_purchases": "purchases", "category_views": "views"}),
+        totals(activity, {"users_in_bucket": "user_count"}),
+        totals(stages, {"funnel_users": "users"}),
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def constraint_audit(events: DataFrame) -> DataFrame:

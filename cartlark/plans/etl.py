@@ -9,6 +9,7 @@ from cartlark.functions.contract import BATCH_SOURCE, HISTORICAL_BATCH_ID, SCHEM
 from cartlark.operators.asof import asof_join
 from cartlark.operators.normalize import distinct_events, normalize_events, with_event_id
 from cartlark.operators.sessions import with_sessions
+from cartlark.session import materialize
 from cartlark.sources.files import read_events_csv, read_item_properties_csv, require_columns
 
 CLEAN_COLUMNS = (
@@ -56,16 +57,13 @@ def build_clean_events(
 ) -> DataFrame:
     """The clean event table: unique events with category as of event time and session.
 
-    Category and session tables need only item, visitor and time, which duplicates do not
-    change, so both are derived from the rows before deduplication and the full rows move
-    through one shuffle per step.  The id, the widest column, is taken after the last one.
+    The raw rows are read and normalised once: the unique events, five short columns, are
+    stored, and rows, category probes and session keys come from there.  The id, the widest
+    column, is taken after the last shuffle.
     """
-    accepted = normalize_events(raw_events)
-    events = distinct_events(accepted)
-    enriched = with_category(events, properties, probes=accepted)
-    sessions = with_sessions(
-        enriched, gap_minutes=session_gap_minutes, keys_from=accepted
-    )
+    events = materialize(distinct_events(normalize_events(raw_events)))
+    enriched = with_category(events, properties, probes=events)
+    sessions = with_sessions(enriched, gap_minutes=session_gap_minutes, keys_from=events)
     event_time = F.timestamp_millis("timestamp")
     return with_event_id(sessions).select(
         "event_id",

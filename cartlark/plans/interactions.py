@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlark.functions.contract import EVENT_TYPES, UNKNOWN_CATEGORY, interaction_weight, is_event
+from cartlark.functions.numbers import floor_div
 from cartlark.operators.positions import dense_index, with_position
 from cartlark.sources.files import INTERACTION_COLUMNS, require_columns
 
@@ -41,11 +42,13 @@ def seen_pairs(train: DataFrame) -> DataFrame:
     return train.select(F.col("visitor_id").alias("user_id"), "item_id").distinct()
 
 
-def seen_lists(train: DataFrame) -> DataFrame:
-    """Sorted distinct items per user, the stored form of :func:`seen_pairs`."""
+def seen_lists(train: DataFrame, width: int = 65_536) -> DataFrame:
+    """Sorted distinct items per user and ``chunk``, the stored form of :func:`seen_pairs`.
+
+    A chunk covers ``width`` item ids, so no list grows with a user's history."""
     return (
         seen_pairs(train)
-        .groupBy("user_id")
+        .groupBy("user_id", floor_div(F.col("item_id"), width).alias("chunk"))
         .agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     )
 
@@ -98,15 +101,17 @@ def vocabulary(train: DataFrame, column: str, index: str) -> DataFrame:
     return dense_index(train, column, index)
 
 
-def indexed_interactions(
-    rows: DataFrame, users: DataFrame, items: DataFrame
-) -> DataFrame:
-    """Interactions in the dense ids of the training vocabularies, numbered in time order;
-    rows with an unknown user or item are left out.
+def known_interactions(rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Interactions in the dense ids of the training vocabularies; rows with an unknown user
+    or item are left out.
 
     ``users(visitor_id, user_index)`` and ``items(item_id, item_index)``.
     """
+    return rows.join(users, "visitor_id").join(items, "item_id")
+
+
+def indexed_interactions(rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """:func:`known_interactions` numbered in time order."""
     order = [c for c in (*INTERACTION_ORDER, "event_id") if c in rows.columns]
-    known = rows.join(users, "visitor_id").join(items, "item_id")
     keep = dict.fromkeys([*order, "visitor_id", "item_id", "user_index", "item_index", "weight"])
-    return with_position(known.select(*keep), order, "position")
+    return with_position(known_interactions(rows, users, items).select(*keep), order, "position")

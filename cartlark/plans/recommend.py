@@ -17,7 +17,7 @@ from cartlark.operators.negatives import (
 )
 from cartlark.operators.ranking import popularity_top_k
 from cartlark.operators.retrieval import top_k_items, with_usable_vector
-from cartlark.plans.interactions import indexed_interactions, vocabulary
+from cartlark.plans.interactions import indexed_interactions, known_interactions, vocabulary
 from cartlark.session import materialize
 
 # The strategy labels and the largest k that may be asked for.
@@ -91,9 +91,8 @@ def learn_embeddings(
     """
     users = vocabulary(train, "visitor_id", "user_index")
     items = vocabulary(train, "item_id", "item_index")
-    indexed = indexed_interactions(train, users, items)
     ratings = materialize(
-        indexed.groupBy(F.col("user_index").cast("int"), F.col("item_index").cast("int"))
+        known_interactions(train, users, items).groupBy(F.col("user_index").cast("int"), F.col("item_index").cast("int"))
         .agg(F.sum("weight").cast("float").alias("rating"))
     )
 
@@ -106,6 +105,7 @@ def learn_embeddings(
     if validation is None or len(epochs) == 1:
         return Embeddings(*vectors(_fit(ratings, rank, epochs[-1], alpha, seed)))
 
+    indexed = indexed_interactions(train, users, items)
     seen = indexed.select("user_index", "item_index").distinct()
     item_count = items.count()
     held_out = indexed_interactions(validation, users, items)

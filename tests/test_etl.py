@@ -247,3 +247,22 @@ def test_clean_events_are_read_back_from_csv_and_parquet(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("visitor_id,item_id\n1,2\n")
     with pytest.raises(ValueError, match="event_time, event_type"):
         read_clean_events(spark, str(tmp_path / "bad.csv"))
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_trends_scan_the_facts_once(spark, tmp_path):
+    from cartlark.plans import analytics
+
+    path = str(tmp_path / "facts")
+    spark.createDataFrame(
+        [(1_700_000_000_000 + 86_400_000 * d, "view") for d in (0, 0, 3)], "ms bigint, event_type string"
+    ).select(F.timestamp_millis("ms").alias("event_time"), "event_type").write.parquet(path)
+    facts = spark.read.parquet(path)
+    trend = analytics.daily_trend(facts)
+    assert scans(trend) == 1 and scans(analytics.event_ratio_trend(facts)) == 1
+    rows = trend.orderBy("calendar_date").collect()
+    assert [r["total_events"] for r in rows] == [2, None, None, 1]
+    assert analytics.daily_trend(facts.filter("false")).isEmpty()

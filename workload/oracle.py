@@ -603,8 +603,8 @@ pop as materialized (
  from (select distinct category from train)""",
     "indexed_interactions": f"""{_indexed('train')} select event_id, position, user_index,
  item_index, weight from idx""",
-    "seen_items": f"""{REC} select user_id, string_agg(cast(item_id as varchar), ',' order by item_id)
- as items from seen group by 1""",
+    "seen_items": f"""{REC} select user_id, item_id // 65536 as chunk,
+ string_agg(cast(item_id as varchar), ',' order by item_id) as items from seen group by 1, 2""",
     "sampled_test": f"""{REC}, chosen as (
  select user_id from users order by sha256('{SEED}|' || user_id), user_id limit {SAMPLE})
 select event_id, visitor_id from test where visitor_id in (select user_id from chosen)""",

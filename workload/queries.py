@@ -458,7 +458,7 @@ def indexed_interactions(spark, sf):
 @query
 def seen_items(spark, sf):
     return interactions.seen_lists(_train(spark, sf)).select(
-        "user_id", F.array_join(F.col("items").cast("array<string>"), ",").alias("items")
+        "user_id", "chunk", F.array_join(F.col("items").cast("array<string>"), ",").alias("items")
     )
 
 
@@ -494,10 +494,12 @@ def negative_samples(spark, sf):
 
 @query
 def validation_negative_samples(spark, sf):
-    train, held_out = _indexed(spark, sf, "train"), _indexed(spark, sf, "validation")
-    items = _items(spark, sf).count()
+    users, items = _users(spark, sf), _items(spark, sf)
+    pairs = _seen(spark, sf).withColumnRenamed("user_id", "visitor_id")
+    known = interactions.known_interactions(pairs, users, items)
     return negatives.negative_samples(
-        held_out, _indexed_seen(train), items, seed=SEED,
+        _indexed(spark, sf, "validation"), known.select("user_index", "item_index"),
+        items.count(), seed=SEED,
         seed_offset=negatives.VALIDATION_SEED_OFFSET,
     ).select("position", "user_index", "item_index", "negative_index")
 
