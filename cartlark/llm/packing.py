@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ from cartlark.llm import common, tokens
 WINDOW = 4096
 END_ID = 2
 #: Token bytes gathered before a batch of pieces is handed to Spark.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 PIECES = T.StructType(
     [
@@ -46,6 +46,14 @@ def token_windows(
 ) -> DataFrame:
     """Full windows and rests of every document's ids: ``doc_id``, ``start``, ``length``,
     ``doc_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
+    return _texts(docs).mapInArrow(_encoding(tokenizer, window, end_id), PIECES)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
+def _encoding(tokenizer: str, window: int, end_id: int):
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,9 +76,7 @@ def token_windows(
             if rows[0]:
                 yield _batch(rows)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, PIECES
-    )
+    return run
 
 
 def _batch(rows: list[list]) -> pa.RecordBatch:
@@ -160,9 +166,28 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Sequences are numbered from 0 without gaps and filled from offset 0 without gaps.
     """
-    spark = pieces.sparkSession
-    pieces = common.without(pieces, "sequence_id", "offset", "_part", "_nth")
-    numbered = common.stored(_numbered(pieces), "pieces")
+    pieces = common.without(pieces, "sequence_id", "offset", *_NUMBER.names)
+    numbered = pieces.mapInArrow(_numbering, T.StructType([*pieces.schema.fields, *_NUMBER.fields]))
+    return _placed(common.stored(numbered, "pieces"), window)
+
+
+def pack_documents(
+    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID,
+    drop_ids: bool = False, **derived: Column,
+) -> DataFrame:
+    """:func:`pack` of :func:`token_windows`, encoded and numbered by the same Python worker.
+    Columns may be derived from the windows, and the ids left out, before anything moves."""
+    encode = _encoding(tokenizer, window, end_id)
+    schema = T.StructType([*PIECES.fields, *_NUMBER.fields])
+    numbered = _texts(docs).mapInArrow(lambda batches: _numbering(encode(batches)), schema)
+    numbered = numbered.withColumns(derived).drop(*(["ids"] if drop_ids else []))
+    return _placed(common.stored(numbered, "pieces"), window)
+
+
+def _placed(numbered: DataFrame, window: int) -> DataFrame:
+    """Plans for the counts per length and looks up each numbered piece's place."""
+    spark = numbered.sparkSession
+    pieces = numbered.drop(*_NUMBER.names)
     # One row per partition and length, so the largest number is the count.
     counts = numbered.groupBy("_part", "length").agg((F.max("_nth") + 1).alias("_n"))
     counts = common.stored(counts, "piece_counts")
@@ -215,40 +240,35 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     return placed.mapInArrow(look_up, schema)
 
 
-def _numbered(pieces: DataFrame) -> DataFrame:
-    """Adds the partition and the number of a piece among those of its length there."""
-    schema = T.StructType(
-        [
-            *pieces.schema.fields,
-            T.StructField("_part", T.LongType()),
-            T.StructField("_nth", T.LongType()),
-        ]
-    )
+_NUMBER = T.StructType(
+    [T.StructField("_part", T.LongType()), T.StructField("_nth", T.LongType())]
+)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        seen: dict[int, int] = {}
-        for batch in batches:
-            nth = []
-            for length in batch.column("length").to_pylist():
-                place = seen.get(length, 0)
-                seen[length] = place + 1
-                nth.append(place)
-            arrays = [*batch.columns, pa.array([part] * len(nth), pa.int64()),
-                      pa.array(nth, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return pieces.mapInArrow(run, schema)
+def _numbering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the partition and the number of a piece among those of its length there."""
+    part = TaskContext.get().partitionId()
+    seen: dict[int, int] = {}
+    for batch in batches:
+        nth = []
+        for length in batch.column("length").to_pylist():
+            place = seen.get(length, 0)
+            seen[length] = place + 1
+            nth.append(place)
+        arrays = [
+            *batch.columns, pa.array([part] * len(nth), pa.int64()), pa.array(nth, pa.int64())
+        ]
+        names = [*batch.schema.names, *_NUMBER.names]
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def op1_packing(spark, sf_dir: str) -> DataFrame:
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents; the digest of the ids stands for the ids."""
     import public_tokenizers
 
-    windows = token_windows(
-        common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
-    )
-    pieces = windows.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+    return pack_documents(
+        common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        drop_ids=True, ids_crc32=F.crc32("ids"),
+    ).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
-    return pack(pieces)

@@ -23,7 +23,7 @@ _PIECE = re.compile(r"\s*\S+|\s+")
 _UNSURE = re.compile("[\\x1c-\\x1f]")
 #: Pieces held by a worker at most.  A full memo keeps what it has, as common pieces come
 #: early, and starts anew after so many misses, in case the texts have changed.
-MEMO_PIECES = 300_000
+MEMO_PIECES = 120_000
 MEMO_MISSES = 4_000_000
 
 
