@@ -354,3 +354,34 @@ def constraint_audit(events: DataFrame) -> DataFrame:
         )
     )
     return counted.select(F.inline(rows))
+
+
+def key_audit(table: str, rows: DataFrame, key: list[str], required: tuple[str, ...] = ()) -> DataFrame:
+    """``(table, rule, violations)``: rows beyond the first of each key, and nulls in the key
+    and the ``required`` columns.  Rows are folded by key, so a repeated key is one partial
+    count in every task."""
+    columns = [*key, *(c for c in required if c not in key)]
+    folded = rows.groupBy(*key).agg(
+        F.count("*").alias("_n"),
+        *(F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)),
+    )
+    rules = {"key unique": F.sum(F.col("_n") - 1)}
+    rules |= {f"{c} not null": F.sum(f"_null_{i}") for i, c in enumerate(columns)}
+    return folded.agg(
+        F.array(*(
+            F.struct(F.lit(name).alias("rule"), F.coalesce(n, F.lit(0)).alias("violations"))
+            for name, n in rules.items()
+        )).alias("rules")
+    ).select(F.lit(table).alias("table"), F.inline("rules"))
+
+
+def reference_audit(
+    table: str, rows: DataFrame, column: str, parents: DataFrame, parent: str
+) -> DataFrame:
+    """Rows whose value is not null and not among the parent's; values are folded first."""
+    values = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    missing = values.join(parents.select(F.col(parent).alias(column)), column, "left_anti")
+    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
+        F.lit(table).alias("table"), F.lit(f"{column} references {parent}").alias("rule"),
+        "violations",
+    )

@@ -127,6 +127,16 @@ select unnest(['event_id unique', 'event_id pattern', 'event_type supported', 'e
  unnest([a0, a1, a2, a3, a4, a5, a6, a7, a8, a9, a10, a11, a12]) as violations from counted"""
 
 
+def _key_audit(table: str, source: str, key: list[str], required: list[str]) -> str:
+    keys, columns = ", ".join(f'"{c}"' for c in key), [*key, *required]
+    nulls = " union all ".join(
+        f"""select '{table}', '{c} not null', count(*) filter ("{c}" is null) from {source}"""
+        for c in columns
+    )
+    return f"""select '{table}' as "table", 'key unique' as rule, cast(coalesce(sum(n - 1), 0) as bigint)
+ as violations from (select count(*) as n from {source} group by {keys}) union all {nulls}"""
+
+
 EVENTS = f"with {_raw(USER, KEY)}, {_STEPS}"
 CLEAN = f"{EVENTS}, {_sessions(30)}, {_CLEAN}"
 SHOP = f"with {_raw(SHOPPER, PRODUCT)}, {_STEPS}, {_sessions(30)}, {_CLEAN}"
@@ -459,6 +469,17 @@ ORACLE: dict[str, str] = {
  case seq % 31 when 0 then 'XYZ' when 1 then null else sha256(cast(seq as varchar)) end as event_id,
  tn as ts_ms, case when tn <= {LAST_TIMESTAMP_MS} then tn end as event_time, vn as visitor_id,
  n as item_id, kind as event_type from judged)"""),
+    "table_audits": f"""select * from ({EVENTS} {_key_audit(
+    'item_property_history', '(select itemid, property, ts_ms as "timestamp" from props)',
+    ['itemid', 'property', 'timestamp'], [])})
+union all select * from ({ENVELOPE} {_key_audit(
+    'dead_letter', '(select *, reason as error_reason from judged where reason is not null)',
+    ['topic', 'partition', 'offset'], ['raw_value', 'error_reason'])})
+union all select * from ({EVAL} {_key_audit(
+    'evaluation_metrics', 'long', ['cohort', 'model_name', 'metric_name'],
+    ['metric_value', 'evaluated_users'])})
+union all select 'events', 'user_id references c_custkey', count(*) from events
+where user_id is not null and user_id not in (select c_custkey from customer)""",
     "normalize_text_events": f"""{DIRTY} select tn as "timestamp", vn as visitorid, kind as event,
  n as itemid, nullif(trim(x), '') as transactionid from judged where reason is null""",
     "rejected_text_events": f"""{DIRTY} select seq, t as "timestamp", v as visitorid, e as event,

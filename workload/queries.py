@@ -6,6 +6,7 @@ import datetime as dt
 import math
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,31 @@ def audit_spoiled_facts(spark, sf):
     return analytics.constraint_audit(tables.spoiled_facts(spark, sf))
 
 
+@query
+def table_audits(spark, sf):
+    """Keys, required columns and references of the tables beside the facts."""
+    records = event_stream.parse_events(tables.kafka_envelope(spark, sf))
+    audits = [
+        analytics.key_audit(
+            "item_property_history", tables.raw_item_properties(spark, sf),
+            ["itemid", "property", "timestamp"],
+        ),
+        analytics.key_audit(
+            "dead_letter", event_stream.quarantine_events(records),
+            ["topic", "partition", "offset"], ("raw_value", "error_reason"),
+        ),
+        analytics.key_audit(
+            "evaluation_metrics", _metric_rows(spark, sf),
+            ["cohort", "model_name", "metric_name"], ("metric_value", "evaluated_users"),
+        ),
+        analytics.reference_audit(
+            "events", tables.table(spark, sf, "events"), "user_id",
+            tables.table(spark, sf, "customer"), "c_custkey",
+        ),
+    ]
+    return reduce(DataFrame.unionByName, audits)
+
+
 @query
 def historical_loads(spark, sf):
     """Clean events loaded by halves, then as a whole, which adds nothing."""
