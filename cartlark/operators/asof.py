@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from cartlark.functions.numbers import floor_div
 
 HOUR_MS = 3_600_000
-# A broadcast table of three numbers per row: about 100 MB at this many rows.  The second
-# limit bounds the intervals that one row is compared with.
-BROADCAST_ROWS = 1_000_000
+# What may be broadcast: rows, and bytes at their values' own size beside some for the row.
+# The third limit bounds the intervals that one row is compared with.
+BROADCAST_ROWS, BROADCAST_BYTES, ROW_BYTES = 1_000_000, 128 << 20, 64
 BROADCAST_ROWS_PER_KEY = 64
 
 
@@ -62,12 +62,20 @@ def asof_lookup(
     )
 
 
-def _fits_broadcast(observations: DataFrame, key: str, rows: int, rows_per_key: int) -> bool:
+def _fits_broadcast(
+    observations: DataFrame, key: str, value: str, rows: int, rows_per_key: int
+) -> bool:
     if rows == 0:
         return False
-    sizes = observations.groupBy(key).agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n"))
-    total, largest = sizes.first()
-    return total is None or (total <= rows and largest <= rows_per_key)
+    held = sum(
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (key, value)),
+        F.lit(ROW_BYTES),
+    )
+    sizes = observations.groupBy(key).agg(F.count("*").alias("n"), F.sum(held).alias("bytes"))
+    total, largest, size = sizes.agg(F.sum("n"), F.max("n"), F.sum("bytes")).first()
+    return total is None or (
+        total <= rows and largest <= rows_per_key and size <= BROADCAST_BYTES
+    )
 
 
 def asof_join(
@@ -77,7 +85,7 @@ def asof_join(
 ) -> DataFrame:
     """``rows`` plus the as-of value.  ``probes`` may name a cheaper frame that holds at
     least the same ``(key, time)`` pairs, such as the rows before a costly step."""
-    if _fits_broadcast(observations, key, broadcast_rows, broadcast_rows_per_key):
+    if _fits_broadcast(observations, key, value, broadcast_rows, broadcast_rows_per_key):
         return _broadcast_asof_join(rows, observations, key, time, value)
     source = rows if probes is None else probes
     found = asof_lookup(
