@@ -6,7 +6,9 @@ Rebalancing edits the map: it moves slots from shards above the mean to shards b
 and everything else stays where it is.
 
 A null text has no bytes; every row adds one byte of framing.  A null ``doc_id`` hashes
-with the text's digest alone, so such rows spread as well; wholly equal rows share a slot.
+with the text's digest alone, so such rows spread as well.  Wholly equal rows are numbered
+and all but the first hash their number too, so copies spread over the slots as other rows
+do, and further copies leave the earlier ones where they are.
 An empty table gives no rows and a map of equal numbers of slots.  Input columns other
 than the id and the text are not read.
 """
@@ -22,6 +24,8 @@ from cartlark.llm import common
 
 SHARDS = 8
 SLOTS = 8192
+#: Copies of a row that one task numbers.
+COPIES = 1024
 _MAP = "version bigint, virtual_slot int, shard int"
 
 
@@ -33,8 +37,21 @@ def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    slot = F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slots)).cast("int")
-    return rows.withColumn("virtual_slot", slot)
+    key = ["doc_id", "size", "text_crc32"]
+    # Copies are folded before the shuffle, and come back by the numbers of their blocks.
+    blocks = rows.groupBy(*key).agg(F.count("*").alias("_n")).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES)))
+    )
+    last = F.least(F.col("_n"), F.col("_from") + COPIES) - 1
+    numbered = blocks.repartition(*key, "_from").select(
+        *key, F.explode(F.sequence("_from", last)).alias("_copy")
+    )
+    first = F.xxhash64("doc_id", "text_crc32", "size")
+    hashed = F.when(F.col("_copy") == 0, first).otherwise(
+        F.xxhash64("doc_id", "text_crc32", "size", "_copy")
+    )
+    slot = F.pmod(hashed, F.lit(slots)).cast("int")
+    return numbered.select(*key, slot.alias("virtual_slot"))
 
 
 def slot_totals(rows: DataFrame) -> DataFrame:

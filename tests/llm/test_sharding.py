@@ -50,3 +50,25 @@ def test_map_versions_are_kept(spark, documents, tmp_path):
     assert {r["size"] for r in placed.filter("doc_id is null").collect()} == {1}
     empty = sharding.assign(sharding.slotted(documents([]), 16), path, 2, 16)
     assert empty.isEmpty()
+
+
+def test_copies_of_one_row_spread(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 64, raising=False)
+    rows = [(i, f"text {i}") for i in range(200)]
+    path = str(tmp_path / "map")
+    sharding.write_map(spark, path, 1, sharding.first_map(512, 8))
+    docs = documents(rows + [(7, "text 7")] * 700 + [(None, None)] * 300)
+    placed = sharding.assign(sharding.slotted(docs, 512), path, 8, 512).collect()
+    assert len(placed) == 1200
+    assert sum(r["doc_id"] == 7 for r in placed) == 701 and sum(r["doc_id"] is None for r in placed) == 300
+    total = [sum(r["size"] for r in placed if r["shard"] == s) for s in range(8)]
+    assert max(total) - min(total) < 0.01 * sum(total)
+    for shard in range(8):
+        places = sorted(r["slot"] for r in placed if r["shard"] == shard)
+        assert places == list(range(len(places)))
+    # More copies leave the slots of the others as they are.
+    slots = [
+        sorted(r["virtual_slot"] for r in sharding.slotted(documents([(7, "x")] * n), 512).collect())
+        for n in (100, 150)
+    ]
+    assert all(slots[1].count(s) >= slots[0].count(s) for s in slots[0])
