@@ -47,6 +47,8 @@ _random = np.random.default_rng(20240229)
 _FACTOR = _random.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _random.integers(0, 1 << 63, HASHES, np.uint64)
 _CHUNK = 512
+#: A character of a word, as ``shingle_set`` splits bytes.
+_WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -355,15 +357,18 @@ def _judged(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One whole row of each component.  Of rows with the kept id the least text is kept,
-    and one of rows that are equal in both."""
+    and one of rows that are equal in both.  Rows without words all stay."""
+    worded = F.coalesce(F.col("text").cast("string").rlike(_WORD), F.lit(False))
+    wordless, docs = docs.filter(~worded), docs.filter(worded)
     judged = near_duplicates(docs, words, percent)
-    own = F.coalesce("component", "text_key").alias("_component")
-    kept = judged.filter("kept").groupBy("doc_id", own).agg(F.min("text_key").alias("_key"))
+    kept = judged.filter("kept").groupBy("doc_id", "component").agg(
+        F.min("text_key").alias("_key")
+    )
     kept = kept.select(F.col("doc_id").alias("_id"), "_key").distinct()
     rows = docs.withColumn("_text_key", text_key())
     same = (rows["_text_key"] == kept["_key"]) & rows["doc_id"].eqNullSafe(kept["_id"])
     chosen = rows.join(kept, same, "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_text_key"]).select(docs.columns)
+    return chosen.dropDuplicates(["doc_id", "_text_key"]).select(docs.columns).union(wordless)
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

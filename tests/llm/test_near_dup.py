@@ -87,6 +87,13 @@ def test_ids_that_are_null_or_repeated(spark, documents):
     )
 
 
+def test_rows_without_words_are_not_folded(spark, documents):
+    empty = [(7, None), (7, None), (7, ""), (None, None), (None, ""), (None, " \n"), (None, " \n")]
+    kept = near_dup.drop_near_duplicates(documents([*empty, (1, "one"), (1, "one"), (None, "."), (None, ".")]))
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted([*empty, (1, "one"), (None, ".")], key=str)
+
+
 def test_no_documents(spark, documents):
     assert near_dup.near_duplicates(documents([])).isEmpty()
     assert near_dup.drop_near_duplicates(documents([])).isEmpty()
