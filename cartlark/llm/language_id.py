@@ -37,6 +37,10 @@ EPOCHS = 2
 #: Per-coordinate rate, and the elastic net.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.02
 UNKNOWN = "und"
+#: An n-gram is common in a language if this share of the texts learned from hold it.  A text
+#: is known to be of a language by its share of common n-grams: ``SLACK`` of what all but
+#: ``OUTLIERS`` of the language's kept texts reach.  No number of languages enters.
+COMMON, OUTLIERS, SLACK = 0.01, 0.01, 0.5
 #: Inverse temperatures that calibration chooses from.
 SHARPNESS = tuple(float(x) for x in np.geomspace(0.25, 16.0, 37))
 _SIZE = 1 << BITS
@@ -59,7 +63,10 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, counts = ngram_counts(text)
+    return weighted(*ngram_counts(text), idf)
+
+
+def weighted(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = (1.0 + np.log(counts)) * idf[at]
     return at, values / max(1e-12, float(np.sqrt(values @ values)))
 
@@ -102,11 +109,20 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray  # coordinates x languages
     sharpness: float = 1.0
+    common: np.ndarray | None = None  # coordinates x languages: in enough texts learned from
+    least_share: np.ndarray | None = None  # per language
 
     def logits(self, text: str) -> np.ndarray:
-        at, values = vector(text, self.idf)
+        return self.logits_of(*ngram_counts(text))
+
+    def logits_of(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        at, values = weighted(at, counts, self.idf)
         return values @ self.weights[at]
 
+    def share(self, at: np.ndarray, counts: np.ndarray, which: int) -> float:
+        """The share of a text's n-grams that are common in a language."""
+        return float(counts @ self.common[at, which]) / max(1, int(counts.sum()))
+
 
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts each coordinate occurs, and the number of texts: all rows."""
@@ -164,24 +180,64 @@ def fit(docs: DataFrame, learnable: Column) -> Model | None:
         for _ in range(EPOCHS):
             for at in order.permutation(len(examples)):
                 state.learn(*examples[at], wanted[at])
-        w = state.weights(np.arange(_SIZE))
-        at, which = np.nonzero(w)
-        return pd.DataFrame({"at": at, "lang": which, "w": w[at, which]})
+        w, texts = state.weights(np.arange(_SIZE)), np.zeros((_SIZE, len(place)), np.int64)
+        for (at, _), label in zip(examples, wanted, strict=True):
+            texts[at, label] += 1
+        at, which = np.nonzero((w != 0) | (texts > 0))
+        return pd.DataFrame(
+            {"at": at, "lang": which, "w": w[at, which], "texts": texts[at, which]}
+        )
 
     learned = sample.filter(~F.col("kept"))
     shards = learned.select("shard").distinct().count()
     mixed = (
-        learned.groupBy("shard").applyInPandas(fit_shard, "at bigint, lang bigint, w double")
-        .groupBy("at", "lang").agg(F.sum("w").alias("w"))
+        learned.groupBy("shard")
+        .applyInPandas(fit_shard, "at bigint, lang bigint, w double, texts bigint")
+        .groupBy("at", "lang").agg(F.sum("w").alias("w"), F.sum("texts").alias("texts"))
         .toPandas()  # coordinates x languages at most
     )
-    weights = np.zeros((_SIZE, len(languages)))
+    weights, texts = np.zeros((_SIZE, len(languages))), np.zeros((_SIZE, len(languages)))
     weights[mixed["at"], mixed["lang"]] = mixed["w"] / max(1, shards)
+    texts[mixed["at"], mixed["lang"]] = mixed["texts"]
+    n_texts = np.zeros(len(languages))
+    for row in learned.groupBy("lang").count().collect():
+        n_texts[place[row["lang"]]] = row["count"]
     model = Model(languages, idf, weights)
+    model.common = (texts > 0) & (texts >= COMMON * n_texts)
     model.sharpness = calibrate(sample.filter("kept"), model)
+    model.least_share = least_shares(sample.filter("kept"), model)
     return model
 
 
+def least_shares(kept: DataFrame, model: Model) -> np.ndarray:
+    """Per language, ``SLACK`` of the share of common n-grams that all but ``OUTLIERS`` of its
+    ``text``, ``lang`` rows reach; 0 for a language without rows."""
+    place = {name: i for i, name in enumerate(model.languages)}
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = [place[lang] for lang in batch.column(1).to_pylist()]
+            texts = batch.column(0).to_pylist()
+            found = [
+                (label, model.share(*ngram_counts(text), label))
+                for text, label in zip(texts, labels, strict=True)
+                if has_letter(text)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in found], pa.int64()),
+                 pa.array([x[1] for x in found], pa.float64())], names=["at", "share"],
+            )
+
+    found = (
+        kept.select("text", "lang").mapInArrow(shares, "at bigint, share double")
+        .toPandas()  # a tenth of the sample
+    )
+    least = np.zeros(len(model.languages))
+    for at, part in found.groupby("at"):
+        least[at] = SLACK * part["share"].quantile(OUTLIERS, interpolation="lower")
+    return least
+
+
 def calibrate(kept: DataFrame, model: Model) -> float:
     """The inverse temperature with the least log loss over ``text``, ``lang`` rows."""
     place = {name: i for i, name in enumerate(model.languages)}
@@ -206,28 +262,36 @@ def calibrate(kept: DataFrame, model: Model) -> float:
 
 
 def identify(
-    docs: DataFrame, model: Model | None, language: str = "lang_pred", score: str = "score"
+    docs: DataFrame, model: Model | None, language: str = "lang_pred", score: str = "score",
+    known: str | None = None,
 ) -> DataFrame:
-    """Adds the predicted language and its calibrated probability, in place."""
+    """Adds the predicted language and its calibrated probability, in place, and under the
+    name ``known`` whether enough of the text's n-grams are common in that language."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute():
         held = sent.value
 
         def work(texts: pa.Array) -> list[pa.Array]:
-            names, scores = [], []
+            names, scores, familiar = [], [], []
             for text in texts.to_pylist():
-                name, value = UNKNOWN, 0.0
+                name, value, enough = UNKNOWN, 0.0, False
                 if held is not None and has_letter(text):
-                    chances = softmax(held.sharpness * held.logits(text))
-                    name, value = held.languages[chances.argmax()], float(chances.max())
+                    grams = ngram_counts(text)
+                    chances = softmax(held.sharpness * held.logits_of(*grams))
+                    best = int(chances.argmax())
+                    name, value = held.languages[best], float(chances.max())
+                    enough = bool(known) and held.share(*grams, best) >= held.least_share[best]
                 names.append(name)
                 scores.append(value)
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+                familiar.append(bool(enough))
+            found = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            return [*found, pa.array(familiar, pa.bool_())] if known else found
 
         return work
 
     fields = [(language, T.StringType()), (score, T.DoubleType())]
+    fields += [(known, T.BooleanType())] if known else []
     return common.appending(docs, fields, "text", compute)
 
 

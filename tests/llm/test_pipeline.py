@@ -1,4 +1,5 @@
 import os
+import random
 import subprocess
 import sys
 
@@ -58,6 +59,17 @@ def test_rejected_texts_go(spark, documents, tmp_path):
     assert {r["doc_id"] for r in kept.collect()} == set(range(30))
 
 
+def test_texts_in_an_unlearned_script_go(spark, documents):
+    rng = random.Random(5)
+    words = {"en": ["the", "and", "with", "day", "night"], "de": ["der", "und", "mit", "tag", "nacht"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=3 + i % 40)), lang)
+            for i in range(300) for lang in [("en", "de")[i % 2]]]
+    foreign = [(900, "это совсем другой язык и другие буквы", None), (901, "αυτή είναι μια άλλη γλώσσα", None), (902, "да", None)]
+    for learned in (rows, [r for r in rows if r[2] == "en"]):  # two languages, and one
+        kept = corpus_pipeline.known_language(spark, documents(learned + foreign), SF)
+        assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in learned}
+
+
 def test_the_rest_works_without_this_folder(tmp_path):
     root = os.path.dirname(os.path.abspath(registry.__file__))
     os.symlink(f"{root}/workload", tmp_path / "workload")
