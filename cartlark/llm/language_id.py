@@ -5,8 +5,11 @@ coordinates, weighted by (1 + log count) x inverse document frequency, and scale
 length.  Document frequencies come from all rows that may be learned from.  The weights are
 fitted by follow-the-regularised-leader with an elastic-net penalty on a bounded sample (at
 most about ``SAMPLE_ROWS`` rows and ``SAMPLE_BYTES`` bytes, chosen by a hash of the row), in
-shards whose weights are averaged.  A tenth of the sample is kept for the temperature that
-calibrates the probabilities.
+shards whose weights are averaged.  Languages are those of all learnable rows: of each the
+sample holds ``LEAST_ROWS`` rows if there are so many (fewer when the least numbers would
+take more than half of the sample, one at least), and the rest is in proportion.  A
+language's weights are averaged over the shards that saw it.  A tenth of the sample is kept
+for the temperature that calibrates the probabilities.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text where
 nothing could be learned.  Rows with a null language are not learned from.  Null and
@@ -33,6 +36,9 @@ ORDERS = 3
 SAMPLE_ROWS = 12_000
 SAMPLE_BYTES = 32 << 20
 SHARD_ROWS = 2_000
+#: Rows drawn of each language at least (all of a language with fewer), and the number of
+#: rows below which all of a language are learned from and none kept.
+LEAST_ROWS, FEW_ROWS = 200, 10
 EPOCHS = 2
 #: Per-coordinate rate, and the elastic net.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.02
@@ -44,6 +50,7 @@ COMMON, OUTLIERS, SLACK = 0.01, 0.01, 0.5
 #: Inverse temperatures that calibration chooses from.
 SHARPNESS = tuple(float(x) for x in np.geomspace(0.25, 16.0, 37))
 _SIZE = 1 << BITS
+_PLACES = 1 << 20
 _MIX = np.uint32(0x9E3779B1)
 _SHIFT = np.uint32(32 - BITS)
 
@@ -146,6 +153,27 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return found[:_SIZE], int(found[_SIZE])
 
 
+def draw_shares(rows: list[int], sizes: list[int]) -> list[float]:
+    """The share of each language's rows to draw, given its rows and bytes: one share for all,
+    but ``LEAST_ROWS`` rows of each at least, within ``SAMPLE_ROWS`` and ``SAMPLE_BYTES``.
+    The least numbers take half of these bounds at most; many languages lower them."""
+    n, size = np.array(rows, float), np.array(sizes, float)
+
+    def fits(shares: np.ndarray, part: float = 1.0) -> bool:
+        return shares @ n <= part * SAMPLE_ROWS and shares @ size <= part * SAMPLE_BYTES
+
+    if fits(np.ones(len(n))):
+        return [1.0] * len(n)
+    least = LEAST_ROWS
+    while least > 1 and not fits(np.minimum(1.0, least / n), 0.5):
+        least //= 2
+    floor, low, high = np.minimum(1.0, least / n), 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if fits(np.maximum(floor, middle)) else (low, middle)
+    return np.maximum(floor, low).tolist()
+
+
 def fit(docs: DataFrame, learnable: Column) -> Model | None:
     """Learns ``lang`` from ``text`` of the rows that are ``learnable``."""
     rows = docs.filter(learnable & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
@@ -155,19 +183,31 @@ def fit(docs: DataFrame, learnable: Column) -> Model | None:
     frequency, n_docs = document_frequencies(rows.select("text"))
     if not n_docs:
         return None
-    size = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0]
-    share = min(1.0, SAMPLE_ROWS / n_docs, SAMPLE_BYTES / max(1, size))
-    shards = math.ceil(share * n_docs / SHARD_ROWS)
-    drawn = F.pmod(F.xxhash64("text", "key"), F.lit(1 << 20)) < F.lit(max(1, int(share * (1 << 20))))
+    place_of = F.pmod(F.xxhash64("text", "key"), F.lit(_PLACES))
+    totals = (
+        rows.groupBy("lang").agg(
+            F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"),
+            F.min(place_of).alias("least"),
+        ).orderBy("lang").collect()  # one row per language
+    )
+    languages = [row["lang"] for row in totals]
+    shares = draw_shares([row["n"] for row in totals], [row["bytes"] for row in totals])
+    n_drawn = sum(x * row["n"] for x, row in zip(shares, totals, strict=True))
+    shards = max(1, math.ceil(n_drawn / SHARD_ROWS))
+    limits = docs.sparkSession.createDataFrame(
+        [
+            (row["lang"], max(int(x * _PLACES), row["least"] + 1), row["n"] >= FEW_ROWS)
+            for x, row in zip(shares, totals, strict=True)
+        ],
+        "lang string, limit bigint, enough boolean",
+    )
     sample = common.stored(
-        rows.filter(drawn)
+        rows.join(F.broadcast(limits), "lang").filter(place_of < F.col("limit"))
         .withColumn("shard", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)))
-        .withColumn("kept", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(10)) == 0),
+        .withColumn("kept", F.col("enough") & (F.pmod(F.xxhash64("key", F.lit(2)), F.lit(10)) == 0))
+        .select("text", "lang", "key", "shard", "kept"),
         "language_sample",
     )
-    languages = [r[0] for r in sample.select("lang").distinct().orderBy("lang").collect()]
-    if not languages:
-        return None
     idf = np.log((1.0 + n_docs) / (1.0 + frequency)) + 1.0
     place = {name: i for i, name in enumerate(languages)}
 
@@ -183,13 +223,13 @@ def fit(docs: DataFrame, learnable: Column) -> Model | None:
         w, texts = state.weights(np.arange(_SIZE)), np.zeros((_SIZE, len(place)), np.int64)
         for (at, _), label in zip(examples, wanted, strict=True):
             texts[at, label] += 1
+        w[:, np.setdiff1d(np.arange(len(place)), wanted)] = 0.0  # only pushed down here
         at, which = np.nonzero((w != 0) | (texts > 0))
         return pd.DataFrame(
             {"at": at, "lang": which, "w": w[at, which], "texts": texts[at, which]}
         )
 
     learned = sample.filter(~F.col("kept"))
-    shards = learned.select("shard").distinct().count()
     mixed = (
         learned.groupBy("shard")
         .applyInPandas(fit_shard, "at bigint, lang bigint, w double, texts bigint")
@@ -197,11 +237,15 @@ def fit(docs: DataFrame, learnable: Column) -> Model | None:
         .toPandas()  # coordinates x languages at most
     )
     weights, texts = np.zeros((_SIZE, len(languages))), np.zeros((_SIZE, len(languages)))
-    weights[mixed["at"], mixed["lang"]] = mixed["w"] / max(1, shards)
+    weights[mixed["at"], mixed["lang"]] = mixed["w"]
     texts[mixed["at"], mixed["lang"]] = mixed["texts"]
-    n_texts = np.zeros(len(languages))
-    for row in learned.groupBy("lang").count().collect():
-        n_texts[place[row["lang"]]] = row["count"]
+    n_texts, n_shards = np.zeros(len(languages)), np.ones(len(languages))
+    counts = learned.groupBy("lang", "shard").count().groupBy("lang").agg(
+        F.sum("count").alias("texts"), F.count("*").alias("shards")
+    )
+    for row in counts.collect():
+        n_texts[place[row["lang"]]], n_shards[place[row["lang"]]] = row["texts"], row["shards"]
+    weights /= n_shards  # a language's mean is over the shards that saw it
     model = Model(languages, idf, weights)
     model.common = (texts > 0) & (texts >= COMMON * n_texts)
     model.sharpness = calibrate(sample.filter("kept"), model)

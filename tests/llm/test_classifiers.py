@@ -101,6 +101,35 @@ def test_languages_of_odd_rows(spark, documents):
     assert language_id.identify(documents([]), model).isEmpty()
 
 
+def test_rare_languages_are_learned_from_a_small_sample(spark, documents, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 200)
+    monkeypatch.setattr(language_id, "SHARD_ROWS", 50)
+    monkeypatch.setattr(language_id, "LEAST_ROWS", 20, raising=False)
+    rng, words = random.Random(0), {"en": ["the", "and", "with"], "de": ["der", "und", "mit"],
+                                    "ru": ["это", "или", "что"], "el": ["και", "της", "που"]}
+    many = {"en": 2000, "de": 2000, "ru": 30, "el": 5}
+    rows = [(lang, " ".join(rng.choices(words[lang], k=12))) for lang, n in many.items() for _ in range(n)]
+    docs = documents([(i, text, lang) for i, (lang, text) in enumerate(rows)])
+    drawn, store = [], language_id.common.stored
+    monkeypatch.setattr(language_id.common, "stored", lambda df, name: drawn.append(store(df, name)) or drawn[-1])
+    model = language_id.fit(docs, F.lit(True))
+    assert model.languages == ["de", "el", "en", "ru"]
+    found = {r["lang"]: r["count"] for r in drawn[0].groupBy("lang").count().collect()}
+    assert found["el"] == 5 and found["ru"] >= 10 and sum(found.values()) < 260
+    rare = language_id.identify(docs.filter("lang in ('ru', 'el')"), model)
+    assert rare.filter("lang = lang_pred").count() == 35
+
+
+def test_draw_shares_keep_both_bounds(monkeypatch):
+    n, size = [10**9, 5 * 10**5, 300, 3], [10**12, 10**9, 10**7, 3000]
+    shares = language_id.draw_shares(n, size)
+    assert sum(s * x for s, x in zip(shares, n)) <= language_id.SAMPLE_ROWS
+    assert sum(s * x for s, x in zip(shares, size)) <= language_id.SAMPLE_BYTES
+    assert shares[3] == 1.0 and shares[1] * n[1] >= 199 and shares[0] * n[0] > 5000
+    many = language_id.draw_shares([10**6] * 500, [10**9] * 500)
+    assert sum(many) * 10**6 <= language_id.SAMPLE_ROWS and min(many) * 10**6 >= 6
+
+
 def test_temperature_has_the_least_loss(spark, documents):
     rows = [(i, "aaa" if i % 2 else "bbb", "x" if i % 2 == (i % 10 > 0) else "y") for i in range(100)]
     docs = documents(rows)
