@@ -9,7 +9,8 @@ The k best of each block are merged per query.
 
 Vectors that are null, empty, or hold null or non-finite components take no part; a vector
 is scored only against vectors of its own length.  Rows with a null id take no part.
-Repeated ids are separate candidates.  Scores outside 64 bits are set to the nearest
+Repeated ids are separate candidates.  Query rows with one id share one list of ``k``, and no
+row with that id is their candidate, as in the SQL.  Scores outside 64 bits are set to the nearest
 64-bit value.  Input columns other than the id and the vector are not read.
 """
 
