@@ -10,6 +10,7 @@ from cartlark.llm import (
     packing,
     quotes,
     sharding,
+    substring_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_language_id": language_id.op10_language_id,
+    "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -34,4 +36,5 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": url_filter.OP7_SQL,
     "op8_near_dup": near_dup.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
+    "op13_substring_dedup": substring_dedup.OP13_SQL,
 }

@@ -1,0 +1,128 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartlark.llm import substring_dedup, word_graph
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def brute(rows, window):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text in rows]
+    first = {}
+    for (i, _), w in zip(rows, words, strict=True):
+        for s in range(len(w) - window + 1):
+            key = tuple(w[s : s + window])
+            if i is not None:
+                first[key] = min(i, first.get(key, i))
+    out = []
+    for (i, _), w in zip(rows, words, strict=True):
+        goes = set()
+        for s in range(len(w) - window + 1):
+            if i is not None and first[tuple(w[s : s + window])] < i:
+                goes |= set(range(s, s + window))
+        kept = " ".join(x for j, x in enumerate(w) if j not in goes)
+        out.append((i, len(w), len(goes), kept))
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, **sizes):
+    result = substring_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), **sizes)
+    assert result.columns == ["doc_id", "n_words", "n_removed", "kept"]
+    return sorted(map(tuple, result.collect()), key=repr)
+
+
+@pytest.mark.parametrize(("window", "minimizer", "letters"), [(5, 2, 2), (6, 6, 3), (8, 3, 40)])
+def test_equals_comparing_all_windows(spark, window, minimizer, letters):
+    rng = random.Random(window)
+    passages = [[f"w{rng.randrange(letters)}" for _ in range(rng.randrange(3, 30))] for _ in range(6)]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(rng.randrange(4)):
+            words += rng.choice(passages)
+            words += [f"w{rng.randrange(letters)}" for _ in range(rng.randrange(5))]
+        rows.append((rng.randrange(100), rng.choice([" ", "\t\n", "  "]).join(words)))
+    rows += rows[:15] + [(None, rows[20][1]), (None, rows[20][1]), (7, None), (8, ""), (9, " \n")]
+    assert found(spark, rows, window=window, minimizer=minimizer) == brute(rows, window)
+
+
+def test_copies_long_texts_and_repeated_words(spark):
+    rng = random.Random(1)
+    long = " ".join(f"v{rng.randrange(5000)}" for _ in range(30_000))
+    rows = [(5, long), (6, long), (7, "intro " + long[: len(long) // 2]), (1, "x " * 400),
+            (2, "y " + "x " * 300), (3, "y " + "x " * 40)]
+    rows += [(i, "the same short text " * 20) for i in range(10, 400)]
+    assert found(spark, rows) == brute(rows, 50)
+
+
+def test_a_passage_between_different_texts_is_found_whole(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"{i}a{j}" for j in range(40)) + " " + passage + f" end{i}")
+            for i in range(30)]
+    result = found(spark, rows)
+    assert result == brute(rows, 50)
+    assert {r[2] for r in result} == {0, 60}
+
+
+def test_empty_table_and_other_columns(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert substring_dedup.without_repeats(empty).count() == 0
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "z a b c d e")], SCHEMA)
+    clash = docs.select("*", *[F.lit(1).alias(n) for n in ("row", "n_words", "kept", "a.b", "low")])
+    result = substring_dedup.without_repeats(
+        clash, window=5, minimizer=2, drop_text=True, digest=F.length("kept")
+    )
+    assert sorted(map(tuple, result.collect())) == [(1, 6, 0, 11), (2, 6, 5, 1)]
+    with pytest.raises(ValueError, match="minimizer"):
+        substring_dedup.without_repeats(docs, window=5, minimizer=6)
+
+
+def test_branching_paths_break_where_a_text_leaves(spark):
+    shared = [f"s{i}" for i in range(12)]
+    rows = [(1, " ".join(shared)), (2, " ".join(shared)), (3, " ".join(shared[:8] + ["q"] * 4))]
+    df = substring_dedup._rows(spark.createDataFrame(rows, SCHEMA))
+    met = substring_dedup.walks(df, 5, 2, 0).collect()
+    covered = {i: set() for i, _ in rows}
+    for row in met:
+        assert row["first"] == 1
+        covered[row["doc_id"]] |= set(range(row["start"], row["start"] + row["words"]))
+    assert covered == {1: set(range(12)), 2: set(range(12)), 3: set(range(8))}
+    # Paths end where document 3 leaves: no path of the others reaches over that edge.
+    ends = {r["start"] + r["words"] for r in met if r["doc_id"] == 3}
+    assert ends <= {r["start"] + r["words"] for r in met if r["doc_id"] == 1}
+
+
+def test_different_passages_with_equal_hashes_lead_to_another_seed(spark, monkeypatch):
+    rows = [(1, " ".join(f"a{i}" for i in range(9))), (2, " ".join(f"b{i}" for i in range(9)))]
+    runs = []
+    walks = substring_dedup.walks
+
+    def counted(df, window, minimizer, seed):
+        runs.append(seed)
+        result = walks(df, window, minimizer, seed)
+        # The first seed is made to call both passages one path.
+        return result if seed else spark.createDataFrame(
+            [(r.doc_id, r.row, 0, 9, 1, 1, 1) for r in df.collect()], result.schema
+        )
+
+    monkeypatch.setattr(substring_dedup, "walks", counted)
+    assert found(spark, rows, window=5, minimizer=2) == brute(rows, 5)
+    assert runs == [0, 1]
+
+
+def test_hashes_of_spans_and_sliding_minimum():
+    rng = np.random.default_rng(0)
+    words = rng.integers(0, 2**63, 200).astype(np.uint64)
+    words[100:150] = words[20:70]
+    rolling = word_graph.Rolling(words)
+    spans = rolling.all_of(30)
+    assert (spans[100:120] == spans[20:40]).all() and len(set(spans.tolist())) == 171 - 21
+    values = rng.integers(0, 100, 64).astype(np.uint64)
+    for width in (1, 2, 7, 16, 33):
+        expected = [values[i : i + width].min() for i in range(64 - width + 1)]
+        assert word_graph.sliding_least(values, width).tolist() == expected
+    assert [w for part in word_graph.word_lists("a b " * 600_000) for w in part] == ["a", "b"] * 600_000
