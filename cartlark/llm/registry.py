@@ -11,6 +11,7 @@ from cartlark.llm import (
     quotes,
     sharding,
     substring_dedup,
+    token_alignment,
     token_counts,
     toxicity,
     url_filter,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_language_id": language_id.op10_language_id,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
     "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 

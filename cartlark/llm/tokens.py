@@ -23,7 +23,7 @@ _PIECE = re.compile(r"\s*\S+|\s+")
 _UNSURE = re.compile("[\\x1c-\\x1f]")
 #: Pieces held by a worker at most.  A full memo keeps what it has, as common pieces come
 #: early, and starts anew after so many misses, in case the texts have changed.
-MEMO_PIECES = 120_000
+MEMO_PIECES = 300_000
 MEMO_MISSES = 4_000_000
 
 
@@ -55,13 +55,17 @@ class Memo(dict):
         return value
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable stand-ins of UTF-8 bytes in byte-level vocabularies, for characters of
-    simple pieces: each byte that is no printable Latin-1 character gets the next code
-    point from 256 on."""
+def byte_letters() -> dict[int, str]:
+    """The printable stand-ins of bytes in byte-level vocabularies: each byte that is no
+    printable Latin-1 character gets the next code point from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = iter(range(256, 512))
-    stand_in = {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
+    return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
+
+
+def _spelled() -> dict[int, str]:
+    """The stand-ins of the UTF-8 bytes of the characters of simple pieces."""
+    stand_in = byte_letters()
     return {c: "".join(stand_in[b] for b in chr(c).encode()) for c in range(256)}
 
 
@@ -83,8 +87,8 @@ class PieceEncoder:
         self.drops_space = _drops_space(spec)
         self.by_piece = self.drops_space or _byte_level(spec)
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.memo, self.parts = Memo(self._piece), Memo(self._part)
+        self.letters = _spelled()
+        self.memo, self.marks = Memo(self._piece), Memo(self._whole)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -92,8 +96,6 @@ class PieceEncoder:
 
     def _part(self, part: str) -> bytes:
         """One match of the pattern: letters, with a space before them where that counts."""
-        if not part[-1].isalpha():
-            return self._whole(part)
         plain = part if part.isascii() and part[0] != " " else part.translate(self.letters)
         ids = [token.id for token in self.model.tokenize(plain)]
         return pack(f"<{len(ids)}I", *ids)
@@ -103,13 +105,11 @@ class PieceEncoder:
         if simple is None:
             return self._whole(piece)
         space, letters, end = simple.groups()
-        if self.drops_space:
-            ids = self.parts[letters.lower()]
-        elif space in ("", " "):
-            ids = self.parts[space + letters]
-        else:
+        if not self.drops_space and space not in ("", " "):
             return self._whole(piece)
-        return ids + self.parts[end] if end else ids
+        if end:  # the word itself is held once, under its own piece
+            return self.memo[piece[: -len(end)]] + self.marks[end]
+        return self._part(letters.lower() if self.drops_space else piece)
 
     def ids(self, text: str) -> bytes:
         if not text:

@@ -1,0 +1,127 @@
+import bisect
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from cartlark.llm import token_alignment as ta
+
+A = public_tokenizers.path("byte_bpe_50k.json")
+B = public_tokenizers.path("piece_bpe_32k.model")
+SCHEMA = "doc_id bigint, text string"
+TEXTS = [
+    None, "", " ", "a", "Hello, world!", "naïve café  déjà-vu — ünïcödé", "x\n\n  y\tz ", "  lead",
+    "<|endoftext|> a <s> b</s> <unk><0x41>", "low▁line", "日本語のテキスト and 한국어 🙂🙂",
+    "antidisestablishmentarianism " * 30, "pneumono,ultra;microscopic?silico!volcano...coniosis",
+    "a" * 300, "1234567890 3.14159 1,000,000", "Ａ ﬁ ﬂ   \x1c \x85 \xa0 end", "été",
+    "tabs\t\ttabs      spaces", "Hello, world!", "code: for(i=0;i<10;++i){x[i]=i*2;}",
+]
+
+
+def sides():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=B)
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(c): c for c in plain}
+    letters |= {chr(256 + n): c for n, c in enumerate(c for c in range(256) if c not in plain)}
+
+    def bytes_a(i):
+        return bytes(letters[c] for c in a.id_to_token(i))
+
+    def bytes_b(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    return a, b, bytes_a, bytes_b
+
+
+def spans(ids, size):
+    out, at = [], 0
+    for i in ids:
+        out.append((at, at + size(i), i))
+        at += size(i)
+    return out
+
+
+def brute(rows):
+    a, b, bytes_a, bytes_b = sides()
+    docs, met = [], Counter()
+    for doc_id, text in rows:
+        one = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        two = b.encode(text) if text else []
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(map(bytes_a, one)) != whole or b"".join(map(bytes_b, two)) != whole:
+            docs.append((doc_id, 0, 0, "", []))
+            continue
+        left, right = spans(one, lambda i: len(bytes_a(i))), spans(two, lambda i: len(bytes_b(i)))
+        links = [(x, y) for s, e, x in left for u, v, y in right if s < v and u < e]
+        cuts = sorted({e for _, e, _ in left} & {e for _, e, _ in right})
+        parts = []
+        for low, high in zip([0, *cuts], cuts):
+            parts.append("|".join(
+                ",".join(str(i) for s, e, i in side if low < e <= high) for side in (left, right)))
+        docs.append((doc_id, len(one), len(two), ";".join(parts), links))
+        met.update(links)
+    most = {}
+    for (_, y), n in met.items():
+        most[y] = max(n, most.get(y, 0))
+    return sorted(
+        (
+            (d, n, m, groups.count(";") + 1 if groups else 0, len(links),
+             sum(met[p] == most[p[1]] for p in links), sum(met[p] for p in links), groups)
+            for d, n, m, groups, links in docs
+        ), key=repr,
+    )
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
+
+
+@pytest.mark.parametrize("listed", [ta.LISTED_PAIRS, 3])
+def test_equals_comparing_all_token_pairs(spark, documents, listed):
+    rng = random.Random(0)
+    rows = list(enumerate(TEXTS)) + [(3, "a"), (None, "a b"), (None, None), (5, TEXTS[5])]
+    words = "the quick Brown fox's jumps, over; lazy dogs élan übermäßig 42".split()
+    rows += [(100 + i, " ".join(rng.choices(words, k=rng.randrange(1, 60)))) for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"n_a": F.lit("x"), "a.b": F.lit(1)})
+    result = ta.alignment(docs, A, B, listed_pairs=listed).select(COLUMNS)
+    assert sorted(map(tuple, result.collect()), key=repr) == brute(rows)
+
+
+def test_digest_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], SCHEMA)
+    plain = {r["doc_id"]: r["groups"] for r in ta.alignment(docs, A, B).collect()}
+    digest = {r["doc_id"]: r["groups"] for r in ta.alignment(docs, A, B, digest=True).collect()}
+    assert digest == {1: hashlib.sha256(plain[1].encode()).hexdigest(), 2: ""}
+    for listed in (0, 10):
+        assert ta.alignment(docs.filter("false"), A, B, listed_pairs=listed).count() == 0
+
+
+def test_very_long_text_equals_the_libraries(spark):
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdeé▁"[:6], k=rng.randrange(1, 12))) for _ in range(40_000))
+    work, (a, b, *_) = ta.aligner(A, B), sides()
+    ids, group, left, right = ta.align(work, text)
+    assert ids[0].tolist() == a.encode(" " + text, add_special_tokens=False).ids
+    assert ids[1].tolist() == b.encode(text)
+    assert group[0][-1] == group[1][-1] and len(left) == len(right) >= max(map(len, ids))
+
+
+def test_galloping_finds_what_bisection_finds():
+    rng = np.random.default_rng(0)
+    for n, m in [(1, 1), (1, 500), (40, 3000), (700, 700), (33, 64), (1000, 20)]:
+        short = np.unique(rng.integers(1, 5000, n))
+        long = np.unique(rng.integers(1, 5000, m))
+        assert ta.ranks(short, long).tolist() == [bisect.bisect_left(long, x) for x in short]
+        total = [np.append(short, 9999), np.append(long, 9999)]
+        for ends in (total, total[::-1]):
+            one, two = ta.common_ends(ends)
+            assert ends[0][one].tolist() == ends[1][two].tolist() == sorted(
+                set(total[0].tolist()) & set(total[1].tolist()))
