@@ -5,6 +5,7 @@ from __future__ import annotations
 from cartlark.llm import (
     decontaminate,
     exact_topk,
+    hard_negatives,
     language_id,
     near_dup,
     packing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_language_id": language_id.op10_language_id,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_token_alignment": token_alignment.op12_token_alignment,
     "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
@@ -38,5 +40,6 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": url_filter.OP7_SQL,
     "op8_near_dup": near_dup.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
     "op13_substring_dedup": substring_dedup.OP13_SQL,
 }
