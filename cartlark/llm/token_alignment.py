@@ -22,8 +22,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,12 @@ LISTED_PAIRS = 4_000_000
 HELD_PAIRS = 500_000
 #: Every so many ends, one is sought from the front; those between start at its place.
 STRIDE = 32
-#: Characters of the texts that are aligned together before they are handed to Spark.
-BATCH_CHARS = 1 << 21
+#: Characters and number of the texts that are aligned together.
+BATCH_CHARS = 1 << 20
+BATCH_TEXTS = 1 << 12
+#: Bits of an id in a pair; pair and number of the text fill 64 bits.
+ID_BITS = 24
+_LOW_ID = (1 << ID_BITS) - 1
 
 _ALIGNED = (
     "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups {groups}, "
@@ -67,15 +73,20 @@ class ByteLevelSide:
             if all(letter in letters for letter in entry):
                 self.bytes[token] = bytes(letters[letter] for letter in entry)
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encoder.ids(" " + text), "<u4")
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        found = [np.frombuffer(self.encoder.ids(" " + text), "<u4") for text in texts]
+        return [
+            ids if _same(self.bytes, ids, text) else None
+            for ids, text in zip(found, texts, strict=True)
+        ]
 
 
 class PieceSide:
     """Ids of a sentencepiece model, which puts a space before the text.
 
     Where no entry of the vocabulary holds a space behind another character, a text may be cut
-    before every run of spaces, and each part is encoded once per worker.
+    before every run of spaces.  A part is encoded, and its bytes compared, once while a worker
+    remembers it; a text with a part whose bytes differ is looked at as a whole.
     """
 
     def __init__(self, path: str):
@@ -89,18 +100,51 @@ class PieceSide:
             for i, entry in enumerate(entries)
         ]
         self.parted = not any(re.search("[^▁]▁", entry) for entry in entries)
-        self.memo = tokens.Memo(self._part)
+        self.memo: dict[str, bytes | None] = {}
 
-    def _part(self, part: str) -> bytes:
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
         # The library adds the space, but not to an empty text.
-        ids = self.model.encode(part[1:]) if part != " " else [self.model.piece_to_id("▁")]
-        return np.asarray(ids, "<u4").tobytes()
+        space = [self.model.piece_to_id("▁")]
+        return [
+            ids if text else space
+            for ids, text in zip(self.model.encode(texts, num_threads=1), texts, strict=True)
+        ]
+
+    def _learn(self, parts: list[str]) -> dict[str, bytes | None]:
+        """Ids of new parts, None where their bytes differ; kept while there is room."""
+        known = {
+            part: np.asarray(ids, "<u4").tobytes() if _same(self.bytes, ids, part[1:]) else None
+            for part, ids in zip(parts, self._encoded([part[1:] for part in parts]), strict=True)
+        }
+        if len(self.memo) < tokens.MEMO_PIECES:
+            self.memo.update(known)
+        return known
+
+    def _whole(self, text: str) -> np.ndarray | None:
+        ids = self.model.encode(text)
+        return np.asarray(ids, "<u4") if _same(self.bytes, ids, text) else None
+
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        if not self.parted:
+            return list(map(self._whole, texts))
+        cut = [_SPACES.findall(" " + text) for text in texts]
+        known = self._learn(list(set(chain.from_iterable(cut)).difference(self.memo)))
+        known = ChainMap(known, self.memo) if known else self.memo
+        out = []
+        for parts, text in zip(cut, texts, strict=True):
+            found = list(map(self.memo.get, parts))
+            if None in found:
+                found = [x or known[part] for x, part in zip(found, parts, strict=True)]
+            out.append(
+                self._whole(text) if None in found else np.frombuffer(b"".join(found), "<u4")
+            )
+        return out
 
-    def ids(self, text: str) -> np.ndarray:
-        if not self.parted or "▁" in text:
-            return np.asarray(self.model.encode(text), "<u4")
-        parts = _SPACES.findall(" " + text)
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, parts)), "<u4")
+
+def _same(entries: list[bytes], ids, text: str) -> bool:
+    """Whether the ids' bytes are those of a space and the text."""
+    ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+    return b"".join(map(entries.__getitem__, ids)) == (" " + text).encode("utf-8", "surrogatepass")
 
 
 def _side(path: str):
@@ -108,40 +152,35 @@ def _side(path: str):
 
 
 class Aligner:
-    """The two sides and their tables of token bytes, sizes and printed ids."""
+    """The two sides and their tables of token sizes and printed ids."""
 
     def __init__(self, path_a: str, path_b: str):
         self.sides = _side(path_a), _side(path_b)
         self.sizes = [np.array([len(x) for x in side.bytes], np.int64) for side in self.sides]
+        if max(map(len, self.sizes)) > 1 << ID_BITS:
+            raise ValueError(f"ids beyond {ID_BITS} bits")
         #: Printed ids with what follows them: a comma, or the end of the side in its group.
         self.printed = [
-            [f"{i}{mark}" for mark in (",", end) for i in range(len(side.bytes))]
+            np.array([f"{i}{mark}" for mark in (",", end) for i in range(len(side.bytes))], object)
             for side, end in zip(self.sides, "|;", strict=True)
         ]
 
-    def tokens(self, text: str | None) -> list[np.ndarray] | None:
-        """Both sides' ids, if their bytes are those of the space and the text."""
-        if not text:
-            return None
-        expected = (" " + text).encode("utf-8", "surrogatepass")
-        found = [side.ids(text) for side in self.sides]
-        for ids, side in zip(found, self.sides, strict=True):
-            if b"".join(map(side.bytes.__getitem__, ids.tolist())) != expected:
-                return None
-        return found
-
-    def ends(self, ids: list[np.ndarray]) -> list[np.ndarray]:
-        return [np.cumsum(size[side]) for size, side in zip(self.sizes, ids, strict=True)]
-
-    def groups(self, ids: list[np.ndarray], group: list[np.ndarray]) -> str:
-        """``a1,a2|b1;a3|b2,b3``: each group's ids of the one side, then of the other."""
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Both sides' ids of each text, None where there are none."""
+        found = [side.ids(texts) for side in self.sides]
+        return [
+            None if text == "" or a is None or b is None else (a, b)
+            for text, a, b in zip(texts, *found, strict=True)
+        ]
+
+    def printed_groups(self, ids: list[np.ndarray], group: list[np.ndarray]) -> list[str]:
+        """The ids of each group's one side, then of the other, with what follows each."""
         words = []
         for side, at, printed in zip(ids, group, self.printed, strict=True):
             last = np.r_[at[1:] != at[:-1], True]
-            codes = side + last * np.int64(len(printed) // 2)
-            words.append(np.array(list(map(printed.__getitem__, codes.tolist())), object))
+            words.append(printed[side + last * np.int64(len(printed) // 2)])
         order = np.argsort(np.r_[2 * group[0], 2 * group[1] + 1], kind="stable")
-        return "".join(np.concatenate(words)[order].tolist())[:-1]
+        return np.concatenate(words)[order].tolist()
 
 
 @lru_cache(maxsize=2)
@@ -217,18 +256,54 @@ def links(ends: list[np.ndarray], group: list[np.ndarray], places: list[np.ndarr
     return left, right
 
 
-def align(work: Aligner, text: str | None):
-    """``ids``, ``group`` of every token on both sides, and the linked ids; None without tokens."""
-    ids = work.tokens(text)
-    if ids is None:
-        return None
-    ends = work.ends(ids)
+def align(work: Aligner, found: list[tuple[np.ndarray, np.ndarray]]):
+    """``ids``, ``group`` of every token on both sides, and the places of linked tokens, of
+    several texts put one behind the other: both sides end together at each text's end."""
+    ids = [np.concatenate(side) for side in zip(*found, strict=True)]
+    ends = [np.cumsum(size[side]) for size, side in zip(work.sizes, ids, strict=True)]
     places = common_ends(ends)
     group = [
         np.repeat(np.arange(len(place)), np.diff(np.r_[-1, place])) for place in places
     ]
-    left, right = links(ends, group, places)
-    return ids, group, ids[0][left], ids[1][right]
+    return ids, group, *links(ends, group, places)
+
+
+# --- rows ---------------------------------------------------------------------------------------
+
+
+def _nothing(doc_id) -> tuple:
+    return doc_id, 0, 0, 0, 0, "", b"", b""
+
+
+def _several(work: Aligner, doc_ids: list, texts: list[str], digest: bool) -> list[tuple]:
+    """The rows of some texts, aligned together."""
+    found = work.tokens(texts)
+    have = [j for j, ids in enumerate(found) if ids is not None]
+    rows = [_nothing(doc_id) for doc_id in doc_ids]
+    if not have:
+        return rows
+    ids, group, left, right = align(work, [found[j] for j in have])
+    printed = work.printed_groups(ids, group)
+    # Bounds of the texts among the tokens of both sides, the groups and the links.
+    a, b = (np.cumsum([0, *(len(found[j][side]) for j in have)]) for side in (0, 1))
+    groups = np.r_[group[0][a[:-1]], group[0][-1] + 1]
+    linked = np.searchsorted(left, a)
+    text = np.repeat(np.arange(len(have)), np.diff(linked))
+    pairs = (text << 2 * ID_BITS) | (ids[0][left].astype(np.int64) << ID_BITS) | ids[1][right]
+    pairs, times = np.unique(pairs, return_counts=True)
+    bounds = np.searchsorted(pairs, np.arange(len(have) + 1) << 2 * ID_BITS)
+    pairs = pairs & ((1 << 2 * ID_BITS) - 1)
+    times = times.astype("<u4")
+    for n, j in enumerate(have):
+        both = "".join(printed[a[n] + b[n] : a[n + 1] + b[n + 1]])[:-1]
+        mine = slice(bounds[n], bounds[n + 1])
+        rows[j] = (
+            doc_ids[j], int(a[n + 1] - a[n]), int(b[n + 1] - b[n]), int(groups[n + 1] - groups[n]),
+            int(linked[n + 1] - linked[n]),
+            hashlib.sha256(both.encode()).hexdigest() if digest else both,
+            pairs[mine].tobytes(), times[mine].tobytes(),
+        )
+    return rows
 
 
 # --- Spark ------------------------------------------------------------------------------------
@@ -252,34 +327,25 @@ def _aligning(path_a: str, path_b: str, digest: bool, schema: list[str]):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work, rows, held = aligner(path_a, path_b), [], 0
+        work = aligner(path_a, path_b)
         for given in batches:
+            doc_ids, texts, held = [], [], 0
             for doc_id, text in zip(given.column(0).to_pylist(), given.column(1), strict=True):
-                found = align(work, text.as_py())
-                if found is None:
-                    rows.append((doc_id, 0, 0, 0, 0, "", b"", b""))
-                    continue
-                ids, group, a, b = found
-                pairs, times = np.unique(a.astype(np.int64) << 32 | b, return_counts=True)
-                printed = work.groups(ids, group)
-                held += len(printed)
-                rows.append((
-                    doc_id, len(ids[0]), len(ids[1]), int(group[0][-1]) + 1, len(a),
-                    hashlib.sha256(printed.encode()).hexdigest() if digest else printed,
-                    pairs.tobytes(), times.astype("<u4").tobytes(),
-                ))
-                if held > BATCH_CHARS:
-                    yield batch(rows)
-                    rows, held = [], 0
-        if rows:
-            yield batch(rows)
+                doc_ids.append(doc_id)
+                texts.append(text.as_py() or "")
+                held += len(texts[-1])
+                if held > BATCH_CHARS or len(texts) == BATCH_TEXTS:
+                    yield batch(_several(work, doc_ids, texts, digest))
+                    doc_ids, texts, held = [], [], 0
+            if texts:
+                yield batch(_several(work, doc_ids, texts, digest))
 
     return run
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
     """``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups`` (or their sha256) and the
-    different linked ids of a row with their numbers (``pairs``: 64-bit, first id above 32
+    different linked ids of a row with their numbers (``pairs``: 64-bit, first id above ``ID_BITS``
     bits of the second; ``times``: 32-bit)."""
     schema = _ALIGNED.format(groups="string")
     names = [field.split()[0] for field in schema.split(", ")]
@@ -301,8 +367,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array((held >> 32).astype(np.int32)),
-             pa.array((held & 0xFFFFFFFF).astype(np.int32)), pa.array(count)],
+            [pa.array((held >> ID_BITS).astype(np.int32)),
+             pa.array((held & _LOW_ID).astype(np.int32)), pa.array(count)],
             names=["a", "b", "met"],
         )
 
@@ -336,7 +402,7 @@ def _looked_up(found: DataFrame, counts: DataFrame) -> DataFrame:
     """Counts as sorted arrays in every task."""
     table = counts.toArrow()  # at most ``listed_pairs`` rows
     a, b, met, best = [column.to_numpy() for column in table.select(["a", "b", "met", "best"])]
-    pairs = a.astype(np.int64) << 32 | b
+    pairs = a.astype(np.int64) << ID_BITS | b
     order = np.argsort(pairs)
     told = found.sparkSession.sparkContext.broadcast((pairs[order], met[order], best[order]))
     kept = found.drop("pairs", "times").columns
@@ -367,8 +433,8 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, pairs, times = _linked(batch, 1)
             key = batch.column(0).to_numpy()[row]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array((pairs >> 32).astype(np.int32)),
-                 pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(times)],
+                [pa.array(key), pa.array((pairs >> ID_BITS).astype(np.int32)),
+                 pa.array((pairs & _LOW_ID).astype(np.int32)), pa.array(times)],
                 names=["key", "a", "b", "times"],
             )
 

@@ -108,7 +108,7 @@ def test_very_long_text_equals_the_libraries(spark):
     rng = random.Random(3)
     text = " ".join("".join(rng.choices("abcdeé▁"[:6], k=rng.randrange(1, 12))) for _ in range(40_000))
     work, (a, b, *_) = ta.aligner(A, B), sides()
-    ids, group, left, right = ta.align(work, text)
+    ids, group, left, right = ta.align(work, work.tokens([text]))
     assert ids[0].tolist() == a.encode(" " + text, add_special_tokens=False).ids
     assert ids[1].tolist() == b.encode(text)
     assert group[0][-1] == group[1][-1] and len(left) == len(right) >= max(map(len, ids))
