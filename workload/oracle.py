@@ -492,8 +492,15 @@ select unnest(['even', 'odd', 'all']) as load, unnest([even, odd, 0]) as added,
  cast(16 as bigint) as dim, cast(1 as double) as norm from parts where split = 'train'""",
     "als_item_factors": f"""{_split(SHOP)} select distinct item_id, cast(16 as bigint) as dim,
  cast(1 as double) as norm from parts where split = 'train'""",
-    "als_sweep": """select cast(unnest([1, 3]) as bigint) as epoch,
- true as train_loss_below_log_2, true as validation_loss_below_log_2""",
+    "als_sweep": f"""{_free('validation', 1_000_003)}, learned as (
+ select count(*) as n from (select count(*) over (partition by user_index) as held from
+  (select distinct user_index, item_index from seenidx)), size where held < size.n)
+select cast(unnest([1, 2]) as bigint) as epoch, learned.n as train_pairs,
+ (select count(*) from free) as validation_triples from learned""",
+    "pairwise_user_vectors": f"""{_split(SHOP)} select distinct visitor_id as user_id,
+ cast(8 as bigint) as dim, cast(1 as double) as norm from parts where split = 'train'""",
+    "pairwise_item_vectors": f"""{_split(SHOP)} select distinct item_id, cast(8 as bigint) as dim,
+ cast(1 as double) as norm from parts where split = 'train'""",
     "best_epoch": """with history as (
  select l_linenumber as epoch, max(case when l_linenumber % 3 <> 0 then abs(l_linenumber - 4) / 8.0
  end) as validation_loss from lineitem group by 1)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -16,7 +15,7 @@ from cartlark.operators import merge, negatives, normalize, ranking, retrieval,
 from cartlark.functions.vectors import norm as vector_norm
 from cartlark.operators.asof import validity_intervals
 from cartlark.operators.sessions import with_sessions
-from cartlark.plans import analytics, etl, evaluation, interactions, recommend
+from cartlark.plans import analytics, etl, evaluation, interactions, pairwise, recommend
 from cartlark.plans.replay import replay_delays
 from cartlark.session import shared_dir
 from cartlark.sources import kafka
@@ -726,13 +725,26 @@ def best_epoch(spark, sf):
     return recommend.best_epoch(history)
 
 
+def _growing_fit(spark, sf):
+    """One pairwise fit with features and categories, two epochs, shared by the queries below."""
+    path = tables.shared_path(spark, sf, "pairwise")
+    return pairwise.learn(
+        _train(spark, sf), _part(spark, sf, "validation"), path, epochs=2, patience=2,
+        settings=pairwise.Settings(rank=8, batch=4096, seed=SEED),
+    )
+
+
 @query
 def als_sweep(spark, sf):
-    """Settings of the sweep, and whether each beats a coin toss on either part."""
-    trained = recommend.learn_embeddings(
-        _train(spark, sf), _part(spark, sf, "validation"), rank=8, epochs=(1, 3), seed=SEED
-    )
-    return trained.history.select(
-        "epoch",
-        *((F.col(c) < math.log(2)).alias(f"{c}_below_log_2") for c in ("train_loss", "validation_loss")),
-    )
+    """What each epoch of one growing fit learned from and was measured on."""
+    return _growing_fit(spark, sf).history.select("epoch", "train_pairs", "validation_triples")
+
+
+@query
+def pairwise_user_vectors(spark, sf):
+    return _described(_growing_fit(spark, sf).users, "user_id")
+
+
+@query
+def pairwise_item_vectors(spark, sf):
+    return _described(_growing_fit(spark, sf).items, "item_id")

@@ -202,6 +202,12 @@ def stored(
     return spark.read.parquet(_stored[key])
 
 
+def shared_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """One folder of this session for what is not a single table."""
+    key = (use_utc(spark).sparkContext.applicationId, sf_dir, name)
+    return _stored.setdefault(key, f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/{name}")
+
+
 def _stored_clean(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (use_utc(spark).sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
