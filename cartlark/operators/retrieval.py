@@ -1,13 +1,13 @@
 """Exact cosine top-k over dense vectors, with already seen items left out.
 
-Users are dealt into shards and items into blocks by hash of their unique ids, with both
-numbers taken from counts, so that one group holds a bounded matrix of each.  A group
-scores its matrix product in NumPy, some users at a time, and returns at most ``k`` rows
-per user; a window then merges a user's partial lists.  No table of all user-item scores
-ever exists, and a seen pair travels only to the one group that scores it.
-
-Every user vector is sent to each item block and every item vector to each user shard, so
-larger groups mean less copying; at 64 dimensions a side of a group is about 8 MB.
+Users are dealt into shards, and items into the parts of cells of like vectors, each of
+bounded size.  A group scores its matrix product in NumPy, some users at a time, and returns
+at most ``k`` rows per user; a window then merges a user's partial lists.  No table of all
+user-item scores ever exists, and a seen pair travels only to the one group that scores it.
+
+A user is sent to the cell of the nearest centre, and from there only to cells that can hold
+a better item (``cell_index``).  Items that fit one block are not indexed.  At 64 dimensions
+a side of a group is about 8 MB.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.vectors import cosine, norm
+from cartlark.operators.cell_index import build_cells, unit_rows, visited
 
 USERS_PER_SHARD = 16_384
 ITEMS_PER_BLOCK = 16_384
@@ -48,11 +49,6 @@ def _slot(column: str, slots: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(slots)).cast("int")
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    matrix = np.array(vectors.tolist(), dtype="float64")
-    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
-
-
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, columns and rounded values of the ``k`` best finite scores per row, best first,
     ties to the smaller column."""
@@ -81,7 +77,7 @@ def _best_of_group(k: int):
             return found[0]
         items = right.sort_values("item_id", ignore_index=True)
         user_ids, item_ids = users["user_id"].to_numpy(), items["item_id"].to_numpy()
-        user_matrix, item_matrix = _matrix(users["embedding"]), _matrix(items["embedding"])
+        user_matrix, item_matrix = unit_rows(users["embedding"]), unit_rows(items["embedding"])
         row = pd.Index(user_ids).get_indexer(seen["user_id"].to_numpy())
         column = pd.Index(item_ids).get_indexer(seen["item_id"].to_numpy())
         known = (row >= 0) & (column >= 0)
@@ -122,40 +118,66 @@ def top_k_items(
     """
     users, items = with_usable_vector(users), with_usable_vector(items)
     user_count, item_count = users.count(), items.count()
-    blocks = max(1, ceil(item_count / items_per_block))
-    # Smaller shards than allowed where there would be too few groups to keep all cores busy.
-    cores = users.sparkSession.sparkContext.defaultParallelism
-    busy = min(ceil(3 * cores / blocks), ceil(user_count / LEAST_USERS_PER_SHARD))
-    shards = max(1, ceil(user_count / users_per_shard), busy)
-    shard, block = _slot("user_id", shards), _slot("item_id", blocks)
+    if item_count > items_per_block and _equally_long(users, items):
+        index = build_cells(items, item_count, items_per_block)
+        partial, _ = visited(users, index, seen, k, users_per_shard, _scored(k), _k_best(k))
+    else:
+        partial = _in_one_block(users, items, seen, k, user_count, users_per_shard)
+    return _k_best(k)(partial).select(
+        "user_id", (F.col("place") - 1).alias("rank"), "item_id", "score"
+    )
 
-    def every(slots: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
 
-    vector_type = users.schema["embedding"].dataType
-    asking = users.select(
-        shard.alias("shard"), every(blocks).alias("block"), "user_id",
-        F.lit(0).cast("bigint").alias("item_id"),  # not null: ids must stay whole numbers
-        "embedding", F.lit(True).alias("asks"),
-    )
-    hidden = seen.join(users, "user_id", "left_semi").select(
-        shard.alias("shard"), block.alias("block"), "user_id", "item_id",
-        F.lit(None).cast(vector_type).alias("embedding"), F.lit(False).alias("asks"),
-    )
-    offered = items.select(
-        every(shards).alias("shard"), block.alias("block"), "item_id", "embedding",
-    )
-    partial = (
-        asking.unionByName(hidden).groupBy("shard", "block")
-        .cogroup(offered.groupBy("shard", "block"))
-        .applyInPandas(_best_of_group(k), schema=_SCHEMA)
-    )
+def _equally_long(users: DataFrame, items: DataFrame) -> bool:
+    """Cells need vectors of one length; other tables fail in the matrix product, as they must."""
+    sizes = users.select(F.size("embedding").alias("n")).union(items.select(F.size("embedding")))
+    low, high = sizes.agg(F.min("n"), F.max("n")).first()
+    return low == high
+
+
+def _k_best(k: int):
     best_first = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
-    return (
-        partial.withColumn("place", F.row_number().over(best_first))
-        .filter(F.col("place") <= k)
-        .select("user_id", (F.col("place") - 1).alias("rank"), "item_id", "score")
-    )
+
+    def best(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= k)
+
+    return best
+
+
+def _scored(k: int):
+    """Scores asking users against offered items by ``shard`` and ``block``."""
+    key = ["shard", "block"]
+
+    def score(asking: DataFrame, hidden: DataFrame, offered: DataFrame) -> DataFrame:
+        vector_type = asking.schema["embedding"].dataType
+        asked = asking.select(
+            *key, "user_id", F.lit(0).cast("bigint").alias("item_id"),  # ids stay whole numbers
+            "embedding", F.lit(True).alias("asks"),
+        )
+        left = asked.unionByName(hidden.select(
+            *key, "user_id", "item_id", F.lit(None).cast(vector_type).alias("embedding"),
+            F.lit(False).alias("asks"),
+        ))
+        return (
+            left.groupBy(*key).cogroup(offered.groupBy(*key))
+            .applyInPandas(_best_of_group(k), schema=_SCHEMA)
+        )
+
+    return score
+
+
+def _in_one_block(users, items, seen, k, user_count, users_per_shard) -> DataFrame:
+    """All items in one block, copied to each shard of users."""
+    # Smaller shards than allowed where there would be too few groups to keep all cores busy.
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    busy = min(3 * cores, ceil(user_count / LEAST_USERS_PER_SHARD))
+    shards = max(1, ceil(user_count / users_per_shard), busy)
+    shard, block = _slot("user_id", shards).alias("shard"), F.lit(0).alias("block")
+    asking = users.select(shard, block, "user_id", "embedding")
+    hidden = seen.join(users, "user_id", "left_semi").select(shard, block, "user_id", "item_id")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    offered = items.select(every, block, "item_id", "embedding")
+    return _scored(k)(asking, hidden, offered)
 
 
 def vector_audit(item_vocabulary: DataFrame, vectors: DataFrame) -> DataFrame:

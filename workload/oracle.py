@@ -646,6 +646,7 @@ select event_id, visitor_id from test where visitor_id in (select user_id from c
     "warm_cold_users": f"""{REC} select user_id,
  user_id in (select user_id from uservec) as is_warm from users""",
     "topk_items": f"{REC} {_nearest_for('uservec')}",
+    "topk_items_cells": f"{REC} {_nearest_for('uservec')}",
     "similar_items": f"""{REC}, u as (
  select i.item_id, i.v from itemvec i join pop using (item_id) order by popularity_rank limit 1)
 select i.item_id, {_COSINE} as score from itemvec i, u where i.item_id <> u.item_id

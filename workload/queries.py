@@ -544,6 +544,14 @@ def topk_items(spark, sf):
     )
 
 
+@query
+def topk_items_cells(spark, sf):
+    """The same by cells of some tens of items, each user visiting those that can matter."""
+    return retrieval.top_k_items(
+        _user_vectors(spark, sf), _item_vectors(spark, sf), _seen(spark, sf), K, items_per_block=64
+    )
+
+
 @query
 def similar_items(spark, sf):
     """Neighbours of the most popular item that has a vector."""
