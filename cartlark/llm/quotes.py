@@ -2,12 +2,14 @@
 
 Lines of a message carry a quote level, the number of leading ``>`` marks; neighbouring
 lines of one level are a passage.  Normalised passages (spaces folded, trimmed,
-lower-cased) are hashed.  Every own passage of a message, and its whole own text, is filed
-under its conversation and hash with the turn that said it first; a quoted passage is
-joined to that turn where it is earlier.  A message answers the latest turn it quotes at
-the lowest level where a quotation was found.  Answers form trees: ordering by ``thread``
-and turn puts each message after the one that it answers, and the text comes without its
-quotations.
+lower-cased) are hashed.  A message's whole own text, its own passages, and their paragraphs
+(between blank lines) and lines are filed under conversation and hash with the turn that said
+them first; quoted passages, their paragraphs and their lines are joined to that turn where it
+is earlier, so that a trimmed quotation finds its message too.  A message answers what it
+quotes at the lowest level where a quotation was found; there a whole passage goes before a
+paragraph, a paragraph before a line, and then the latest turn before others.  Answers form
+trees: ordering by ``thread`` and turn puts each message after the one that it answers, and the
+text comes without its quotations.
 
 DataFrame functions only.  A null text is empty.  A message with a null conversation or
 turn is kept, links to nothing and starts a thread of its own.  Repeated messages of one
@@ -22,20 +24,36 @@ from pyspark.sql import functions as F
 
 from cartlark.llm import common
 
-_MARKS = "^[ \\t]*(>[ \\t]*)+"
-_EDGES = "^[ \\t\\r\\n\\f\\x0B]+|[ \\t\\r\\n\\f\\x0B]+\\z"
+#: No repeated group, which would take a stack frame per mark.
+_MARKS = "^[ \\t]*>[ \\t>]*"
+_BLANKS = " \t\r\n\f\x0b"
+_PARAGRAPH = "\n[ \\t\\r\\f\\x0B]*\n"
+_PASSAGE_UNIT, _PARAGRAPH_UNIT, _LINE_UNIT = 0, 1, 2
 _SPACES = "[ \\t\\r\\n\\f\\x0B]+"
 _RUN, _TEXT = "\x1e", "\x1f"  # mark runs of lines and their levels; not kept in texts
 
 
 def normalised(text: Column) -> Column:
-    return F.lower(F.regexp_replace(F.regexp_replace(text, _SPACES, " "), "^ | $", ""))
+    return F.lower(F.btrim(F.regexp_replace(text, _SPACES, " "), F.lit(" ")))
+
+
+def _units(body: Column) -> Column:
+    """``unit`` and normalised ``words`` of a passage, its paragraphs and its lines."""
+    def of(unit: int, parts: Column) -> Column:
+        return F.transform(
+            parts, lambda part: F.struct(F.lit(unit).alias("unit"), normalised(part).alias("words"))
+        )
+
+    return F.concat(
+        of(_PASSAGE_UNIT, F.array(body)), of(_PARAGRAPH_UNIT, F.split(body, _PARAGRAPH)),
+        of(_LINE_UNIT, F.split(body, "\n")),
+    )
 
 
 def parsed(messages: DataFrame) -> DataFrame:
     """``conv_id``, ``turn``, ``role``, ``message`` (a digest of role and text), ``clean``
-    (the text without quoted lines) and ``passages``: ``level`` and normalised ``words`` of
-    each run of lines of one level."""
+    (the text without quoted lines) and ``passages``: ``level`` and ``units`` of each run of
+    lines of one level."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.split(F.translate(text, _RUN + _TEXT, "  "), "\n")
     levels = F.transform(
@@ -60,11 +78,11 @@ def parsed(messages: DataFrame) -> DataFrame:
         runs,
         lambda run: F.struct(
             F.substring_index(run, _TEXT, 1).cast("int").alias("level"),
-            normalised(F.substring_index(run, _TEXT, -1)).alias("words"),
+            _units(F.substring_index(run, _TEXT, -1)).alias("units"),
         ),
     )
     own = F.filter("lines", lambda line, at: F.get("levels", at) == 0)
-    clean = F.regexp_replace(F.array_join(own, "\n"), _EDGES, "")
+    clean = F.btrim(F.array_join(own, "\n"), F.lit(_BLANKS))
     return rows.select(
         "conv_id", "turn", "role", "message", clean.alias("clean"), passages.alias("passages")
     )
@@ -81,10 +99,9 @@ def link(messages: DataFrame) -> DataFrame:
     """``conv_id``, ``turn``, ``message``, ``parent_turn`` of the ``parsed`` messages that
     quote an earlier turn."""
     rows = messages.filter("conv_id is not null and turn is not null")
-    spoken = F.concat(
-        F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["words"]),
-        F.array(normalised(F.col("clean"))),
-    )
+    own = F.filter("passages", lambda p: p["level"] == 0)
+    units = F.flatten(F.transform(own, lambda p: F.transform(p["units"], lambda u: u["words"])))
+    spoken = F.array_distinct(F.concat(units, F.array(normalised(F.col("clean")))))
     said = (
         _filed(rows.select("conv_id", "turn", F.explode(spoken).alias("words")), "words")
         .groupBy("conv_id", "hash")  # combined before the shuffle: one first turn per key
@@ -92,16 +109,16 @@ def link(messages: DataFrame) -> DataFrame:
     )
     quoted = F.filter("passages", lambda p: p["level"] > 0)
     asked = _filed(
-        rows.select("conv_id", "turn", "message", F.explode(quoted).alias("p")).select(
-            "conv_id", "turn", "message", "p.level", "p.words"
-        ),
+        rows.select("conv_id", "turn", "message", F.explode(quoted).alias("p"))
+        .select("conv_id", "turn", "message", "p.level", F.explode("p.units").alias("u"))
+        .select("conv_id", "turn", "message", "level", "u.unit", "u.words"),
         "words",
     ).drop("words").distinct()
     return (
         asked.join(said, ["conv_id", "hash"])
         .filter("first < turn")
         .groupBy("conv_id", "turn", "message")
-        .agg(F.max_by("first", F.struct(-F.col("level"), "first")).alias("parent_turn"))
+        .agg(F.max_by("first", F.struct(-F.col("level"), -F.col("unit"), "first")).alias("parent_turn"))
     )
 
 
@@ -165,33 +182,42 @@ with recursive lined as (
     from conversations
 ), leveled as (
     select *, list_transform(lines, lambda x: cast(length(translate(
-        regexp_extract(x, '^[ \t]*(>[ \t]*)+'), ' ' || chr(9), '')) as integer)) levels
+        regexp_extract(x, '^[ \t]*>[ \t>]*'), ' ' || chr(9), '')) as integer)) levels
     from lined
 ), marked as (
     select *, list_filter(string_split(array_to_string(list_transform(range(1, len(lines) + 1),
         lambda i: case when i = 1 or levels[i] <> levels[i - 1]
                        then chr(30) || levels[i] || chr(31) else chr(10) end
-                  || regexp_replace(lines[i], '^[ \t]*(>[ \t]*)+', '')), ''), chr(30)),
+                  || regexp_replace(lines[i], '^[ \t]*>[ \t>]*', '')), ''), chr(30)),
         lambda r: r <> '') runs,
-        regexp_replace(array_to_string(list_transform(list_filter(range(1, len(lines) + 1),
+        trim(array_to_string(list_transform(list_filter(range(1, len(lines) + 1),
             lambda i: levels[i] = 0), lambda i: lines[i]), chr(10)),
-            '^[ \t\r\n\f\v]+|[ \t\r\n\f\v]+\z', '', 'g') clean
+            ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) clean
     from leveled
-), passages as (
+), bodies as (
     select conv_id, turn, role, t, cast(split_part(run, chr(31), 1) as integer) level,
-           lower(regexp_replace(regexp_replace(split_part(run, chr(31), 2),
-               '[ \t\r\n\f\v]+', ' ', 'g'), '^ | $', '', 'g')) words
+           split_part(run, chr(31), 2) body
     from (select conv_id, turn, role, t, unnest(runs) run from marked)
     where conv_id is not null and turn is not null
+), units as (
+    select *, 0 unit, body part from bodies
+    union all
+    select *, 1, unnest(regexp_split_to_array(body, '\n[ \t\r\f\v]*\n')) from bodies
+    union all
+    select *, 2, unnest(string_split(body, chr(10))) from bodies
+), passages as (
+    select * exclude (body, part),
+           lower(trim(regexp_replace(part, '[ \t\r\n\f\v]+', ' ', 'g'), ' ')) words
+    from units
 ), said as (
     select conv_id, words, min(turn) first_turn from (
         select conv_id, turn, words from passages where level = 0
         union all
-        select conv_id, turn, lower(regexp_replace(regexp_replace(clean,
-            '[ \t\r\n\f\v]+', ' ', 'g'), '^ | $', '', 'g')) from marked)
+        select conv_id, turn, lower(trim(regexp_replace(clean,
+            '[ \t\r\n\f\v]+', ' ', 'g'), ' ')) from marked)
     where regexp_matches(words, '[\p{L}\p{N}]') group by all
 ), links as (
-    select conv_id, turn, role, t, arg_max(first_turn, (-level, first_turn)) parent_turn
+    select conv_id, turn, role, t, arg_max(first_turn, (-level, -unit, first_turn)) parent_turn
     from passages p join said using (conv_id, words)
     where level > 0 and first_turn < turn group by all
 ), parents as (

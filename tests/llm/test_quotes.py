@@ -44,3 +44,31 @@ def test_a_very_long_message(spark):
     df = spark.createDataFrame([(1, 0, "u", text)], "conv_id bigint, turn bigint, role string, text string")
     row = quotes.reply_order(df).first()
     assert row["text"].count("\n") == 6666 and row["n_quotes"] == 13_333
+
+
+def parents(spark, *texts):
+    df = spark.createDataFrame(
+        [(1, n, "u", text) for n, text in enumerate(texts)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    return [r["parent_turn"] for r in quotes.reply_order(df).orderBy("turn").collect()]
+
+
+def test_trimmed_quotations_find_their_message(spark):
+    first = "first line\nsecond line\n\nanother paragraph\nof two lines"
+    assert parents(spark, first, "> second line\nyes", "> another paragraph\n> of two lines\nno",
+                   "> first line\n\n> another   PARAGRAPH\nboth", "> of two\nno such line") == [
+        None, 0, 0, 0, None]
+    # Blank lines of the reply need not be marked.
+    assert parents(spark, "A1\n\nB1", "> A1\n\n> B1\nboth") == [None, 0]
+    # A whole passage goes before a line of it, whatever is later.
+    assert parents(spark, "yes\nno", "no", "> yes\n> no\nfine", "> maybe\n> no\nfine") == [
+        None, None, 0, 0]
+    # The lowest level goes before larger units.
+    assert parents(spark, "a b\nc d", "e f\ng h", ">> a b\n>> c d\n> g h\nx") == [None, None, 1]
+
+
+def test_very_many_marks_and_blanks_take_no_stack_and_no_time(spark):
+    blanks = "a" + " " * 1_000_000 + "b"
+    found = parents(spark, blanks, ">" * 200_000 + " deep", "> > " * 50_000 + "\n> a b\nreply")
+    assert found == [None, None, 0]
