@@ -15,6 +15,7 @@ from cartlark.plans.interactions import (
     vocabulary,
 )
 from cartlark.operators.split import split_metadata
+from cartlark.sources.versioned_store import publish
 
 
 def write_split(split: DataFrame, path: str) -> None:
@@ -29,7 +30,19 @@ def write_model_tables(
 ) -> None:
     """Vocabularies, features, vectors, seen items and popularity of one trained model.
     ``users`` and ``items`` are the learned vectors."""
-    tables = {
+    for name, table in _model_tables(train, ranking, users, items).items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def publish_model(
+    train: DataFrame, ranking: DataFrame, users: DataFrame, items: DataFrame, path: str
+) -> int:
+    """The same tables as one version: readers see all ten of it or those of the one before."""
+    return publish(train.sparkSession, path, _model_tables(train, ranking, users, items))
+
+
+def _model_tables(train, ranking, users, items) -> dict[str, DataFrame]:
+    return {
         "users": vocabulary(train, "visitor_id", "user_index"),
         "items": vocabulary(train, "item_id", "item_index"),
         "categories": vocabulary(train, "category_id", "category_index"),
@@ -41,8 +54,6 @@ def write_model_tables(
         "seen_items": seen_lists(train),
         "popularity": ranking,
     }
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def _at_rest(vectors: DataFrame) -> DataFrame:
@@ -79,3 +90,10 @@ def write_evaluation(rows: DataFrame, protocol: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
     stamped = protocol.withColumn("loaded_at", F.current_timestamp())
     stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/protocol")
+
+
+def publish_evaluation(rows: DataFrame, protocol: DataFrame, path: str) -> int:
+    """Metric rows and the protocol row as one version."""
+    stamped = protocol.withColumn("loaded_at", F.current_timestamp())
+    tables = {"metrics": rows.coalesce(1), "protocol": stamped.coalesce(1)}
+    return publish(rows.sparkSession, path, tables)

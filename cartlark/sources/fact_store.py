@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cartlark.functions.contract import HISTORICAL_BATCH_ID
 from cartlark.operators.merge import new_events
 from cartlark.plans.etl import STAGED_COLUMNS, staged_events
+from cartlark.sources.commit_log import Files
 
 LEDGER_SCHEMA = (
     "pipeline_name string, query_id string, batch_id bigint, row_count bigint, "
@@ -53,12 +54,7 @@ class ParquetFactStore:
 
     def _holds(self, spark: SparkSession, part: str) -> bool:
         """Whether a finished job has written files below ``part``."""
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return files.exists(folder) and any(
-            not status.getPath().getName().startswith(("_", "."))
-            for status in files.listStatus(folder)
-        )
+        return bool(Files(spark).names(f"{self.path}/{part}"))
 
     def ledger(self, spark: SparkSession) -> DataFrame:
         found = self._read(spark, "ledger")
@@ -120,6 +116,13 @@ class ParquetFactStore:
         return replace(self, path=target)
 
 
+@dataclass(frozen=True)
+class Touched:
+    """Stands for the number of rows that an earlier statement of the transaction touched."""
+
+    of: int
+
+
 @dataclass(frozen=True)
 class JdbcFactStore:
     """Facts in a database.  Executors append to the staging table in parallel; the driver
@@ -155,6 +158,7 @@ class JdbcFactStore:
             for sql, *values in statements:
                 prepared = connection.prepareStatement(sql)
                 for place, value in enumerate(values, start=1):
+                    value = touched[value.of] if isinstance(value, Touched) else value
                     if isinstance(value, int):
                         prepared.setLong(place, value)
                     else:
@@ -204,13 +208,32 @@ class JdbcFactStore:
     def _table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.jdbc(self.url, f'"{name}"', properties=self.properties)
 
-    def facts(self, spark: SparkSession) -> DataFrame:
-        return self._table(spark, self.fact)
+    def facts(self, spark: SparkSession, partitions: int | None = None) -> DataFrame:
+        """All facts, read in ranges of their time by as many tasks."""
+        time = "source_timestamp_ms"
+        bounds = self._select(spark, f'select min("{time}") as "low", max("{time}") as "high", '
+                                     f'count(*) as "n" from "{self.fact}"').first()
+        if not bounds["n"]:
+            return self._table(spark, self.fact)
+        parts = min(partitions or self.write_partitions, bounds["n"])
+        width = (bounds["high"] - bounds["low"]) // parts + 1
+        starts = [bounds["low"] + n * width for n in range(1, parts)]
+        # The outer ranges are open, so that facts added meanwhile are not cut off.
+        rules = [f'"{time}" < {starts[0]}'] if starts else ["1 = 1"]
+        rules += [f'"{time}" >= {a} and "{time}" < {b}' for a, b in zip(starts, starts[1:])]
+        rules += [f'"{time}" >= {starts[-1]}'] if starts else []
+        return spark.read.jdbc(
+            self.url, f'"{self.fact}"', predicates=rules, properties=self.properties
+        )
+
+    def _select(self, spark: SparkSession, sql: str) -> DataFrame:
+        return spark.read.jdbc(self.url, f"({sql}) q", properties=self.properties)
 
     def ledger(self, spark: SparkSession) -> DataFrame:
         return self._table(spark, self.runs)
 
     def is_complete(self, spark: SparkSession, batch_id: int, query_id: str) -> bool:
+        # The filter reaches the database, which looks the entry up by its key.
         return not self.ledger(spark).filter(
             (F.col("pipeline_name") == self.pipeline)
             & (F.col("query_id") == query_id)
@@ -245,7 +268,7 @@ class JdbcFactStore:
 
     def complete(self, spark: SparkSession, batch_id: int, query_id: str, rows: int) -> int:
         """Moves the staged batch into the facts, notes it in the ledger, clears the stage.
-        Returns the number of facts that were new."""
+        Returns the number of facts that were new, which is also what the ledger says."""
         columns = ", ".join(f'"{c}"' for c in FACT_COLUMNS)
         values = ", ".join(
             f'cast("{c}" as varchar(256))' if c in NULLABLE_TEXT else f'"{c}"'
@@ -263,7 +286,7 @@ class JdbcFactStore:
             (
                 f'insert into "{self.runs}" ("pipeline_name", "query_id", "batch_id", '
                 '"row_count") values (?, ?, ?, ?)',
-                self.pipeline, query_id, batch_id, rows,
+                self.pipeline, query_id, batch_id, Touched(0),
             ),
             (f'delete from "{self.staging}" s where {rule}', *mine),
         )
@@ -284,7 +307,7 @@ def load_historical(
 ) -> int:
     """Adds clean events to the facts as batch -1 of the load ``load_id`` (its input's digest
     by default).  Ids already held are skipped; an empty table or a load that is complete
-    changes nothing.  Returns the load's rows."""
+    changes nothing.  Returns the number of facts that were new."""
     if clean.isEmpty():
         return 0
     spark = clean.sparkSession
@@ -293,5 +316,5 @@ def load_historical(
     if store.is_complete(spark, HISTORICAL_BATCH_ID, load_id):
         return 0
     rows = store.write(clean, HISTORICAL_BATCH_ID, load_id)
-    store.complete(spark, HISTORICAL_BATCH_ID, load_id, rows)
-    return rows
+    added = store.complete(spark, HISTORICAL_BATCH_ID, load_id, rows)
+    return rows if added is None else added

@@ -259,6 +259,24 @@ def test_a_failing_commit_rolls_back(spark, tmp_path):
     assert store.facts(spark).isEmpty() and store.ledger(spark).isEmpty()
 
 
+def test_facts_of_a_database_are_read_in_parallel(spark, tmp_path):
+    store = derby(tmp_path, spark)
+    assert store.facts(spark).isEmpty()
+    times = [NOON + n * n * 1000 for n in range(40)]
+    load_historical(clean_batch(spark, *times), store)
+    for parts in (1, 2, 7, 100):
+        facts = store.facts(spark, parts)
+        assert facts.rdd.getNumPartitions() == min(parts, 40)
+        assert sorted(r["source_timestamp_ms"] for r in facts.collect()) == times
+
+
+def test_the_ledger_counts_new_facts(spark, store):
+    for batch_id, times in enumerate([(NOON, NOON + 1), (NOON + 1, NOON + 2)]):
+        rows = store.write(valid_batch(spark, *times), batch_id, "q")
+        store.complete(spark, batch_id, "q", rows)
+    assert {r["batch_id"]: r["row_count"] for r in store.ledger(spark).collect()} == {0: 2, 1: 1}
+
+
 def test_staging_needs_all_columns(spark):
     with pytest.raises(ValueError, match="event_id, event_time"):
         staged_events(spark.createDataFrame(

@@ -488,6 +488,12 @@ where user_id is not null and user_id not in (select c_custkey from customer)"""
  select count(*) filter (ts_ms % 2 = 0) as even, count(*) filter (ts_ms % 2 = 1) as odd from clean)
 select unnest(['even', 'odd', 'all']) as load, unnest([even, odd, 0]) as added,
  unnest([even, even + odd, even + odd]) as facts from halves""",
+    "facts_as_of_version": f"""{CLEAN}, versions as (
+ select cast(unnest([0, 1, 2, 3]) as bigint) as version)
+select version, count(event_id) as facts, count(distinct event_id) as ids,
+ cast(sum(item_id) as bigint) as item_sum
+from versions left join clean on version >= 2 or (version = 1 and ts_ms % 2 = 0)
+group by version""",
     "als_user_factors": f"""{_split(SHOP)} select distinct visitor_id as user_id,
  cast(16 as bigint) as dim, cast(1 as double) as norm from parts where split = 'train'""",
     "als_item_factors": f"""{_split(SHOP)} select distinct item_id, cast(16 as bigint) as dim,

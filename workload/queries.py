@@ -20,6 +20,7 @@ from cartlark.plans.replay import replay_delays
 from cartlark.session import shared_dir
 from cartlark.sources import kafka
 from cartlark.sources.fact_store import ParquetFactStore, load_historical
+from cartlark.sources.versioned_store import VersionedFactStore
 from cartlark.streaming import event_stream
 from workload import tables
 
@@ -105,6 +106,24 @@ def historical_loads(spark, sf):
     return spark.createDataFrame(rows, "load string, added bigint, facts bigint")
 
 
+@query
+def facts_as_of_version(spark, sf):
+    """Clean events committed by halves and then compacted, read at every version."""
+    clean = tables.clean_events(spark, sf)
+    store = VersionedFactStore(f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/versions")
+    odd = F.pmod("source_timestamp_ms", F.lit(2)) == 1
+    for part in (clean.filter(~odd), clean.filter(odd)):
+        load_historical(part, store)
+    store.compact(spark)
+    return reduce(DataFrame.unionByName, [
+        store.facts(spark, version).agg(
+            F.lit(version).alias("version"), F.count("*").alias("facts"),
+            F.count_distinct("event_id").alias("ids"), F.sum("item_id").alias("item_sum"),
+        )
+        for version in range(store.log.head(spark) + 1)
+    ])
+
+
 @query
 def normalize_events(spark, sf):
     return normalize.normalize_events(tables.raw_events(spark, sf))
