@@ -53,10 +53,24 @@ def remainder(doc_id: str = "doc_id", modulus: int = 3) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one, that no column has (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns by their names, dots and back quotes included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drops columns that an operator is about to add (names compare without case)."""
     taken = {name.lower() for name in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+    pairs = zip(df.columns, columns(df), strict=True)
+    return df.select(*[column for name, column in pairs if name.lower() not in taken])
 
 
 def appending(
@@ -69,14 +83,16 @@ def appending(
     kept = without(df, *[name for name, _ in fields])
     if column not in kept.columns:
         raise ValueError(f"column {column} is also an output column")
-    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+    place, names = kept.columns.index(column), [*kept.columns, *[name for name, _ in fields]]
+    # Plain names on the way, as not every name can be handed to a Python function.
+    plain = [f"_{n}" for n in range(len(names))]
+    kinds = [*[field.dataType for field in kept.schema.fields], *[kind for _, kind in fields]]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(plain, kinds, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = compute()
         for batch in batches:
-            place = batch.schema.get_field_index(column)
             arrays = work(batch.column(place))
-            names = [*batch.schema.names, *[name for name, _ in fields]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=plain)
 
-    return kept.mapInArrow(run, schema)
+    return kept.toDF(*plain[: len(kept.columns)]).mapInArrow(run, schema).toDF(*names)

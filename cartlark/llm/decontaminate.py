@@ -148,29 +148,36 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> Data
     hits = common.stored(
         find_hits(docs, windows).select("doc_id", "text_key").distinct(), "hit_rows"
     )
-    rows = docs.withColumn("_text_key", _text_key())
-    same = (rows["_text_key"] == hits["text_key"]) & rows["doc_id"].eqNullSafe(hits["doc_id"])
-    return rows.join(hits, same, "left_anti").select(docs.columns)
+    key = common.free_name(docs, "_text_key")
+    rows = docs.withColumn(key, _text_key())
+    same = (rows[key] == hits["text_key"]) & rows["doc_id"].eqNullSafe(hits["doc_id"])
+    return rows.join(hits, same, "left_anti").select(common.columns(docs))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """All rows, whole, their texts without the covered words and the gaps behind them."""
     windows = common.stored(benchmark_windows(benchmark, n), "benchmark_windows")
     hits = common.stored(find_hits(docs, windows), "benchmark_hits")
+    places, cut_id, cut_key, key = (
+        common.free_name(docs, name) for name in ("_places", "_cut_id", "_cut_key", "_text_key")
+    )
     cuts = covered_words(hits).groupBy("doc_id", "text_key").agg(
-        F.collect_list("place").alias("_places")  # at most the words of one text
-    ).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_places")
-    rows = docs.withColumn("_text_key", _text_key())
-    same = (rows["_text_key"] == cuts["_key"]) & rows["doc_id"].eqNullSafe(cuts["_id"])
+        F.collect_list("place").alias(places)  # at most the words of one text
+    ).select(F.col("doc_id").alias(cut_id), F.col("text_key").alias(cut_key), places)
+    rows = docs.withColumn(key, _text_key())
+    same = (rows[key] == cuts[cut_key]) & rows["doc_id"].eqNullSafe(cuts[cut_id])
     units = F.regexp_extract_all("text", F.lit(f"{_WORD}{_GAP[:-1]}*"), F.lit(0))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(units) - 1), F.col("_places"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(units) - 1), F.col(places))
     cut = F.concat(
         F.regexp_extract("text", f"^{_GAP[:-1]}*", 0),
         F.array_join(F.transform(kept, lambda i: F.get(units, i)), ""),
     )
-    text = F.when(F.col("_places").isNotNull(), cut).otherwise(F.col("text")).alias("text")
+    text = F.when(F.col(places).isNotNull(), cut).otherwise(F.col("text")).alias("text")
     return rows.join(cuts, same, "left").select(
-        *[text if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+        *[
+            text if name == "text" else column
+            for name, column in zip(docs.columns, common.columns(docs), strict=True)
+        ]
     )
 
 

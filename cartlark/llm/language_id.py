@@ -178,16 +178,19 @@ def fit(docs: DataFrame, learnable: Column) -> Model | None:
     """Learns ``lang`` from ``text`` of the rows that are ``learnable``."""
     rows = docs.filter(learnable & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
-        F.xxhash64("doc_id").alias("key"),
+        F.xxhash64("doc_id", "text").alias("key"),  # rows of one id, or of none, differ too
     )
     frequency, n_docs = document_frequencies(rows.select("text"))
     if not n_docs:
         return None
     place_of = F.pmod(F.xxhash64("text", "key"), F.lit(_PLACES))
+    # Equal rows count once; only digests and sizes move.
+    once = rows.select(
+        "lang", "key", F.octet_length("text").cast("bigint").alias("bytes"), place_of.alias("at")
+    ).distinct()
     totals = (
-        rows.groupBy("lang").agg(
-            F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"),
-            F.min(place_of).alias("least"),
+        once.groupBy("lang").agg(
+            F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("at").alias("least"),
         ).orderBy("lang").collect()  # one row per language
     )
     languages = [row["lang"] for row in totals]
@@ -205,7 +208,7 @@ def fit(docs: DataFrame, learnable: Column) -> Model | None:
         rows.join(F.broadcast(limits), "lang").filter(place_of < F.col("limit"))
         .withColumn("shard", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)))
         .withColumn("kept", F.col("enough") & (F.pmod(F.xxhash64("key", F.lit(2)), F.lit(10)) == 0))
-        .select("text", "lang", "key", "shard", "kept"),
+        .select("text", "lang", "key", "shard", "kept").distinct(),
         "language_sample",
     )
     idf = np.log((1.0 + n_docs) / (1.0 + frequency)) + 1.0

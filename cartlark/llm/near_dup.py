@@ -365,10 +365,11 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
         F.min("text_key").alias("_key")
     )
     kept = kept.select(F.col("doc_id").alias("_id"), "_key").distinct()
-    rows = docs.withColumn("_text_key", text_key())
-    same = (rows["_text_key"] == kept["_key"]) & rows["doc_id"].eqNullSafe(kept["_id"])
-    chosen = rows.join(kept, same, "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_text_key"]).select(docs.columns).union(wordless)
+    key = common.free_name(docs, "_text_key")
+    rows = docs.withColumn(key, text_key())
+    same = (rows[key] == kept["_key"]) & rows["doc_id"].eqNullSafe(kept["_id"])
+    chosen = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", key])
+    return chosen.select(common.columns(docs)).union(wordless)
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,19 +98,21 @@ class Model:
 def bounded_sample(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """``text``, ``label``, ``key`` and ``shard`` of at most about ``SAMPLE_ROWS`` labelled
     rows and ``SAMPLE_BYTES`` bytes.  Texts are read for the drawn ids alone: they are few
-    enough to be sent to the rows, so no text is shuffled before it is drawn."""
+    enough to be sent to the rows, so no text is shuffled before it is drawn.  Equal rows
+    count once, and the different texts of one id are drawn and dealt one by one."""
     n = marks.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(0)), F.lit(1 << 20))
     share = min(1.0, SAMPLE_ROWS / max(1, n))
     drawn = marks.filter(draw < F.lit(int(share * (1 << 20))))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(drawn), "doc_id").select(
-        "text", F.col("_toxic").cast("double").alias("label"), F.xxhash64("doc_id").alias("key")
-    )
+        "text", F.col("_toxic").cast("double").alias("label"),
+        F.xxhash64("doc_id", "text").alias("key"),
+    ).distinct()
     n, size = rows.agg(
         F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))
     ).first()
-    share = min(1.0, SAMPLE_BYTES / max(1, size))
+    share = min(1.0, SAMPLE_BYTES / max(1, size), SAMPLE_ROWS / max(1, n))
     shards = max(1, math.ceil(share * n / SHARD_ROWS))
     return rows.filter(
         F.pmod(F.xxhash64("key", F.lit(2)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
