@@ -1,7 +1,13 @@
 """A corpus from raw documents to packed sequences.
 
 Each stage works on all rows that the stage before it kept.  Stages but the last return the
-columns they were given.
+columns they were given, whatever their names: helper columns take names that are free.
+
+A null or empty text is not toxic, but has no language and goes in the second stage, as do texts
+without letters.  Rows with a null or repeated id are judged by their own texts; equal rows are
+near-duplicates of each other, and one stays.  Of tied near-duplicates the smallest id stays,
+then the least text.  Very long texts are read whole and cut into windows by the last stage.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,16 +21,18 @@ from cartlark.llm import common, decontaminate, language_id, near_dup, packing,
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without toxic content, by a model of the labelled documents."""
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), F.lit(True))
-    scored = toxicity.score(docs, model, "_toxicity")
-    return scored.filter(F.col("_toxicity") < toxicity.THRESHOLD).select(docs.columns)
+    column = common.free_name(docs, "_toxicity")
+    scored = toxicity.score(docs, model, column)
+    return scored.filter(F.col(column) < toxicity.THRESHOLD).select(common.columns(docs))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters whose language is one of those learned: enough of their n-grams
     are common in it.  A language written like a learned one may share so many that it stays."""
     model = language_id.fit(docs, F.lit(True))
-    named = language_id.identify(docs, model, "_language", "_language_score", "_known")
-    return named.filter("_known").select(docs.columns)
+    names = [common.free_name(docs, n) for n in ("_language", "_language_score", "_known")]
+    named = language_id.identify(docs, model, *names)
+    return named.filter(F.col(names[2])).select(common.columns(docs))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
