@@ -303,9 +303,9 @@ def input_digest(clean: DataFrame) -> str:
 
 
 def load_historical(
-    clean: DataFrame, store: ParquetFactStore | JdbcFactStore, load_id: str | None = None
+    clean: DataFrame, store, load_id: str | None = None
 ) -> int:
-    """Adds clean events to the facts as batch -1 of the load ``load_id`` (its input's digest
+    """Adds clean events to the facts of any of the stores as batch -1 of the load ``load_id`` (its input's digest
     by default).  Ids already held are skipped; an empty table or a load that is complete
     changes nothing.  Returns the number of facts that were new."""
     if clean.isEmpty():

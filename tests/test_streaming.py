@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartlark.plans.etl import staged_events
 from cartlark.sources.fact_store import JdbcFactStore, ParquetFactStore, load_historical
+from cartlark.sources.versioned_store import VersionedFactStore
 from cartlark.streaming.event_stream import (
     LateRows,
     StreamConfig,
@@ -297,3 +298,21 @@ def test_config_from_environment():
     assert store.properties == {"user": "u", "driver": "org.postgresql.Driver"}
     with pytest.raises(ValueError, match="HOME"):
         StreamConfig.from_env({})
+
+
+def test_the_source_loses_nothing_unless_it_may():
+    base = {"CARTLARK_STREAM_HOME": "/h", "CARTLARK_STREAM_BROKERS": "b:9092"}
+    options = StreamConfig.from_env(base).source()
+    assert options == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "user_events",
+        "startingOffsets": "earliest", "failOnDataLoss": "true",
+    }
+    own = {"START": "latest", "MAY_LOSE": "yes", "ROWS_PER_BATCH": "5000", "FACTS": "versioned"}
+    config = StreamConfig.from_env(base | {f"CARTLARK_STREAM_{k}": v for k, v in own.items()})
+    assert config.source() == options | {
+        "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5000",
+    }
+    assert config.store() == VersionedFactStore("/h/versions")
+    for name in ("MAY_LOSE", "FACTS"):
+        with pytest.raises(ValueError, match=name):
+            StreamConfig.from_env(base | {f"CARTLARK_STREAM_{name}": "perhaps"})
