@@ -3,6 +3,7 @@
 import hashlib
 import json
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,9 +13,11 @@ from cartlark.sources.fact_store import JdbcFactStore, ParquetFactStore, load_hi
 from cartlark.sources.versioned_store import VersionedFactStore
 from cartlark.streaming.event_stream import (
     LateRows,
+    STATE,
     StreamConfig,
     batch_writer,
     parse_events,
+    remembered,
     running,
     sinks,
     split_events,
@@ -131,6 +134,36 @@ def test_late_events_are_dropped_and_counted(spark, tmp_path, config):
     assert listener.dropped[names["accepted"]] == 5
 
 
+def test_state_lies_in_files_and_shrinks_with_the_watermark(spark, tmp_path, config):
+    source = tmp_path / "in"
+    send(spark, source, *(message(NOON + n) for n in range(5)))
+    run_once(spark, source, config)
+    assert remembered(spark, config).count() == 5
+    assert all(spark.conf.get(name, None) is None for name in STATE)
+    offsets = Path(config.checkpoint("accepted"), "offsets", "0").read_text()
+    assert "RocksDBStateStoreProvider" in offsets
+    assert list(Path(config.checkpoint("accepted"), "state").rglob("*.changelog"))
+    # An hour on, none of the five can come again; the ids of the last two batches remain.
+    for step in (1, 2):
+        send(spark, source, message(NOON + step * 3_600_000))
+        run_once(spark, source, config)
+    assert remembered(spark, config).count() <= 2
+    assert config.store().facts(spark).count() == 7
+
+
+def test_own_state_settings_go_first(spark, tmp_path, config):
+    name = next(iter(STATE))
+    heap = STATE[name].replace("RocksDB", "HDFSBacked")
+    spark.conf.set(name, heap)
+    try:
+        send(spark, tmp_path / "in", message(NOON))
+        run_once(spark, tmp_path / "in", config)
+        assert spark.conf.get(name) == heap
+        assert heap in Path(config.checkpoint("accepted"), "offsets", "0").read_text()
+    finally:
+        spark.conf.unset(name)
+
+
 def test_new_checkpoint_restarts_batch_numbers_without_losing_data(spark, tmp_path, config):
     source = tmp_path / "in"
     send(spark, source, message(NOON))
