@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.numbers import floor_div
+from cartlark.session import materialize
 
 HOUR_MS = 3_600_000
 # What may be broadcast: rows, and bytes at their values' own size beside some for the row.
@@ -136,3 +137,62 @@ def validity_intervals(
         .withColumn(end, F.coalesce(end, "_next"))
         .drop("_bucket", "_next")
     )
+
+
+def interval_changes(
+    held: DataFrame, observations: DataFrame, *, key: str, time: str, value: str,
+    start: str = "valid_from_ms", end: str = "valid_to_ms", bucket_width: int = 24 * HOUR_MS,
+) -> tuple[DataFrame, DataFrame]:
+    """``(outdated, current)``: the rows of ``held`` that new observations end, split or revalue,
+    and the rows that take their place.
+
+    ``held`` is a stored :func:`validity_intervals` table with ``value``.  Observations come
+    in any order, late ones and repeated ones included; equal times keep the largest value, and
+    values are not null.  Only keys with new observations are looked at, only intervals that
+    hold one are replaced, and neither step puts a whole key into one group: the end of an
+    outdated interval, or the first start after the earliest observation, stands in for the
+    rows behind it.
+    """
+    fresh = materialize(
+        observations.groupBy(key, F.col(time).alias(start)).agg(F.max(value).alias(value))
+    )
+    own = held.join(fresh.select(key).distinct(), key, "left_semi")
+    reached = materialize(
+        asof_lookup(
+            fresh, own.withColumn("_holder", F.col(start)), key=key, time=start,
+            value="_holder", bucket_width=bucket_width,
+        )
+    )
+    holders = reached.select(key, F.col("_holder").alias(start)).dropna().distinct()
+    outdated = materialize(own.join(holders, [key, start], "left_semi"))
+    early = reached.filter(F.col("_holder").isNull()).select(key).distinct()
+    borders = (
+        outdated.filter(F.col(end).isNotNull()).select(key, F.col(end).alias(start))
+        .unionByName(own.join(early, key, "left_semi").groupBy(key).agg(F.min(start).alias(start)))
+        .select(key, start, F.lit(None).cast(fresh.schema[value].dataType).alias(value))
+    )
+    points = (
+        outdated.select(key, start, value).unionByName(fresh)
+        .withColumn("_own", F.lit(True))
+        .unionByName(borders.withColumn("_own", F.lit(False)))
+        .groupBy(key, start).agg(F.max(value).alias(value), F.max("_own").alias("_own"))
+    )
+    current = validity_intervals(
+        points, key=key, time=start, start=start, end=end, bucket_width=bucket_width
+    )
+    return outdated, current.filter("_own").select(*held.columns)
+
+
+def extend_intervals(
+    held: DataFrame, observations: DataFrame, *, key: str, time: str, value: str,
+    start: str = "valid_from_ms", end: str = "valid_to_ms", bucket_width: int = 24 * HOUR_MS,
+) -> DataFrame:
+    """``held`` with new and late observations merged in: what :func:`validity_intervals` gives
+    for all observations at once."""
+    outdated, current = interval_changes(
+        held, observations, key=key, time=time, value=value, start=start, end=end,
+        bucket_width=bucket_width,
+    )
+    return held.join(outdated.select(key, start), [key, start], "left_anti").select(
+        *held.columns
+    ).unionByName(current)

@@ -81,6 +81,19 @@ def dense_index(df: DataFrame, column: str, index: str = "index") -> DataFrame:
     return with_position(df.select(column).distinct(), [column], index)
 
 
+def index_entries(
+    held: DataFrame, df: DataFrame, column: str, index: str = "index"
+) -> DataFrame:
+    """What to append to the dictionary ``held(column, index)`` so that it knows all of ``df``.
+
+    Old indices stay as they are; values not yet held are numbered in order from the next
+    free one.  Null gets no index, and rows that were seen before add nothing."""
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    free = held.agg(F.coalesce(F.max(index) + 1, F.lit(0)).alias("free")).scalar()
+    fresh = with_position(values.join(held, column, "left_anti"), [column], index)
+    return fresh.withColumn(index, F.col(index) + free)
+
+
 def nth_key(
     df: DataFrame, keys: Sequence[str], n: int, *, fanout: int = 1024, leaf: int = 65_536
 ) -> Row:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.numbers import floor_div
+from cartlark.session import materialize
 
 
 def _bucket(time: str, gap_ms: int) -> Column:
@@ -49,9 +50,75 @@ def with_sessions(
     gap_ms = int(gap_minutes * 60_000)
     source = events if keys_from is None else keys_from
     numbers = session_numbers(source, visitor=visitor, time=time, gap_ms=gap_ms)
+    return _numbered(events, numbers, visitor, time, gap_ms)
+
+
+def _numbered(
+    events: DataFrame, numbers: DataFrame, visitor: str, time: str, gap_ms: int
+) -> DataFrame:
     return (
         events.withColumn("_bucket", _bucket(time, gap_ms))
         .join(numbers, [visitor, "_bucket"])
         .drop("_bucket")
         .withColumn("session_id", F.concat_ws("-", F.col(visitor), F.col("session_number")))
     )
+
+
+def open_sessions(
+    rows: DataFrame, earlier: DataFrame | None = None, *, visitor: str = "visitorid",
+    time: str = "timestamp",
+) -> DataFrame:
+    """``(visitor, open_until, open_number)``: each visitor's last event and the number of its
+    session, over sessionized rows and the open sessions before them."""
+    last = rows.groupBy(visitor).agg(
+        F.max(time).alias("open_until"), F.max("session_number").alias("open_number")
+    )
+    if earlier is None:
+        return last
+    return last.unionByName(earlier).groupBy(visitor).agg(
+        F.max("open_until").alias("open_until"), F.max("open_number").alias("open_number")
+    )
+
+
+def continue_sessions(
+    events: DataFrame, held: DataFrame, still_open: DataFrame, *, visitor: str = "visitorid",
+    time: str = "timestamp", gap_minutes: float = 30,
+) -> DataFrame:
+    """A load's rows, sessionized as if they had come together with the rows ``held`` before.
+
+    ``still_open`` is :func:`open_sessions` of ``held``; a visitor's first session of the load
+    extends the open one when no more than the gap lies between.  A visitor with an event
+    older than the last held one may have sessions joined or renumbered: all its rows, held
+    ones included, are numbered anew and returned, to replace those of the same id.  ``held``
+    is read for such visitors only, and not at all when there are none.
+    """
+    gap_ms = int(gap_minutes * 60_000)
+    firsts = events.groupBy(visitor).agg(F.min(time).alias("_first"))
+    met = materialize(firsts.join(still_open, visitor))
+    late = met.filter(F.col("_first") < F.col("open_until")).select(visitor)
+    shifts = met.select(
+        visitor,
+        (
+            F.col("open_number")
+            - F.when(F.col("_first") - F.col("open_until") <= gap_ms, 1).otherwise(0)
+        ).alias("_shift"),
+    )
+    on_time = events.join(late, visitor, "left_anti")
+    numbers = session_numbers(on_time, visitor=visitor, time=time, gap_ms=gap_ms)
+    shifted = (
+        numbers.join(shifts, visitor, "left")
+        .withColumn(
+            "session_number", F.col("session_number") + F.coalesce("_shift", F.lit(0))
+        )
+        .drop("_shift")
+    )
+    result = _numbered(on_time, shifted, visitor, time, gap_ms).select(
+        *events.columns, "session_number", "session_id"
+    )
+    if late.isEmpty():
+        return result
+    again = events.unionByName(held.select(*events.columns)).join(late, visitor, "left_semi")
+    return result.unionByName(
+        with_sessions(again, visitor=visitor, time=time, gap_minutes=gap_minutes)
+        .select(*result.columns)
+    )

@@ -121,15 +121,21 @@ def funnel_daily(events: DataFrame) -> DataFrame:
 
 def funnel_stages(events: DataFrame) -> DataFrame:
     """The three stages as rows, from one pass."""
-    totals = _stage_flags(events).agg(
-        *(F.coalesce(F.sum(f"stage_{n}"), F.lit(0)).alias(f"stage_{n}") for n, *_ in FUNNEL_STAGES)
+    return stage_rows(
+        _stage_flags(events).agg(
+            *(F.sum(f"stage_{order}").alias(f"stage_{order}") for order, *_ in FUNNEL_STAGES)
+        )
     )
+
+
+def stage_rows(totals: DataFrame) -> DataFrame:
+    """One row of users per stage (``stage_1`` ...) as a row per stage; none reads as zero."""
     stages = F.array(
         *(
             F.struct(
                 F.lit(order).alias("stage_order"),
                 F.lit(label).alias("stage"),
-                F.col(f"stage_{order}").alias("users"),
+                F.coalesce(F.col(f"stage_{order}"), F.lit(0)).alias("users"),
             )
             for order, label, _ in FUNNEL_STAGES
         )

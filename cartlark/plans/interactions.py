@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartlark.functions.contract import EVENT_TYPES, UNKNOWN_CATEGORY, interaction_weight, is_event
 from cartlark.functions.numbers import floor_div
-from cartlark.operators.positions import dense_index, with_position
+from cartlark.operators.positions import dense_index, index_entries, with_position
 from cartlark.sources.files import INTERACTION_COLUMNS, require_columns
 
 INTERACTION_ORDER = ("event_time", "visitor_id", "item_id")
@@ -101,6 +101,12 @@ def vocabulary(train: DataFrame, column: str, index: str) -> DataFrame:
     return dense_index(train, column, index)
 
 
+def grown_vocabulary(held: DataFrame, rows: DataFrame, column: str, index: str) -> DataFrame:
+    """A stored vocabulary with the new values of ``rows`` behind the old ones, so that what
+    was indexed, learned or counted by it stays valid."""
+    return held.select(column, index).unionByName(index_entries(held, rows, column, index))
+
+
 def known_interactions(rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Interactions in the dense ids of the training vocabularies; rows with an unknown user
     or item are left out.

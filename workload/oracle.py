@@ -515,6 +515,7 @@ where validation_loss is not null""",
     "category_observations": f"""{EVENTS} select itemid, ts_ms as "timestamp", category_id
  from obs""",
     "category_intervals": f"{EVENTS} select * from iv",
+    "category_intervals_by_loads": f"{EVENTS} select * from iv",
     "asof_category": f"""{EVENTS} select event_id, e.itemid, ts_ms as "timestamp", category_id
  from ev e left join iv on e.itemid = iv.itemid and ts_ms >= valid_from_ms
   and (valid_to_ms is null or ts_ms < valid_to_ms)""",
@@ -522,6 +523,8 @@ where validation_loss is not null""",
  category_id from (select e.*, a.category_id from ev e asof left join iv a
   on e.itemid = a.itemid and e.ts_ms >= a.valid_from_ms)""",
     "sessions": f"""{EVENTS}, {_sessions(30)} select event_id, session_number,
+ concat_ws('-', visitorid, session_number) as session_id from ses""",
+    "sessions_by_loads": f"""{EVENTS}, {_sessions(30)} select event_id, session_number,
  concat_ws('-', visitorid, session_number) as session_id from ses""",
     "sessions_long_gap": f"""{EVENTS}, {_sessions(720)} select event_id, session_number,
  concat_ws('-', visitorid, session_number) as session_id from ses""",
@@ -552,6 +555,7 @@ where validation_loss is not null""",
     "bulk_user_activity": _user_activity(BULK),
     "funnel_stages": f"{CLEAN} {_stages()}",
     "funnel_stages_filtered": f"{CLEAN} {_stages(SLICED)}",
+    "funnel_stages_from_bitmaps": f"{CLEAN} {_stages(SLICED)}",
     "calendar": f"""{CLEAN}, {_CALENDAR} select cast(d as varchar) as calendar_date,
  year(d) as calendar_year, month(d) as calendar_month_number, strftime(d, '%b') as calendar_month,
  isodow(d) as day_of_week_number, strftime(d, '%A') as day_of_week from cal""",
@@ -563,6 +567,9 @@ from cal left join daily on cal.d = daily.d""",
  count(distinct item_id) as total_items, {KPI_COUNTS} from clean""",
     "kpis_filtered": f"""{CLEAN} select count(*) as total_events,
  count(distinct visitor_id) as total_users, count(distinct item_id) as total_items, {KPI_COUNTS}
+ from clean where {SLICED} and hour(event_time) between 9 and 17""",
+    "kpis_from_bitmaps": f"""{CLEAN} select count(*) as total_events,
+ count(distinct visitor_id) as total_users, count(distinct item_id) as total_items, {KPI_COUNTS}
  from clean where {SLICED} and hour(event_time) between 9 and 17""",
     "event_ratios": f"""{CLEAN}, c as (select {KPI_COUNTS} from clean)
  select {_EVENT_RATIOS} from c""",
@@ -631,6 +638,9 @@ pop as materialized (
  qualify row_number() over (
   partition by item_id order by event_time desc, visitor_id desc, event_id desc) = 1""",
     "vocab_users": f"{REC}, {_VOCAB} select visitor_id, user_index from vu",
+    "vocab_users_grown": f"""{REC}, {_VOCAB} select visitor_id, user_index from vu union all
+ select visitor_id, (select count(*) from vu) + row_number() over (order by visitor_id) - 1
+ from (select distinct visitor_id from parts where visitor_id not in (select visitor_id from vu))""",
     "vocab_items": f"{REC}, {_VOCAB} select item_id, item_index from vi",
     "vocab_categories": f"""{REC} select category as category_id,
  row_number() over (order by category) - 1 as category_index

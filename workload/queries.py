@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 
 from cartlark.operators import merge, negatives, normalize, ranking, retrieval, split
 from cartlark.functions.vectors import norm as vector_norm
-from cartlark.operators.asof import validity_intervals
-from cartlark.operators.sessions import with_sessions
-from cartlark.plans import analytics, etl, evaluation, interactions, pairwise, recommend
+from cartlark.operators.asof import extend_intervals, validity_intervals
+from cartlark.operators.sessions import continue_sessions, open_sessions, with_sessions
+from cartlark.plans import analytics, audience, etl, evaluation, interactions, pairwise, recommend
 from cartlark.plans.replay import replay_delays
-from cartlark.session import shared_dir
+from cartlark.session import materialize, shared_dir
 from cartlark.sources import kafka
 from cartlark.sources.fact_store import ParquetFactStore, load_historical
 from cartlark.sources.versioned_store import VersionedFactStore
@@ -200,6 +200,20 @@ def category_intervals(spark, sf):
     return validity_intervals(observed, key="itemid", time="timestamp")
 
 
+@query
+def category_intervals_by_loads(spark, sf):
+    """The same intervals, grown by three loads that interleave in time."""
+    observed = etl.category_observations(tables.raw_item_properties(spark, sf))
+    load = F.pmod(F.hash("itemid", "timestamp"), F.lit(3))
+    held = validity_intervals(observed.filter(load == 2), key="itemid", time="timestamp")
+    for number in (0, 1):
+        held = materialize(extend_intervals(
+            held, observed.filter(load == number), key="itemid", time="timestamp",
+            value="category_id",
+        ))
+    return held
+
+
 @query
 def asof_category(spark, sf):
     events = normalize.dedup_events(_accepted(spark, sf))
@@ -232,6 +246,27 @@ def sessions_long_gap(spark, sf):
     )
 
 
+@query
+def sessions_by_loads(spark, sf):
+    """Sessions continued over loads cut at two dates; every seventeenth visitor's events of odd
+    items come one load late."""
+    events = normalize.dedup_events(_accepted(spark, sf)).select(
+        "event_id", "visitorid", "timestamp", "itemid"
+    )
+    day = F.to_date(F.timestamp_millis("timestamp"))
+    late = (F.col("visitorid") % 17 == 0) & (F.col("itemid") % 2 == 1)
+    load = sum(part.cast("int") for part in (day >= DATE_FROM, day > DATE_TO, late))
+    events = materialize(events.withColumn("load", load))
+    held = materialize(with_sessions(events.filter("load = 0")))
+    still_open = open_sessions(held)
+    for number in (1, 2, 3):
+        arrived = continue_sessions(events.filter(F.col("load") == number), held, still_open)
+        arrived = materialize(arrived)
+        still_open = open_sessions(arrived, still_open)
+        held = materialize(held.join(arrived, "event_id", "left_anti").unionByName(arrived))
+    return held.select("event_id", "session_number", "session_id")
+
+
 @query
 def clean_events(spark, sf):
     return tables.build_clean(spark, sf).drop("event_time")
@@ -303,6 +338,43 @@ def kpis_filtered(spark, sf):
     )
 
 
+def _build_bitmaps(spark, sf):
+    """Two loads: the second grows the dictionaries and appends to the bitmaps of the first."""
+    clean = tables.clean_events(spark, sf)
+    odd = F.pmod("source_timestamp_ms", F.lit(2)) == 1
+    first, second = clean.filter(~odd), clean.filter(odd)
+    known = {
+        key: interactions.vocabulary(first, key, index)
+        for key, index in (("visitor_id", "user_index"), ("item_id", "item_index"))
+    }
+    grown = {
+        key: interactions.grown_vocabulary(held, second, key, held.columns[1])
+        for key, held in known.items()
+    }
+    return reduce(DataFrame.unionByName, [
+        audience.member_bitmaps(part, ids["visitor_id"], ids["item_id"])
+        for part, ids in ((first, known), (second, grown))
+    ])
+
+
+def _bitmaps(spark, sf):
+    return tables.stored(spark, sf, "bitmaps", _build_bitmaps)
+
+
+@query
+def funnel_stages_from_bitmaps(spark, sf):
+    """``funnel_stages_filtered`` without the facts."""
+    return audience.funnel_stages(analytics.slice_events(_bitmaps(spark, sf), DATE_FROM, DATE_TO))
+
+
+@query
+def kpis_from_bitmaps(spark, sf):
+    """``kpis_filtered`` without the facts."""
+    return audience.kpis(
+        analytics.slice_events(_bitmaps(spark, sf), DATE_FROM, DATE_TO, hours=list(range(9, 18)))
+    )
+
+
 @query
 def snapshot_totals(spark, sf):
     clean = tables.clean_events(spark, sf)
@@ -481,6 +553,14 @@ def vocab_items(spark, sf):
     return _build_items(spark, sf)
 
 
+@query
+def vocab_users_grown(spark, sf):
+    """The training vocabulary, grown by the users of the later parts."""
+    return interactions.grown_vocabulary(
+        _users(spark, sf), split_table(spark, sf), "visitor_id", "user_index"
+    )
+
+
 @query
 def vocab_categories(spark, sf):
     return interactions.vocabulary(_train(spark, sf), "category_id", "category_index")
