@@ -9,7 +9,8 @@ The k best of each block are merged per query.
 
 Vectors that are null, empty, or hold null or non-finite components take no part; a vector
 is scored only against vectors of its own length.  Rows with a null id take no part.
-Repeated ids are separate candidates.  Query rows with one id share one list of ``k``, and no
+Repeated ids are separate candidates; equal rows are folded and dealt apart, so that no block
+holds many of them.  Query rows with one id share one list of ``k``, and no
 row with that id is their candidate, as in the SQL.  Scores outside 64 bits are set to the nearest
 64-bit value.  Input columns other than the id and the vector are not read.
 """
@@ -87,10 +88,20 @@ def usable(vector: str) -> Column:
     return x.isNotNull() & (F.size(x) > 0) & ~bad
 
 
-def _dealt(rows: DataFrame, per_block: int) -> tuple[DataFrame, int]:
-    """Rows with a block number; the number of blocks follows from the row count."""
+def _dealt(rows: DataFrame, per_block: int, k: int) -> tuple[DataFrame, int]:
+    """Rows with a block number; the number of blocks follows from the row count.
+
+    Equal rows are folded before they move and dealt apart.  ``k`` of them stand for any
+    number: they tie in every list, and a list of ``k`` has no place for more.
+    """
     blocks = max(1, math.ceil(rows.count() / per_block))
-    return rows.withColumn("block", F.pmod(F.xxhash64("id", "vector"), F.lit(blocks))), blocks
+    folded = rows.groupBy("id", "vector").agg(F.count("*").alias("n"))
+    copies = F.sequence(F.lit(1).cast("bigint"), F.least("n", F.lit(k).cast("bigint")))
+    block = F.pmod(F.xxhash64("id", "vector", "copy"), F.lit(blocks))
+    return (
+        folded.withColumn("copy", F.explode(copies))
+        .select("id", "vector", block.alias("block")), blocks,
+    )
 
 
 def _copied(rows: DataFrame, own: str, other: str, others: int) -> DataFrame:
@@ -110,8 +121,8 @@ def top_k(
     Every query block meets every candidate block once: the product of a stated query set
     with all rows, in tasks of bounded size.
     """
-    candidates, n_blocks = _dealt(candidates, BLOCK_ROWS)
-    queries, n_query_blocks = _dealt(queries, QUERY_ROWS)
+    candidates, n_blocks = _dealt(candidates, BLOCK_ROWS, k)
+    queries, n_query_blocks = _dealt(queries, QUERY_ROWS, k)
     left = _copied(queries, "query_block", "block", n_blocks)
     right = _copied(candidates, "block", "query_block", n_query_blocks)
     key = ["dims", "block", "query_block"]

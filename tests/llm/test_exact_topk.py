@@ -73,3 +73,27 @@ def test_no_vectors(spark):
     some = spark.createDataFrame([(1, [1.0])], SCHEMA)
     assert exact_topk.top_k(none, some).isEmpty() and exact_topk.top_k(some, none).isEmpty()
     assert exact_topk.top_k(some, some).isEmpty()
+
+
+def test_equal_rows_share_no_block_and_lose_no_place(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-8, 8) / 8 for _ in range(3)]) for i in range(60)]
+    rows += [(7, [1.0, 1.0, 1.0])] * 3000 + [(40, [0.5, 1.0, 1.0])] * 4
+    queries = [rows[0], rows[20], (40, [0.5, 1.0, 1.0])] + [rows[20]] * 30
+    monkeypatch.setattr(exact_topk, "BLOCK_ROWS", 128)
+    monkeypatch.setattr(exact_topk, "QUERY_ROWS", 8)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    dealt, blocks = exact_topk._dealt(frame, 128, 5)
+    held = [row["count"] for row in dealt.groupBy("block").count().collect()]
+    assert blocks == 24 and sum(held) == 60 + 5 + 4 and max(held) <= 12
+    found = exact_topk.top_k(spark.createDataFrame(queries, SCHEMA), frame, 5)
+    lists = {}
+    for query_id, rank, vec_id, score in map(tuple, found.collect()):
+        lists.setdefault(query_id, []).append((rank, vec_id, score))
+    expected = {}
+    for query_id, _, vec_id, score in brute(queries, rows, 5):
+        expected.setdefault(query_id, []).append((-score, vec_id))
+    for query_id, scored in expected.items():
+        best = [(n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:5], start=1)]
+        assert sorted(lists[query_id]) == best
+    assert lists.keys() == expected.keys()
