@@ -3,8 +3,9 @@
 Few observations (a checked number of rows, and of rows per key) are broadcast as validity
 intervals, and the large side is not shuffled at all.
 
-Beyond that bound neither side is expanded and no group grows with a hot key.  Every
-distinct ``(key, time)`` is resolved once (copies collapse before the shuffle), inside
+Beyond that bound a key of a bounded number of rows is one group: rows and observations are
+shuffled once, by the key, and sorted by time.  For heavier keys neither side is expanded and
+no group grows with the key.  Every distinct ``(key, time)`` is resolved once (copies collapse before the shuffle), inside
 groups of one key and one time bucket, which hold at most one row per time unit of the
 bucket.  What a bucket inherits comes from a second, much smaller pass with one row per key
 and bucket.  Putting the answer back on the rows is an equi-join on ``(key, time)``, where
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.numbers import floor_div
+from cartlark.operators.heavy import LIGHT_ROWS, heavy_keys, parted
 from cartlark.session import materialize
 
 HOUR_MS = 3_600_000
@@ -66,7 +68,7 @@ def asof_lookup(
 def _fits_broadcast(
     observations: DataFrame, key: str, value: str, rows: int, rows_per_key: int
 ) -> bool:
-    if rows == 0:
+    if rows == 0 or observations.count() > rows:
         return False
     held = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (key, value)),
@@ -81,18 +83,48 @@ def _fits_broadcast(
 
 def asof_join(
     rows: DataFrame, observations: DataFrame, *, key: str, time: str, value: str,
-    probes: DataFrame | None = None, bucket_width: int = HOUR_MS,
-    broadcast_rows: int = BROADCAST_ROWS, broadcast_rows_per_key: int = BROADCAST_ROWS_PER_KEY,
+    unique: bool = False, bucket_width: int = HOUR_MS, broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows_per_key: int = BROADCAST_ROWS_PER_KEY, light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
-    """``rows`` plus the as-of value.  ``probes`` may name a cheaper frame that holds at
-    least the same ``(key, time)`` pairs, such as the rows before a costly step."""
+    """``rows`` plus the as-of value.  With ``unique``, rows that are equal in every column
+    are returned once, which light keys get without a shuffle of its own."""
     if _fits_broadcast(observations, key, value, broadcast_rows, broadcast_rows_per_key):
-        return _broadcast_asof_join(rows, observations, key, time, value)
-    source = rows if probes is None else probes
-    found = asof_lookup(
-        source, observations, key=key, time=time, value=value, bucket_width=bucket_width
+        found = rows.distinct() if unique else rows
+        return _broadcast_asof_join(found, observations, key, time, value)
+    heavy = heavy_keys(rows.select(key).unionByName(observations.select(key)), key, light_rows)
+    light, busy = (rows, None) if heavy is None else parted(rows, key, heavy)
+    told = observations if heavy is None else parted(observations, key, heavy)[0]
+    found = _sorted_asof_join(light, told, key, time, value)
+    if unique:
+        found = found.distinct()
+    if busy is None:
+        return found
+    busy = busy.distinct() if unique else busy
+    answers = asof_lookup(
+        busy, parted(observations, key, heavy)[1], key=key, time=time, value=value,
+        bucket_width=bucket_width,
+    )
+    return found.unionByName(busy.join(answers, [key, time], "left"))
+
+
+def _sorted_asof_join(
+    rows: DataFrame, observations: DataFrame, key: str, time: str, value: str
+) -> DataFrame:
+    """Rows and observations of a key in one order of time; at equal times observations come
+    first, the largest value last."""
+    told = observations.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(key).cast(rows.schema[key].dataType), F.col(time).cast(rows.schema[time].dataType),
+        F.col(value).alias("_seen"), F.lit(False).alias("_asks"),
+    )
+    until = (
+        Window.partitionBy(key).orderBy(time, "_asks", "_seen")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        rows.withColumn("_asks", F.lit(True)).unionByName(told, allowMissingColumns=True)
+        .withColumn(value, F.last("_seen", ignorenulls=True).over(until))
+        .filter("_asks").select(*rows.columns, value)
     )
-    return rows.join(found, [key, time], "left")
 
 
 def _broadcast_asof_join(

@@ -90,18 +90,22 @@ def with_event_id(events: DataFrame) -> DataFrame:
     )
 
 
+def identifying_fields(events: DataFrame) -> DataFrame:
+    """The five fields that identify an event; no transaction and an empty one are the same."""
+    return events.select(
+        "timestamp", "visitorid", "event", "itemid",
+        F.nullif("transactionid", F.lit("")).alias("transactionid"),
+    )
+
+
 def distinct_events(events: DataFrame) -> DataFrame:
     """One row per event, by its five identifying fields.
 
-    The event id is a one-to-one function of these fields, in which no transaction and an
-    empty one are the same, so this keeps the rows that a deduplication by id would keep,
-    shuffles short fields instead of 64-character digests, and collapses copies before the
-    shuffle.
+    The event id is a one-to-one function of these fields, so this keeps the rows that a
+    deduplication by id would keep, shuffles short fields instead of 64-character digests,
+    and collapses copies before the shuffle.
     """
-    return events.select(
-        "timestamp", "visitorid", "event", "itemid",
-        F.nullif("transactionid", F.lit("")).alias("transactionid"),
-    ).distinct()
+    return identifying_fields(events).distinct()
 
 
 def dedup_events(events: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ apart, so they share a session.  It is therefore enough to number the buckets: o
 per visitor and bucket, built with map-side combining, bounded by the time span even for
 a visitor that sends a third of all events.  Events then pick up their number by an
 equi-join on ``(visitor, bucket)``.
+
+A visitor of a bounded number of events needs no buckets: its events are shuffled once, by
+the visitor, and numbered in order of time.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.numbers import floor_div
+from cartlark.operators.heavy import LIGHT_ROWS, heavy_keys, parted
 from cartlark.session import materialize
 
 
@@ -43,14 +47,37 @@ def session_numbers(events: DataFrame, *, visitor: str, time: str, gap_ms: int)
 
 def with_sessions(
     events: DataFrame, *, visitor: str = "visitorid", time: str = "timestamp",
-    gap_minutes: float = 30, keys_from: DataFrame | None = None,
+    gap_minutes: float = 30, keys_from: DataFrame | None = None, light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
     """Adds ``session_number`` and ``session_id`` (``visitor-number``).  ``keys_from`` may
-    name a cheaper frame with the same visitors and times."""
+    name a cheaper frame with the same visitors and times, copies of events included."""
     gap_ms = int(gap_minutes * 60_000)
-    source = events if keys_from is None else keys_from
-    numbers = session_numbers(source, visitor=visitor, time=time, gap_ms=gap_ms)
-    return _numbered(events, numbers, visitor, time, gap_ms)
+    if gap_ms < 0:
+        raise ValueError("session gap must be non-negative")
+    keys = (events if keys_from is None else keys_from).select(visitor, time)
+    heavy = heavy_keys(keys, visitor, light_rows)
+    if heavy is None:
+        return _sorted_sessions(events, visitor, time, gap_ms)
+    light, busy = parted(materialize(events), visitor, heavy)
+    numbers = session_numbers(
+        parted(keys, visitor, heavy)[1], visitor=visitor, time=time, gap_ms=gap_ms
+    )
+    return _sorted_sessions(light, visitor, time, gap_ms).unionByName(
+        _numbered(busy, numbers, visitor, time, gap_ms)
+    )
+
+
+def _sorted_sessions(events: DataFrame, visitor: str, time: str, gap_ms: int) -> DataFrame:
+    in_order = Window.partitionBy(visitor).orderBy(time)
+    silence = F.col(time) - F.lag(time).over(in_order)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        events.filter(F.col(visitor).isNotNull() & F.col(time).isNotNull())
+        .withColumn("_starts", F.when(silence <= gap_ms, 0).otherwise(1))
+        .withColumn("session_number", F.sum("_starts").over(so_far))
+        .drop("_starts")
+        .withColumn("session_id", F.concat_ws("-", F.col(visitor), F.col("session_number")))
+    )
 
 
 def _numbered(

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from cartlark.functions.contract import BATCH_SOURCE, HISTORICAL_BATCH_ID, SCHEMA_VERSION
 from cartlark.operators.asof import asof_join
-from cartlark.operators.normalize import distinct_events, normalize_events, with_event_id
+from cartlark.operators.normalize import identifying_fields, normalize_events, with_event_id
 from cartlark.operators.sessions import with_sessions
-from cartlark.session import materialize
 from cartlark.sources.files import read_events_csv, read_item_properties_csv, require_columns
 
 CLEAN_COLUMNS = (
@@ -42,13 +41,13 @@ def category_observations(properties: DataFrame) -> DataFrame:
 
 
 def with_category(
-    events: DataFrame, properties: DataFrame, probes: DataFrame | None = None, **limits: int
+    events: DataFrame, properties: DataFrame, unique: bool = False, **limits: int
 ) -> DataFrame:
-    """Events plus the category that was valid for their item at their time.  ``limits``
-    are those of :func:`cartlark.operators.asof.asof_join`."""
+    """Events plus the category that was valid for their item at their time.  ``unique`` and
+    ``limits`` are those of :func:`cartlark.operators.asof.asof_join`."""
     return asof_join(
         events, _category_values(properties), key="itemid", time="timestamp",
-        value="category_id", probes=probes, **limits,
+        value="category_id", unique=unique, **limits,
     )
 
 
@@ -57,12 +56,13 @@ def build_clean_events(
 ) -> DataFrame:
     """The clean event table: unique events with category as of event time and session.
 
-    The raw rows are read and normalised once: the unique events, five short columns, are
-    stored, and rows, category probes and session keys come from there.  The id, the widest
-    column, is taken after the last shuffle.
+    The rows, five short columns, move twice: by item, where copies are dropped and the
+    category is found, and by visitor, where sessions are numbered.  Raw rows are read beside
+    that to find heavy items and visitors, which moves counts only.  The id, the widest column,
+    is taken after the last shuffle.
     """
-    events = materialize(distinct_events(normalize_events(raw_events)))
-    enriched = with_category(events, properties, probes=events)
+    events = identifying_fields(normalize_events(raw_events))
+    enriched = with_category(events, properties, unique=True)
     sessions = with_sessions(enriched, gap_minutes=session_gap_minutes, keys_from=events)
     event_time = F.timestamp_millis("timestamp")
     return with_event_id(sessions).select(

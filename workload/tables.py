@@ -121,12 +121,23 @@ def shopper_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_properties(table(spark, sf_dir, "events"), PRODUCT)
 
 
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with customer and date of their order, joined once for events and properties."""
+    def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = table(spark, sf_dir, "lineitem")
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate",
+            "o_custkey", "o_orderdate",
+        )
+
+    return stored(spark, sf_dir, "order_lines", joined)
+
+
 def bulk_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as events: the large table."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     flag = F.col("l_returnflag")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return _order_lines(spark, sf_dir).select(
         F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
         F.col("o_custkey").alias("visitorid"),
         F.when(flag == "A", "view").when(flag == "N", "addtocart").otherwise("transaction")
@@ -138,9 +149,7 @@ def bulk_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bulk_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order line also observes, at order date, the supplier group of its part."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return _order_lines(spark, sf_dir).select(
         F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("timestamp"),
         F.col("l_partkey").alias("itemid"),
         F.lit("categoryid").alias("property"),
