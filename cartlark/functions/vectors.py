@@ -25,8 +25,9 @@ def cosine(left: Column, right: Column) -> Column:
 
 
 def unit(vector: Column) -> Column:
-    length = norm(vector)
-    return F.transform(vector, lambda x: x.cast("double") / length)
+    # The length stands beside the values: inside a lambda it would be taken for each of them.
+    lengths = F.array_repeat(norm(vector), F.size(vector))
+    return F.zip_with(vector, lengths, lambda x, length: x.cast("double") / length)
 
 
 def softplus(x: Column) -> Column:

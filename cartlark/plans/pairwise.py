@@ -131,15 +131,18 @@ def unseen_items(user, item, start, items: int) -> np.ndarray:
         found = np.where(taken, (found + 1) % items, found)
 
 
-def update_block(rows: pd.DataFrame, settings: Settings) -> pd.DataFrame:
-    """One pass over the pairs of a block, batch by batch; all rows of the block come back."""
+def update_block(
+    rows: pd.DataFrame, settings: Settings, pairs: pd.DataFrame | None = None
+) -> pd.DataFrame:
+    """One pass over the pairs of a block, batch by batch; all rows of the block come back.
+    Pairs come by themselves, or among the rows as their kind ``pair``."""
     by_kind = {
         kind: part.sort_values("id", ignore_index=True) for kind, part in rows.groupby("kind")
     }
-    pairs = by_kind.pop("pair", None)
+    pairs = by_kind.pop("pair", None) if pairs is None else pairs
     parts = {kind: Part(part, settings.rank) for kind, part in by_kind.items()}
     met, loss_sum, weight_sum = 0, 0.0, 0.0
-    if pairs is not None and {"user", "item"} <= set(parts):
+    if pairs is not None and len(pairs) and {"user", "item"} <= set(parts):
         users, items = parts["user"], parts["item"]
         pairs = pairs.sort_values(["turn", "id", "item"], ignore_index=True)
         user, item = users.at(pairs["id"].to_numpy()), items.at(pairs["item"].to_numpy())
@@ -297,7 +300,8 @@ def _slot(column: str, settings: Settings, *salt: int) -> Column:
 def _step(
     state: DataFrame, pairs: DataFrame, epoch: int, step: int, settings: Settings
 ) -> DataFrame:
-    """Every user block with its item block of this step; blocks are named by their users'."""
+    """Every user block with its item block of this step; blocks are named by their users'.
+    Pairs go beside the state, which has arrays, and users without a pair here stay outside."""
     user_block = _slot("id", settings)
     item_block = F.pmod(_slot("id", settings, epoch) - step, F.lit(settings.blocks)).cast("int")
     users = state.filter("kind = 'user'").withColumn("block", user_block)
@@ -307,22 +311,31 @@ def _step(
     )
     used = items.select("block", F.col("category").alias("id")).distinct()
     categories = state.filter("kind = 'category'").join(used, "id")
+    met = pairs.filter(F.col("step") == step).select(
+        F.col("user").alias("id"), "block", "item", "weight", "turn", "start"
+    )
     rows = users
+    if settings.blocks > 1:  # in a single block every user has a pair
+        rows = users.join(met.select("id").distinct(), "id", "left_semi").select(*users.columns)
     for more in (items, maps, categories):
         rows = rows.unionByName(more)
-    met = pairs.filter(F.col("step") == step).select(
-        F.lit("pair").alias("kind"), F.col("user").alias("id"), "block", "item", "weight",
-        "turn", "start",
-    )
-    return (
-        rows.unionByName(met, allowMissingColumns=True).groupBy("block")
+    done = (
+        rows.groupBy("block").cogroup(met.groupBy("block"))
         .applyInPandas(_updating(settings), _STEP)
     )
+    if settings.blocks == 1:
+        return done
+    idle = users.join(met.select("id").distinct(), "id", "left_anti").withColumns(
+        {"pairs": F.lit(0).cast("bigint"), "loss": F.lit(0.0), "weight": F.lit(0.0)}
+    )
+    return done.unionByName(idle)
 
 
 def _updating(settings: Settings):
-    def update(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        return update_block(rows, settings).assign(block=key[0])
+    def update(
+        key: tuple[Any, ...], rows: pd.DataFrame, pairs: pd.DataFrame
+    ) -> pd.DataFrame:
+        return update_block(rows, settings, pairs).assign(block=key[0])
 
     return update
 
@@ -421,13 +434,13 @@ def vectors(spark: SparkSession, path: str, epoch: int) -> tuple[DataFrame, Data
     categories = state.filter("kind = 'category'").select(
         F.col("id").alias("category"), F.col("vector").alias("_category")
     )
-    users = state.filter("kind = 'user'").select(
-        F.col("id").alias("user_id"), unit(user).alias("embedding")
-    )
+    # Whole vectors first, so that each is added up once and not for each use in its length.
+    users = state.filter("kind = 'user'").select(F.col("id").alias("user_id"), user.alias("_whole"))
     items = state.filter("kind = 'item'").join(categories, "category").select(
-        F.col("id").alias("item_id"), unit(item).alias("embedding")
+        F.col("id").alias("item_id"), item.alias("_whole")
     )
-    return users, items
+    whole = unit(F.col("_whole")).alias("embedding")
+    return users.select("user_id", whole), items.select("item_id", whole)
 
 
 def learn(

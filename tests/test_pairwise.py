@@ -190,3 +190,26 @@ def test_a_block_without_items_or_pairs_stays_as_it_is():
     rows = rows.assign(block=0, item=None, weight=None, turn=None, start=None)
     done = pairwise.update_block(rows, Settings(rank=2))
     assert [list(v) for v in done["vector"]] == [[1.0, 2.0], [0.5, 0.5]] and set(done["pairs"]) == {0}
+
+
+def test_only_users_with_pairs_enter_a_step(spark, tmp_path):
+    """The others come back as they were, and pairs carry no arrays into the workers."""
+    train, _ = parts(spark)
+    settings = Settings(rank=2, blocks=2, seed=3)
+    chosen = pairwise.prepare(train, None, str(tmp_path), settings)
+    state = spark.read.parquet(f"{tmp_path}/state/epoch=0")
+    users = sorted(r["id"] for r in state.filter("kind = 'user'").collect())
+    pairs = spark.read.parquet(f"{tmp_path}/pairs").filter(F.col("user") == users[0]).select(
+        "user", "item", "weight", pairwise._slot("user", chosen).alias("block"),
+        F.lit(1).cast("bigint").alias("turn"), F.lit(1).cast("bigint").alias("start"),
+        F.pmod(pairwise._slot("item", chosen, 1) - pairwise._slot("user", chosen), F.lit(2))
+        .alias("step"),
+    )
+    step = pairs.first()["step"]
+    done = pairwise._step(state, pairs, 1, step, chosen)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "LeftSemi" in plan and "LeftAnti" in plan
+    before = {r["id"]: r["vector"] for r in state.filter("kind = 'user'").collect()}
+    after = {r["id"]: r["vector"] for r in done.filter("kind = 'user'").collect()}
+    assert set(after) == set(before)
+    assert [i for i in users if after[i] != before[i]] == users[:1]
