@@ -5,15 +5,14 @@ bounded size.  A group scores its matrix product in NumPy, some users at a time,
 at most ``k`` rows per user; a window then merges a user's partial lists.  No table of all
 user-item scores ever exists, and a seen pair travels only to the one group that scores it.
 
-A user is sent to the cell of the nearest centre, and from there only to cells that can hold
-a better item (``cell_index``).  Items that fit one block are not indexed.  At 64 dimensions
-a side of a group is about 8 MB.
+A user visits the cell of the nearest centre, and then only cells that can hold a better item
+(``cell_index``); a group holds whole cells, as many as fit a block.  Items that fit one block
+are not indexed.  At 64 dimensions a side of a group is about 8 MB.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -21,11 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.vectors import cosine, norm
-from cartlark.operators.cell_index import build_cells, unit_rows, visited
+from cartlark.operators.cell_index import build_cells, shard_count, unit_rows, visited
 
 USERS_PER_SHARD = 16_384
 ITEMS_PER_BLOCK = 16_384
-LEAST_USERS_PER_SHARD = 1024
 USERS_AT_ONCE = 256
 SCORE_DIGITS = 6
 _SCHEMA = "user_id bigint, item_id bigint, score double"
@@ -69,6 +67,28 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return rows[kept], columns[kept], values[kept]
 
 
+def _visits(users: pd.Series, cells: np.ndarray) -> np.ndarray:
+    """Users by cells: does the user visit the cell?  ``cells`` are sorted and distinct."""
+    lengths = [len(visited_cells) for visited_cells in users]
+    asked = np.concatenate([*users, np.empty(0)]).astype("int64")
+    at = np.minimum(np.searchsorted(cells, asked), len(cells) - 1)
+    known = cells[at] == asked
+    wanted = np.zeros((len(lengths), len(cells)), dtype=bool)
+    wanted[np.repeat(np.arange(len(lengths)), lengths)[known], at[known]] = True
+    return wanted
+
+
+def _scores(users: np.ndarray, items: np.ndarray, wanted: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Cosines with the items of visited cells (``at``: an item's cell), minus infinity elsewhere."""
+    if wanted.all():
+        return users @ items.T
+    scores = np.full((len(users), len(items)), -np.inf)
+    for cell in np.flatnonzero(wanted.any(0)):
+        rows, columns = np.flatnonzero(wanted[:, cell]), np.flatnonzero(at == cell)
+        scores[np.ix_(rows, columns)] = users[rows] @ items[columns].T
+    return scores
+
+
 def _best_of_group(k: int):
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         users, seen = left[left["asks"]], left[~left["asks"]]
@@ -78,6 +98,7 @@ def _best_of_group(k: int):
         items = right.sort_values("item_id", ignore_index=True)
         user_ids, item_ids = users["user_id"].to_numpy(), items["item_id"].to_numpy()
         user_matrix, item_matrix = unit_rows(users["embedding"]), unit_rows(items["embedding"])
+        cells, at = np.unique(items["cell"].to_numpy(), return_inverse=True)
         row = pd.Index(user_ids).get_indexer(seen["user_id"].to_numpy())
         column = pd.Index(item_ids).get_indexer(seen["item_id"].to_numpy())
         known = (row >= 0) & (column >= 0)
@@ -86,8 +107,10 @@ def _best_of_group(k: int):
         row, column = row[by_row], column[by_row]
         for start in range(0, len(user_ids), USERS_AT_ONCE):
             ids = user_ids[start : start + USERS_AT_ONCE]
-            scores = user_matrix[start : start + len(ids)] @ item_matrix.T
-            low, high = np.searchsorted(row, [start, start + len(ids)])
+            end = start + len(ids)
+            wanted = _visits(users["cells"].iloc[start:end], cells)
+            scores = _scores(user_matrix[start:end], item_matrix, wanted, at)
+            low, high = np.searchsorted(row, [start, end])
             scores[row[low:high] - start, column[low:high]] = -np.inf
             rows, columns, values = _best(scores, k)
             found.append(
@@ -145,18 +168,18 @@ def _k_best(k: int):
 
 
 def _scored(k: int):
-    """Scores asking users against offered items by ``shard`` and ``block``."""
+    """Scores asking users against offered items of their ``cells`` by ``shard`` and ``block``."""
     key = ["shard", "block"]
 
     def score(asking: DataFrame, hidden: DataFrame, offered: DataFrame) -> DataFrame:
         vector_type = asking.schema["embedding"].dataType
         asked = asking.select(
             *key, "user_id", F.lit(0).cast("bigint").alias("item_id"),  # ids stay whole numbers
-            "embedding", F.lit(True).alias("asks"),
+            "embedding", F.lit(True).alias("asks"), "cells",
         )
         left = asked.unionByName(hidden.select(
             *key, "user_id", "item_id", F.lit(None).cast(vector_type).alias("embedding"),
-            F.lit(False).alias("asks"),
+            F.lit(False).alias("asks"), F.lit(None).cast("array<int>").alias("cells"),
         ))
         return (
             left.groupBy(*key).cogroup(offered.groupBy(*key))
@@ -168,15 +191,12 @@ def _scored(k: int):
 
 def _in_one_block(users, items, seen, k, user_count, users_per_shard) -> DataFrame:
     """All items in one block, copied to each shard of users."""
-    # Smaller shards than allowed where there would be too few groups to keep all cores busy.
-    cores = users.sparkSession.sparkContext.defaultParallelism
-    busy = min(3 * cores, ceil(user_count / LEAST_USERS_PER_SHARD))
-    shards = max(1, ceil(user_count / users_per_shard), busy)
+    shards = shard_count(users.sparkSession.sparkContext, user_count, users_per_shard)
     shard, block = _slot("user_id", shards).alias("shard"), F.lit(0).alias("block")
-    asking = users.select(shard, block, "user_id", "embedding")
+    asking = users.select(shard, block, "user_id", "embedding", F.array(F.lit(0)).alias("cells"))
     hidden = seen.join(users, "user_id", "left_semi").select(shard, block, "user_id", "item_id")
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    offered = items.select(every, block, "item_id", "embedding")
+    offered = items.select(every, block, "item_id", "embedding", F.lit(0).alias("cell"))
     return _scored(k)(asking, hidden, offered)
 
 

@@ -69,6 +69,32 @@ def test_cells_out_of_reach_are_not_visited(spark):
         assert sorted(scores)[::-1][:5] == pytest.approx([s for v, _, _, s in expected if v == u], abs=2e-6)
 
 
+def test_a_user_moves_once_per_shelf_and_an_item_once_per_shard(spark):
+    """Vectors that no bound separates: cells and homes are many, shelves and shards are few."""
+    rng = np.random.default_rng(4)
+    items, users = rng.normal(size=(600, 12)), rng.normal(size=(90, 12))
+    seen = {(int(u), int(i)) for u, i in zip(rng.integers(0, 90, 900), rng.integers(0, 600, 900))}
+    user_rows, item_rows, seen_rows = tables(spark, users, items, seen)
+    index = build_cells(item_rows, 600, 10, shelf_rows=250)
+    moved = {"users": 0, "hidden": 0, "items": 0}
+
+    def counted(asking, hidden, offered):
+        for name, rows in (("users", asking), ("hidden", hidden), ("items", offered)):
+            moved[name] += rows.count()
+        return retrieval._scored(4)(asking, hidden, offered)
+
+    partial, visits = visited(user_rows, index, seen_rows, 4, 45, counted, retrieval._k_best(4))
+    best = retrieval._k_best(4)(partial).selectExpr("user_id", "place - 1", "item_id", "score")
+    assert sorted(map(tuple, best.collect())) == brute(users, items, seen, 4)
+    assert visits.count() == visits.distinct().count() > 90 * 30
+    shelves = 1 + max(last for _, last in index.shelves.values())
+    sizes = [r["count"] for r in index.items.groupBy("block").count().collect()]
+    assert len(sizes) == shelves <= 4 and max(sizes) <= 300
+    assert moved["users"] <= 90 * (2 + shelves)
+    assert moved["hidden"] == len(seen)
+    assert moved["items"] <= 2 * 600 * 6
+
+
 def test_centres_are_unit_and_stay_where_no_row_is_near():
     rng = np.random.default_rng(0)
     sample = rng.normal(size=(50, 3))
