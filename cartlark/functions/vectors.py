@@ -25,8 +25,11 @@ def cosine(left: Column, right: Column) -> Column:
 
 
 def unit(vector: Column) -> Column:
+    """The direction of ``vector`` at length one, however short it is: learned factors shrink far
+    below ``NORM_FLOOR``.  A zero vector stays zero."""
+    length = F.sqrt(dot(vector, vector))
     # The length stands beside the values: inside a lambda it would be taken for each of them.
-    lengths = F.array_repeat(norm(vector), F.size(vector))
+    lengths = F.array_repeat(F.when(length > 0, length).otherwise(F.lit(1.0)), F.size(vector))
     return F.zip_with(vector, lengths, lambda x, length: x.cast("double") / length)
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cartlark.functions.vectors import unit
 from cartlark.operators.negatives import STRIDE, negative_samples, pairwise_loss
 from cartlark.operators import ranking
 from cartlark.operators.ranking import popularity, popularity_top_k
@@ -341,6 +342,14 @@ def train_rows(spark):
     ).withColumn("event_time", F.timestamp_seconds("n"))
 
 
+def test_short_vectors_get_length_one_and_zero_stays(spark):
+    vectors = {1: [3e-14, -4e-14], 2: [0.0, 0.0], 3: [6.0, 8.0], 4: [3e-30, 4e-30]}
+    rows = spark.createDataFrame(list(vectors.items()), "id int, v array<float>")
+    found = {r["id"]: r["u"] for r in rows.select("id", unit(F.col("v")).alias("u")).collect()}
+    assert found[1] == pytest.approx([0.6, -0.8]) and found[2] == [0.0, 0.0]
+    assert found[3] == pytest.approx([0.6, 0.8]) and found[4] == pytest.approx([0.6, 0.8])
+
+
 def test_learned_vectors_serve_retrieval_and_are_stored(spark, tmp_path):
     train = train_rows(spark)
     validation = train.limit(40)
