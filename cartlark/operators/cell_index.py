@@ -35,6 +35,8 @@ FIT_ROUNDS = 6
 SHELF_ROWS = 16_384
 #: Users below which more shards do not help to keep cores busy.
 LEAST_USERS_PER_SHARD = 1024
+#: Rows compared with all centres at a time: 32 MB a matrix of 4,096 cells.
+ROWS_AT_ONCE = 1024
 #: Slack of bounds, above the rounding of scores to six places.
 SLACK = 2e-6
 
@@ -60,7 +62,10 @@ def fit_centres(sample: np.ndarray, cells: int) -> np.ndarray:
     """Unit centres by rounds of nearest centre and mean direction, from evenly spread rows."""
     centres = sample[np.linspace(0, len(sample) - 1, min(cells, len(sample))).astype(int)]
     for _ in range(FIT_ROUNDS):
-        nearest = (sample @ centres.T).argmax(1)
+        starts = range(0, len(sample), ROWS_AT_ONCE)
+        nearest = np.concatenate(
+            [(sample[i : i + ROWS_AT_ONCE] @ centres.T).argmax(1) for i in starts]
+        )
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, sample)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -68,6 +73,12 @@ def fit_centres(sample: np.ndarray, cells: int) -> np.ndarray:
     return centres
 
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.iloc[start : start + ROWS_AT_ONCE]
+
+
 def angles_to(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(matrix @ centres.T, -1.0, 1.0))
 
@@ -117,11 +128,10 @@ def build_cells(
     told = context.broadcast(centres)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                angle = angles_to(unit_rows(batch["embedding"]), told.value)
-                cell = angle.argmin(1)
-                yield batch.assign(cell=cell, angle=angle[np.arange(len(cell)), cell])
+        for batch in _slices(batches):
+            angle = angles_to(unit_rows(batch["embedding"]), told.value)
+            cell = angle.argmin(1)
+            yield batch.assign(cell=cell, angle=angle[np.arange(len(cell)), cell])
 
     kind = items.schema["embedding"].dataType.simpleString()
     id_kind = items.schema["item_id"].dataType.simpleString()
@@ -155,11 +165,10 @@ def _home(users: DataFrame, index: CellIndex, users_per_shard: int) -> DataFrame
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centres, empty = told.value
-        for batch in batches:
-            if len(batch):
-                angle = angles_to(unit_rows(batch["embedding"]), centres)
-                angle[:, empty] = np.inf
-                yield batch.assign(home=angle.argmin(1))
+        for batch in _slices(batches):
+            angle = angles_to(unit_rows(batch["embedding"]), centres)
+            angle[:, empty] = np.inf
+            yield batch.assign(home=angle.argmin(1))
 
     kinds = [users.schema[c].dataType.simpleString() for c in ("user_id", "embedding")]
     at_home = materialize(users.select("user_id", "embedding").mapInPandas(
@@ -188,16 +197,15 @@ def _in_reach(users: DataFrame, index: CellIndex) -> DataFrame:
 
     def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centres, angles, holds = told.value
-        for batch in batches:
-            if len(batch):
-                least = np.maximum(0.0, angles_to(unit_rows(batch["embedding"]), centres) - angles)
-                floor = batch["floor"].fillna(-2.0).to_numpy()[:, None]
-                may = (np.cos(least) >= floor - SLACK) & np.isfinite(angles)
-                may[np.arange(len(batch)), batch["home"]] = False
-                for block, cells in enumerate(map(np.flatnonzero, holds)):
-                    here = may[:, cells].any(1)
-                    visits = [cells[row] for row in may[np.ix_(here, cells)]]
-                    yield batch.loc[here, ["user_id", "shard"]].assign(block=block, cells=visits)
+        for batch in _slices(batches):
+            least = np.maximum(0.0, angles_to(unit_rows(batch["embedding"]), centres) - angles)
+            floor = batch["floor"].fillna(-2.0).to_numpy()[:, None]
+            may = (np.cos(least) >= floor - SLACK) & np.isfinite(angles)
+            may[np.arange(len(batch)), batch["home"]] = False
+            for block, cells in enumerate(map(np.flatnonzero, holds)):
+                here = may[:, cells].any(1)
+                visits = [cells[row] for row in may[np.ix_(here, cells)]]
+                yield batch.loc[here, ["user_id", "shard"]].assign(block=block, cells=visits)
 
     kind = users.schema["user_id"].dataType.simpleString()
     return users.select("user_id", "shard", "embedding", "home", "floor").mapInPandas(

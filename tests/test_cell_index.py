@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -95,6 +97,16 @@ def test_a_user_moves_once_per_shelf_and_an_item_once_per_shard(spark):
     assert moved["items"] <= 2 * 600 * 6
 
 
+def test_few_rows_are_compared_with_all_centres_at_a_time():
+    rng = np.random.default_rng(7)
+    sample = rng.normal(size=(20_000, 4))
+    sample /= np.linalg.norm(sample, axis=1)[:, None]
+    tracemalloc.start()
+    assert fit_centres(sample, 400).shape == (400, 4)
+    assert tracemalloc.get_traced_memory()[1] < 20e6  # all rows at once: 64 MB
+    tracemalloc.stop()
+
+
 def test_centres_are_unit_and_stay_where_no_row_is_near():
     rng = np.random.default_rng(0)
     sample = rng.normal(size=(50, 3))
