@@ -51,21 +51,18 @@ def with_category(
     )
 
 
-def build_clean_events(
-    raw_events: DataFrame, properties: DataFrame, session_gap_minutes: float = 30
+def _clean_rows(
+    raw_events: DataFrame, properties: DataFrame, session_gap_minutes: float
 ) -> DataFrame:
-    """The clean event table: unique events with category as of event time and session.
-
-    The rows, five short columns, move twice: by item, where copies are dropped and the
-    category is found, and by visitor, where sessions are numbered.  Raw rows are read beside
-    that to find heavy items and visitors, which moves counts only.  The id, the widest column,
-    is taken after the last shuffle.
-    """
     events = identifying_fields(normalize_events(raw_events))
     enriched = with_category(events, properties, unique=True)
     sessions = with_sessions(enriched, gap_minutes=session_gap_minutes, keys_from=events)
+    return sessions.withColumn("event_date", F.to_date(F.timestamp_millis("timestamp")))
+
+
+def _clean_columns(rows: DataFrame) -> DataFrame:
     event_time = F.timestamp_millis("timestamp")
-    return with_event_id(sessions).select(
+    return with_event_id(rows).select(
         "event_id",
         F.col("timestamp").alias("source_timestamp_ms"),
         event_time.alias("event_time"),
@@ -77,10 +74,32 @@ def build_clean_events(
         "session_id",
         F.dayofweek(event_time).alias("day_of_week"),
         F.hour(event_time).alias("hour"),
-        F.to_date(event_time).alias("event_date"),
+        "event_date",
     )
 
 
+def build_clean_events(
+    raw_events: DataFrame, properties: DataFrame, session_gap_minutes: float = 30
+) -> DataFrame:
+    """The clean event table: unique events with category as of event time and session.
+
+    The rows, five short columns, move twice: by item, where copies are dropped and the
+    category is found, and by visitor, where sessions are numbered.  Raw rows are read beside
+    that to find heavy items and visitors, which moves counts only.  The id, the widest column,
+    is taken after the last shuffle.
+    """
+    return _clean_columns(_clean_rows(raw_events, properties, session_gap_minutes))
+
+
+def store_clean_events(
+    raw_events: DataFrame, properties: DataFrame, path: str, session_gap_minutes: float = 30
+) -> None:
+    """:func:`build_clean_events`, written as by :func:`write_clean_events`; rows move to their
+    date before the id is taken."""
+    rows = _clean_rows(raw_events, properties, session_gap_minutes)
+    _write_dates(_clean_columns(rows.hint("rebalance", F.col("event_date"))), path)
+
+
 def category_match_rate(clean: DataFrame) -> DataFrame:
     return clean.agg(
         F.count("*").alias("events"),
@@ -110,22 +129,22 @@ def run_batch_etl(
 ) -> DataFrame:
     """CSV to partitioned Parquet.  Returns the written table, so that counting or loading
     it does not repeat the work."""
-    clean = build_clean_events(
+    store_clean_events(
         read_events_csv(spark, events_path),
         read_item_properties_csv(spark, property_paths),
-        session_gap_minutes,
+        output_path, session_gap_minutes,
     )
-    write_clean_events(clean, output_path)
     return spark.read.parquet(output_path)
 
 
 def write_clean_events(clean: DataFrame, path: str) -> None:
     """One directory per date.  The rebalance hint lets adaptive execution pack small dates
     together and split a date that holds a large share of the rows."""
-    (
-        clean.hint("rebalance", F.col("event_date"))
-        .write.mode("overwrite").partitionBy("event_date").parquet(path)
-    )
+    _write_dates(clean.hint("rebalance", F.col("event_date")), path)
+
+
+def _write_dates(clean: DataFrame, path: str) -> None:
+    clean.write.mode("overwrite").partitionBy("event_date").parquet(path)
 
 
 def compact_clean_events(spark: SparkSession, source: str, target: str) -> None:

@@ -20,11 +20,13 @@ from cartlark.session import shared_dir, use_utc
 
 # SQL texts, so that importing this module needs no session.
 EPOCH_MS = "unix_millis(cast(ts as timestamp))"
+DAYPART = "floor(hour(cast(ts as timestamp)) / 4)"
+PROPS_KEY = "cast(get_json_object(props, '$.k') as bigint)"
 USER = "user_id"
-KEY = "cast(get_json_object(props, '$.k') as bigint)"
+KEY = "k"
 # Finer shoppers and products for the recommender: a user by daypart, a product by price
 # band.  Long tails give unseen users and items without leaving any row out.
-SHOPPER = "user_id * 6 + floor(hour(cast(ts as timestamp)) / 4)"
+SHOPPER = "user_id * 6 + daypart"
 PRODUCT = f"{KEY} + 100 * floor(value / 10)"
 
 
@@ -32,24 +34,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with instant, daypart and key read out of their columns."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("seq"),
+        F.expr(EPOCH_MS).alias("timestamp"),
+        F.expr(DAYPART).alias("daypart"),
+        F.expr(PROPS_KEY).alias("k"),
+        "user_id", "event_type", "value",
+    )
+
+
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, stored for steps that go over the rows several times: instants and JSON are
+    read once per row, not once per rule and scan."""
+    return stored(spark, sf_dir, "event_rows", _read_events)
+
+
 def _raw_events(events: DataFrame, visitor: str, item: str) -> DataFrame:
     kind = F.col("event_type")
     return events.select(
-        F.col("event_id").alias("seq"),
-        F.expr(EPOCH_MS).alias("timestamp"),
+        "seq",
+        "timestamp",
         F.expr(visitor).alias("visitorid"),
         F.when(kind == "click", "addtocart")
         .when(kind == "purchase", "transaction")
         .otherwise(kind)
         .alias("event"),
         F.expr(item).alias("itemid"),
-        F.when(kind == "purchase", F.col("event_id").cast("string")).alias("transactionid"),
+        F.when(kind == "purchase", F.col("seq").cast("string")).alias("transactionid"),
     )
 
 
 def _raw_properties(events: DataFrame, item: str) -> DataFrame:
     return events.filter(F.col("event_type").isin("signup", "error")).select(
-        F.expr(EPOCH_MS).alias("timestamp"),
+        "timestamp",
         F.expr(item).alias("itemid"),
         F.when(F.col("event_type") == "signup", "categoryid").otherwise("available")
         .alias("property"),
@@ -61,7 +80,7 @@ def _raw_properties(events: DataFrame, item: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_events(table(spark, sf_dir, "events"), USER, KEY)
+    return _raw_events(_read_events(spark, sf_dir), USER, KEY)
 
 
 #: What replaces the text of rows by the remainder of their number: blanks, words, signs,
@@ -110,15 +129,15 @@ def spoiled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_item_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_properties(table(spark, sf_dir, "events"), KEY)
+    return _raw_properties(_read_events(spark, sf_dir), KEY)
 
 
 def shopper_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_events(table(spark, sf_dir, "events"), SHOPPER, PRODUCT)
+    return _raw_events(event_rows(spark, sf_dir), SHOPPER, PRODUCT)
 
 
 def shopper_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_properties(table(spark, sf_dir, "events"), PRODUCT)
+    return _raw_properties(event_rows(spark, sf_dir), PRODUCT)
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,29 +236,35 @@ def shared_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return _stored.setdefault(key, f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/{name}")
 
 
-def _stored_clean(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _stored_clean(
+    spark: SparkSession, sf_dir: str, name: str,
+    read: Callable[[SparkSession, str], tuple[DataFrame, DataFrame]],
+) -> DataFrame:
     key = (use_utc(spark).sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/{name}"
-        etl.write_clean_events(build(), path)
+        etl.store_clean_events(*read(spark, sf_dir), path)
         _stored[key] = path
     return spark.read.parquet(_stored[key])
 
 
+def _read_out(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw events and item properties over the stored rows."""
+    rows = event_rows(spark, sf_dir)
+    return _raw_events(rows, USER, KEY), _raw_properties(rows, KEY)
+
+
 def build_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return etl.build_clean_events(raw_events(spark, sf_dir), raw_item_properties(spark, sf_dir))
+    return etl.build_clean_events(*_read_out(spark, sf_dir))
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored_clean(spark, sf_dir, "clean", lambda: build_clean(spark, sf_dir))
+    return _stored_clean(spark, sf_dir, "clean", _read_out)
 
 
 def shopper_clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_clean(
-        spark, sf_dir, "shopper_clean",
-        lambda: etl.build_clean_events(
-            shopper_events(spark, sf_dir), shopper_properties(spark, sf_dir)
-        ),
+        spark, sf_dir, "shopper_clean", lambda s, d: (shopper_events(s, d), shopper_properties(s, d))
     )
 
 
