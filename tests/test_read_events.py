@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartlark.operators.normalize import normalize_events, rejected_events
 from cartlark.plans.etl import build_clean_events, store_clean_events
-from workload import tables
+from workload import queries, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,6 +30,21 @@ def test_stored_rows_are_the_events(spark):
     assert read.exceptAll(direct).isEmpty() and direct.exceptAll(read).isEmpty()
 
 
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    rows = spark.range(200_000, numPartitions=1).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' as ts", "id as user_id",
+        "'view' as event_type", "1.0D as value", "concat('{\"k\": ', id % 9, '}') as props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    read = tables.event_rows(spark, str(tmp_path))
+    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 200_000 and max(sizes) < 100_000
+
+
+def test_audits_do_not_read_json_of_events_again(spark):
+    assert "get_json_object" not in plan(queries.table_audits(spark, SF))
+
+
 def test_a_field_is_checked_once(spark):
     raw = tables.raw_events(spark, SF)
     # Once to check it and once to return it.
@@ -54,7 +69,7 @@ def test_every_row_is_either_kept_or_rejected(spark):
 
 
 def test_stored_clean_events_are_the_built_ones(spark, tmp_path):
-    source = tables._read_out(spark, SF)
+    source = tables.stored_raw(spark, SF)
     built = build_clean_events(*source)
     store_clean_events(*source, str(tmp_path / "clean"))
     found = spark.read.parquet(str(tmp_path / "clean")).select(*built.columns)

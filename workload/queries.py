@@ -71,10 +71,11 @@ def audit_spoiled_facts(spark, sf):
 @query
 def table_audits(spark, sf):
     """Keys, required columns and references of the tables beside the facts."""
-    records = event_stream.parse_events(tables.kafka_envelope(spark, sf))
+    events, properties = tables.stored_raw(spark, sf)
+    records = event_stream.parse_events(tables.as_messages(events))
     audits = [
         analytics.key_audit(
-            "item_property_history", tables.raw_item_properties(spark, sf),
+            "item_property_history", properties,
             ["itemid", "property", "timestamp"],
         ),
         analytics.key_audit(
