@@ -85,13 +85,18 @@ def asof_join(
     rows: DataFrame, observations: DataFrame, *, key: str, time: str, value: str,
     unique: bool = False, bucket_width: int = HOUR_MS, broadcast_rows: int = BROADCAST_ROWS,
     broadcast_rows_per_key: int = BROADCAST_ROWS_PER_KEY, light_rows: int = LIGHT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` plus the as-of value.  With ``unique``, rows that are equal in every column
-    are returned once, which light keys get without a shuffle of its own."""
+    are returned once, which light keys get without a shuffle of its own.  ``counted`` may
+    name a cheaper frame to find heavy keys in: the keys of all rows and observations, others
+    among them (a key that counts as heavy without need has the same result)."""
     if _fits_broadcast(observations, key, value, broadcast_rows, broadcast_rows_per_key):
         found = rows.distinct() if unique else rows
         return _broadcast_asof_join(found, observations, key, time, value)
-    heavy = heavy_keys(rows.select(key).unionByName(observations.select(key)), key, light_rows)
+    if counted is None:
+        counted = rows.select(key).unionByName(observations.select(key))
+    heavy = heavy_keys(counted, key, light_rows)
     light, busy = (rows, None) if heavy is None else parted(rows, key, heavy)
     told = observations if heavy is None else parted(observations, key, heavy)[0]
     found = _sorted_asof_join(light, told, key, time, value)

@@ -87,6 +87,12 @@ def normalize_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def unchecked_number(raw: DataFrame, name: str) -> DataFrame:
+    """One field of all raw rows as a number, those that break a rule included: enough to
+    count in, and cheaper than :func:`normalize_events`."""
+    return raw.select(_whole_number(raw, name).alias(name))
+
+
 def rejected_events(raw: DataFrame) -> DataFrame:
     """The complement of :func:`normalize_events`: raw columns plus the broken rule."""
     return _classified(raw).filter(F.col("reason").isNotNull()).select("raw.*", "reason")

@@ -88,11 +88,13 @@ def popularity_top_k(
         lambda total, i: total
         + F.coalesce(F.try_element_at("skips", i.cast("bigint")), F.lit(0).cast("bigint")),
     )
+    # Most users have seen none of the first items, and nothing is to be added up for them.
+    skipped = F.when(F.col("skips").isNull(), F.lit(0).cast("bigint")).otherwise(skipped_before)
     wanted = (
         users.select("user_id")
         .join(skips, "user_id", "left")
         .withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-        .select("user_id", "rank", (F.col("rank") + skipped_before).alias("popularity_rank"))
+        .select("user_id", "rank", (F.col("rank") + skipped).alias("popularity_rank"))
     )
     return _at_ranks(materialize(wanted), ranking)
 

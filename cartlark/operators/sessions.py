@@ -48,14 +48,17 @@ def session_numbers(events: DataFrame, *, visitor: str, time: str, gap_ms: int)
 def with_sessions(
     events: DataFrame, *, visitor: str = "visitorid", time: str = "timestamp",
     gap_minutes: float = 30, keys_from: DataFrame | None = None, light_rows: int = LIGHT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``session_number`` and ``session_id`` (``visitor-number``).  ``keys_from`` may
-    name a cheaper frame with the same visitors and times, copies of events included."""
+    name a cheaper frame with the same visitors and times, copies of events included, and
+    ``counted`` a still cheaper one to find heavy visitors in: those of all events, others
+    among them."""
     gap_ms = int(gap_minutes * 60_000)
     if gap_ms < 0:
         raise ValueError("session gap must be non-negative")
     keys = (events if keys_from is None else keys_from).select(visitor, time)
-    heavy = heavy_keys(keys, visitor, light_rows)
+    heavy = heavy_keys(keys if counted is None else counted, visitor, light_rows)
     if heavy is None:
         return _sorted_sessions(events, visitor, time, gap_ms)
     light, busy = parted(materialize(events), visitor, heavy)

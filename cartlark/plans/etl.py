@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from cartlark.functions.contract import BATCH_SOURCE, HISTORICAL_BATCH_ID, SCHEMA_VERSION
 from cartlark.operators.asof import asof_join
-from cartlark.operators.normalize import identifying_fields, normalize_events, with_event_id
+from cartlark.operators.normalize import (
+    identifying_fields,
+    normalize_events,
+    unchecked_number,
+    with_event_id,
+)
 from cartlark.operators.sessions import with_sessions
 from cartlark.sources.files import read_events_csv, read_item_properties_csv, require_columns
 
@@ -41,13 +46,14 @@ def category_observations(properties: DataFrame) -> DataFrame:
 
 
 def with_category(
-    events: DataFrame, properties: DataFrame, unique: bool = False, **limits: int
+    events: DataFrame, properties: DataFrame, unique: bool = False,
+    counted: DataFrame | None = None, **limits: int
 ) -> DataFrame:
-    """Events plus the category that was valid for their item at their time.  ``unique`` and
-    ``limits`` are those of :func:`cartlark.operators.asof.asof_join`."""
+    """Events plus the category that was valid for their item at their time.  ``unique``,
+    ``counted`` and ``limits`` are those of :func:`cartlark.operators.asof.asof_join`."""
     return asof_join(
         events, _category_values(properties), key="itemid", time="timestamp",
-        value="category_id", unique=unique, **limits,
+        value="category_id", unique=unique, counted=counted, **limits,
     )
 
 
@@ -55,8 +61,15 @@ def _clean_rows(
     raw_events: DataFrame, properties: DataFrame, session_gap_minutes: float
 ) -> DataFrame:
     events = identifying_fields(normalize_events(raw_events))
-    enriched = with_category(events, properties, unique=True)
-    sessions = with_sessions(enriched, gap_minutes=session_gap_minutes, keys_from=events)
+    told = properties.filter(F.col("property") == "categoryid").select("itemid")
+    enriched = with_category(
+        events, properties, unique=True,
+        counted=unchecked_number(raw_events, "itemid").unionByName(told),
+    )
+    sessions = with_sessions(
+        enriched, gap_minutes=session_gap_minutes, keys_from=events,
+        counted=unchecked_number(raw_events, "visitorid"),
+    )
     return sessions.withColumn("event_date", F.to_date(F.timestamp_millis("timestamp")))
 
 

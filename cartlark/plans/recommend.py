@@ -28,10 +28,12 @@ MAX_K = 100
 
 def recommend(
     users: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame, ranking: DataFrame,
-    seen: DataFrame, k: int = 10, filter_seen: bool = True,
+    seen: DataFrame, k: int = 10, filter_seen: bool = True, popular: DataFrame | None = None,
 ) -> DataFrame:
     """``(user_id, strategy, rank, item_id, score)`` for every user in ``users(user_id)``:
-    vector retrieval where the user has a usable vector, popularity otherwise."""
+    vector retrieval where the user has a usable vector, popularity otherwise.  ``popular``
+    may hold what :func:`cartlark.operators.ranking.popularity_top_k` gives for all users and
+    the same ``ranking``, ``k`` and hidden items, where that is at hand."""
     if not 1 <= k <= MAX_K:
         raise ValueError(f"k must be between 1 and {MAX_K}")
     hidden = seen if filter_seen else seen.filter(F.lit(False))
@@ -39,7 +41,10 @@ def recommend(
     warm = user_vectors.join(users, "user_id", "left_semi")
     cold = users.join(user_vectors, "user_id", "left_anti")
     retrieved = top_k_items(warm, item_vectors, hidden, k)
-    popular = popularity_top_k(cold, ranking, hidden, k)
+    if popular is None:
+        popular = popularity_top_k(cold, ranking, hidden, k)
+    else:
+        popular = popular.join(cold, "user_id", "left_semi")
     columns = ("user_id", "strategy", "rank", "item_id", "score")
     return (
         retrieved.withColumn("strategy", F.lit(EMBEDDING_STRATEGY)).select(*columns)

@@ -291,7 +291,7 @@ def staged_events(spark, sf):
 @query
 def idempotent_merge(spark, sf):
     """The train part is loaded first; then everything is, and only the rest is new."""
-    parts = split_table(spark, sf)
+    parts = split.temporal_split(_interactions(spark, sf))
     held = etl.staged_events(parts.filter("split = 'train'"), 1)
     arriving = etl.staged_events(parts, 2)
     return merge.merged_fact(arriving, held).select("event_id", "ingest_batch_id")
@@ -414,8 +414,13 @@ def _interactions(spark, sf):
 
 
 def split_table(spark, sf):
+    """The columns that recommenders learn from; the others stay with the clean events."""
     return tables.stored(
-        spark, sf, "split", lambda s, d: split.temporal_split(_interactions(s, d))
+        spark, sf, "split",
+        lambda s, d: split.temporal_split(_interactions(s, d)).select(
+            "event_id", "event_time", "visitor_id", "item_id", "event_type", "category_id",
+            "weight", "split",
+        ),
     )
 
 
@@ -450,7 +455,7 @@ def _item_vectors(spark, sf):
     return vectors.join(_catalog(spark, sf), "item_id", "left_semi")
 
 
-def _user_vectors(spark, sf):
+def _build_user_vectors(spark, sf):
     vectors = tables.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("user_id"), F.reverse("embedding").alias("embedding")
     )
@@ -458,6 +463,10 @@ def _user_vectors(spark, sf):
     return vectors.join(users, "user_id", "left_semi")
 
 
+def _user_vectors(spark, sf):
+    return tables.stored(spark, sf, "user_vectors", _build_user_vectors)
+
+
 def _test_users(spark, sf):
     return _test(spark, sf).select(F.col("visitor_id").alias("user_id")).distinct()
 
@@ -695,7 +704,9 @@ def _truth(spark, sf):
 
 
 def _evaluated(spark, sf):
-    return _truth(spark, sf).select("user_id").distinct()
+    return tables.stored(
+        spark, sf, "evaluated", lambda s, d: _truth(s, d).select("user_id").distinct()
+    )
 
 
 def _warm_cold(spark, sf):
@@ -703,15 +714,16 @@ def _warm_cold(spark, sf):
 
 
 def _popular_lists(spark, sf):
-    return ranking.popularity_top_k(
-        _evaluated(spark, sf), _ranking(spark, sf), _seen(spark, sf), K
+    return tables.stored(
+        spark, sf, "popular_lists",
+        lambda s, d: ranking.popularity_top_k(_evaluated(s, d), _ranking(s, d), _seen(s, d), K),
     )
 
 
 def _embedding_lists(spark, sf):
     return recommend.recommend(
         _evaluated(spark, sf), _user_vectors(spark, sf), _item_vectors(spark, sf),
-        _ranking(spark, sf), _seen(spark, sf), K,
+        _ranking(spark, sf), _seen(spark, sf), K, popular=_popular_lists(spark, sf),
     )
 
 
