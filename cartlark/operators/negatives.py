@@ -4,16 +4,20 @@ A row's negative is found by starting at ``(position * stride + seed) mod items`
 walking up, around the end, past every item the user has interacted with.  Walking is a
 lookup: the user's seen item indices are folded into blocks of consecutive ones, and a
 start that falls into a block moves to the index after it.
+
+A user of a bounded number of rows is one group: rows and blocks are shuffled once, by the
+user, and sorted by index.  For heavier users both are cut into chunks of the index range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlark.functions.numbers import floor_div
 from cartlark.functions.vectors import dot, softplus, unit
 from cartlark.operators.asof import asof_lookup
+from cartlark.operators.heavy import LIGHT_ROWS, heavy_keys, parted
 
 # The walk's stride and the extra seed of validation rows.
 STRIDE = 9973
@@ -85,6 +89,90 @@ def _walk(starts: DataFrame, seen: DataFrame, item_count: int, chunk: int) -> Da
     )
 
 
+def _in_groups(asking: DataFrame, seen: DataFrame, item_count: int) -> DataFrame:
+    """``asking(user_index, _start, ...)`` with ``_landing``, the end of the walk from
+    ``_start``, and ``_second``, that of the walk from the index after it; each user is one
+    group."""
+    by_item = Window.partitionBy("user_index").orderBy("item_index")
+    blocks = (
+        seen.withColumn("_fold", F.col("item_index") - F.row_number().over(by_item))
+        .groupBy("user_index", "_fold")
+        .agg(F.min("item_index").alias("_start"), (F.max("item_index") + 1).alias("_after"))
+        .drop("_fold").withColumn("_asks", F.lit(False))
+    )
+    start, after = F.col("_start"), F.col("_after")
+    user = Window.partitionBy("user_index")
+    # At equal indices a block is met before the row that asks, and one behind it is not.
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    upward = user.orderBy("_start", "_asks").rowsBetween(*so_far)
+    downward = user.orderBy(F.desc("_start"), F.desc("_asks")).rowsBetween(*so_far)
+    from_zero = F.coalesce(F.max(F.when(~F.col("_asks") & (start == 0), after)).over(user), F.lit(0))
+    behind_zero = F.max(F.when(~F.col("_asks") & (start == F.col("_zero") + 1), after)).over(user)
+    onward = F.greatest(start, F.last("_after", ignorenulls=True).over(upward))
+    next_block = F.last(F.when(~F.col("_asks"), F.struct("_start", "_after")), ignorenulls=True)
+    one_on = F.col("_onward") + 1
+    past_next = F.when(F.col("_next._start") == one_on, F.col("_next._after")).otherwise(one_on)
+
+    def around(index: Column) -> Column:
+        return F.when(index < item_count, index).otherwise(F.col("_zero"))
+
+    return (
+        asking.withColumn("_asks", F.lit(True)).unionByName(blocks, allowMissingColumns=True)
+        .withColumn("_zero", from_zero)
+        .withColumn("_behind_zero", F.coalesce(behind_zero, F.col("_zero") + 1))
+        .withColumn("_onward", onward)
+        .withColumn("_next", next_block.over(downward))
+        .filter("_asks")
+        .withColumn("_landing", around(F.col("_onward")))
+        .withColumn(
+            "_second",
+            F.when(F.col("_onward") < item_count, around(past_next))
+            .otherwise(around(F.col("_behind_zero"))),
+        )
+        .select(*asking.columns, "_landing", "_second")
+    )
+
+
+def _in_chunks(
+    asking: DataFrame, seen: DataFrame, item_count: int, chunk: int, twice: bool
+) -> DataFrame:
+    """The same, by lookups in chunks of the index range; ``_second`` is null unless ``twice``."""
+    starts = asking.select("user_index", F.col("_start").alias("start"))
+    first = _walk(starts, seen, item_count, chunk).withColumnsRenamed(
+        {"start": "_start", "landing": "_landing"}
+    )
+    landed = asking.join(first, ["user_index", "_start"])
+    if not twice:
+        nothing = F.lit(None).cast("bigint").alias("_second")
+        return landed.select(*asking.columns, "_landing", nothing)
+    landed = landed.withColumn("_next", F.pmod(F.col("_landing") + 1, F.lit(item_count)))
+    starts = landed.select("user_index", F.col("_next").alias("start"))
+    second = _walk(starts, seen, item_count, chunk).withColumnsRenamed(
+        {"start": "_next", "landing": "_second"}
+    )
+    return landed.join(second, ["user_index", "_next"]).select(
+        *asking.columns, "_landing", "_second"
+    )
+
+
+def _landed(
+    asking: DataFrame, seen: DataFrame, users: DataFrame, item_count: int, chunk: int,
+    light_rows: int, twice: bool,
+) -> DataFrame:
+    """:func:`_in_groups` for light users, :func:`_in_chunks` for the others; ``users`` has the
+    user of every row that asks."""
+    seen = seen.select("user_index", "item_index")
+    counted = users.select("user_index").unionByName(seen.select("user_index"))
+    heavy = heavy_keys(counted, "user_index", light_rows)
+    if heavy is None:
+        return _in_groups(asking, seen, item_count)
+    light, busy = parted(asking, "user_index", heavy)
+    light_seen, busy_seen = parted(seen, "user_index", heavy)
+    return _in_groups(light, light_seen, item_count).unionByName(
+        _in_chunks(busy, busy_seen, item_count, chunk, twice)
+    )
+
+
 def _require_some(finished: DataFrame, candidates: DataFrame) -> None:
     """Fails where users have seen everything and no row is left.  Mostly there is no such
     user, and the rows are not looked at."""
@@ -94,7 +182,7 @@ def _require_some(finished: DataFrame, candidates: DataFrame) -> None:
 
 def negative_samples(
     rows: DataFrame, seen: DataFrame, item_count: int, *, seed: int = 42, seed_offset: int = 0,
-    rows_are_seen: bool = False, chunk: int = CHUNK,
+    rows_are_seen: bool = False, chunk: int = CHUNK, light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
     """Adds ``negative_index`` to ``rows(position, user_index, item_index, ...)``.
 
@@ -117,12 +205,8 @@ def negative_samples(
         done = nearly_done.filter(F.col("_seen") >= item_count)
         candidates = rows_with_start.join(done, "user_index", "left_anti")
         _require_some(done, candidates)
-        starts = candidates.select("user_index", F.col("_start").alias("start"))
-        landings = _walk(starts, seen, item_count, chunk)
-        return candidates.join(
-            landings.withColumnsRenamed({"start": "_start", "landing": "negative_index"}),
-            ["user_index", "_start"],
-        ).select(*rows.columns, "negative_index")
+        landed = _landed(candidates, seen, rows, item_count, chunk, light_rows, twice=False)
+        return landed.select(*rows.columns, F.col("_landing").alias("negative_index"))
 
     own = seen.withColumn("_own_seen", F.lit(True))
     own_unseen = F.col("_own_seen").isNull()
@@ -131,20 +215,12 @@ def negative_samples(
         rows_with_start.join(nearly_done, "user_index", "left")
         .join(own, ["user_index", "item_index"], "left")
         .filter(F.col("_seen").isNull() | (blocked < item_count))
-        .withColumn("_next", F.pmod(F.col("item_index") + 1, F.lit(item_count)))
         .drop("_seen")
     )
     _require_some(nearly_done, candidates)
-    starts = candidates.select("user_index", F.col("_start").alias("start")).unionByName(
-        candidates.filter(own_unseen).select("user_index", F.col("_next").alias("start"))
-    )
-    landings = _walk(starts, seen, item_count, chunk)
-    first = landings.withColumnsRenamed({"start": "_start", "landing": "_landing"})
-    second = landings.withColumnsRenamed({"start": "_next", "landing": "_second"})
     # An item that was not seen in training can be where the walk lands; walk on from it.
     return (
-        candidates.join(first, ["user_index", "_start"], "left")
-        .join(second, ["user_index", "_next"], "left")
+        _landed(candidates, seen, rows, item_count, chunk, light_rows, twice=True)
         .withColumn(
             "negative_index",
             F.when(

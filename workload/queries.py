@@ -617,6 +617,16 @@ def _indexed_seen(indexed):
     return indexed.select("user_index", "item_index").distinct()
 
 
+def _build_seen_indices(spark, sf):
+    pairs = _seen(spark, sf).withColumnRenamed("user_id", "visitor_id")
+    known = interactions.known_interactions(pairs, _users(spark, sf), _items(spark, sf))
+    return known.select("user_index", "item_index")
+
+
+def _seen_indices(spark, sf):
+    return tables.stored(spark, sf, "seen_indices", _build_seen_indices)
+
+
 @query
 def negative_samples(spark, sf):
     train = _indexed(spark, sf, "train")
@@ -628,12 +638,9 @@ def negative_samples(spark, sf):
 
 @query
 def validation_negative_samples(spark, sf):
-    users, items = _users(spark, sf), _items(spark, sf)
-    pairs = _seen(spark, sf).withColumnRenamed("user_id", "visitor_id")
-    known = interactions.known_interactions(pairs, users, items)
     return negatives.negative_samples(
-        _indexed(spark, sf, "validation"), known.select("user_index", "item_index"),
-        items.count(), seed=SEED,
+        _indexed(spark, sf, "validation"), _seen_indices(spark, sf),
+        _items(spark, sf).count(), seed=SEED,
         seed_offset=negatives.VALIDATION_SEED_OFFSET,
     ).select("position", "user_index", "item_index", "negative_index")
 
